@@ -41,7 +41,7 @@ def days_between(later: Column | str, earlier: Column | str) -> Column:
 
 def dormant(last_active: Column | str, day: Column | str, days: int) -> Column:
     """Whether the last activity lies at least ``days`` days before ``day``."""
-    return _column(last_active) <= F.date_add(_column(day), -days)
+    return _column(last_active).try_cast("date") <= F.date_add(_column(day), -days)
 
 
 def day_string(as_of: Column | str, days: int, pattern: str = COMPACT) -> Column:

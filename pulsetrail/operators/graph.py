@@ -137,12 +137,14 @@ def connected_components(vertices: DataFrame | None, edges: DataFrame) -> DataFr
     # start with the larger end as src, as every step leaves it
     links = undirected(edges).select(F.col("dst").alias("src"), F.col("src").alias("dst"))
     links = stage(links, "links")
-    while not _is_star_forest(links):
+    done = False
+    while not done:
         half = stage(_large_star(links), "large-star")
         moved = stage(_small_star(half), "small-star")
         discard(half)
         discard(links)
         links = moved
+        done = _is_star_forest(links)
     stars = links.select(F.col("src").alias("id"), F.col("dst").alias("component"))
     return every.distinct().join(stars, "id", "left").select(
         "id", F.coalesce("component", "id").alias("component")
