@@ -59,11 +59,10 @@ def train_retention(
     learner: Learner = sets.RETENTION_LEARNER,
 ) -> Trained:
     """Retention after a click: half of the rows at random, with the item's factors."""
-    rows = sample_rows(_row_key(scan_days(spark, table, dt, snapshots)), "row_key", 0.5)
-    test = scan_day(spark, table, test_dt)
-    rows, test = (
-        item_vectors(df.dropna(subset=[features.label]), "doc_id", *vectors) for df in (rows, test)
-    )
+    rows = scan_days(spark, table, dt, snapshots).dropna(subset=["title_length"])
+    rows = sample_rows(_row_key(rows), "row_key", 0.5)
+    test = scan_day(spark, table, test_dt).dropna(subset=["title_length"])
+    rows, test = (item_vectors(df, "doc_id", *vectors) for df in (rows, test))
     return train_and_report(rows, test, features, learner)
 
 

@@ -10,9 +10,13 @@ from pulsetrail.functions.vectors import render, to_vector
 
 
 def write_libsvm(df: DataFrame, path: str, label: str = "label", features: str = "features") -> None:
-    """``label index:value ...`` rows, indexes from 1 in ascending order."""
-    rows = df.select(F.col(label).cast("double").alias("label"), F.col(features).alias("features"))
-    rows.write.mode("overwrite").format("libsvm").save(path)
+    """``label index:value ...`` rows of the values that are not 0, indexes from 1, ascending."""
+    slots = F.transform(
+        vector_to_array(features),
+        lambda value, i: F.when(value != 0, F.concat_ws(":", (i + 1).cast("string"), value.cast("string"))),
+    )
+    line = F.concat_ws(" ", F.col(label).cast("string"), F.array_compact(slots))
+    df.select(line.alias("value")).write.mode("overwrite").text(path)
 
 
 def read_libsvm(spark: SparkSession, path: str, width: int) -> DataFrame:
