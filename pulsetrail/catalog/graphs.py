@@ -158,7 +158,7 @@ def supply_graph(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame
     suppliers = suppliers.selectExpr("1000000000 + s_suppkey as id", "s_acctbal as worth")
     links = table(spark, folder, "lineitem")
     links = links.selectExpr("l_partkey as src", "1000000000 + l_suppkey as dst").distinct()
-    return parts.unionByName(suppliers), links
+    return parts.unionByName(suppliers), stage(links, "supply-links")
 
 
 @query("triplets", TRIPLETS_SQL)

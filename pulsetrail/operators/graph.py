@@ -63,21 +63,33 @@ def index_vertices(vertices: DataFrame) -> DataFrame:
 def resolve_edges(edges: DataFrame, index: DataFrame) -> DataFrame:
     """Replace the typed ends of ``edges`` by vertex ids: ``(src, dst, relation)``."""
     edges = stage(edges, "typed-edges")
+    rows = edges.count()
     for end in ("src", "dst"):
         ids = index.select(
             F.col("type").alias(f"{end}_type"),
             F.col("value").alias(f"{end}_value"),
             F.col("id").alias(end),
         )
-        edges = lookup_join(edges, ids, [f"{end}_type", f"{end}_value"], "inner")
+        edges = lookup_join(edges, ids, [f"{end}_type", f"{end}_value"], "inner", rows=rows)
     return edges.select("src", "dst", "relation")
 
 
+def pairs_of(edges: DataFrame) -> DataFrame:
+    """Each pair of linked vertices once, the smaller id first; loops stay."""
+    low, high = F.least("src", "dst"), F.greatest("src", "dst")
+    return edges.select(low.alias("src"), high.alias("dst")).distinct()
+
+
 def undirected(edges: DataFrame) -> DataFrame:
     """Each link once as ``src < dst``; direction, repeats and loops are dropped."""
-    return edges.select(
-        F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")
-    ).where("src < dst").distinct()
+    return pairs_of(edges.where("src <> dst"))
+
+
+def _all_ids(vertices: DataFrame | None, pairs: DataFrame) -> DataFrame:
+    """The ids of the given vertices and of all ends."""
+    ends = both_ways(pairs).select(F.col("src").alias("id"))
+    every = ends if vertices is None else ends.unionByName(vertices.select("id"))
+    return every.distinct()
 
 
 def both_ways(edges: DataFrame) -> DataFrame:
@@ -132,21 +144,18 @@ def connected_components(vertices: DataFrame | None, edges: DataFrame) -> DataFr
     out of the shuffle, and every round is staged in the shared folder. Vertices that occur only in
     ``edges`` are included, and so are vertices without an edge.
     """
-    ends = both_ways(edges).select(F.col("src").alias("id"))
-    every = ends if vertices is None else ends.unionByName(vertices.select("id"))
-    # start with the larger end as src, as every step leaves it
-    links = undirected(edges).select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-    links = stage(links, "links")
-    done = False
+    pairs = stage(pairs_of(edges), "pairs")
+    links, done, rounds = pairs.where("src <> dst"), False, 0
     while not done:
         half = stage(_large_star(links), "large-star")
         moved = stage(_small_star(half), "small-star")
         discard(half)
-        discard(links)
-        links = moved
+        if rounds:
+            discard(links)
+        links, rounds = moved, rounds + 1
         done = _is_star_forest(links)
     stars = links.select(F.col("src").alias("id"), F.col("dst").alias("component"))
-    return every.distinct().join(stars, "id", "left").select(
+    return _all_ids(vertices, pairs).join(stars, "id", "left").select(
         "id", F.coalesce("component", "id").alias("component")
     )
 
@@ -166,13 +175,12 @@ def triangle_count(vertices: DataFrame | None, edges: DataFrame) -> DataFrame:
     then has at most sqrt(2 * edges) outgoing edges, and a hub next to none, so the pairs of outgoing
     edges that have to be closed stay bounded whatever the degree of the hubs.
     """
-    ends = both_ways(edges).select(F.col("src").alias("id"))
-    every = ends if vertices is None else ends.unionByName(vertices.select("id"))
-    once = stage(undirected(edges), "undirected")
-    degree = stage(degrees(once), "degrees")
+    pairs = stage(pairs_of(edges), "pairs")
+    once = pairs.where("src <> dst")
+    degree, rows = stage(degrees(once), "degrees"), pairs.count()
     for end in ("src", "dst"):
         named = degree.select(F.col("id").alias(end), F.col("degree").alias(f"{end}_degree"))
-        once = lookup_join(once, named, end, "inner")
+        once = lookup_join(once, named, end, "inner", rows=rows)
     rises = F.struct("src_degree", "src") < F.struct("dst_degree", "dst")
     arcs = once.select(
         F.when(rises, F.col("src")).otherwise(F.col("dst")).alias("low"),
@@ -181,12 +189,11 @@ def triangle_count(vertices: DataFrame | None, edges: DataFrame) -> DataFrame:
     arcs = stage(arcs, "arcs")
     one = arcs.select(F.col("low").alias("a"), F.col("high").alias("b"))
     two = arcs.select(F.col("low").alias("a"), F.col("high").alias("c"))
-    closing = undirected(arcs.select(F.col("low").alias("src"), F.col("high").alias("dst")))
-    closing = closing.select(F.col("src").alias("b"), F.col("dst").alias("c"))
+    closing = pairs.select(F.col("src").alias("b"), F.col("dst").alias("c")).where("b < c")
     closed = one.join(two, "a").where("b < c").join(closing, ["b", "c"])
     corners = closed.select(F.explode(F.array("a", "b", "c")).alias("id"))
     counted = corners.groupBy("id").agg(F.count("*").alias("triangles"))
-    return every.distinct().join(counted, "id", "left").select(
+    return _all_ids(vertices, pairs).join(counted, "id", "left").select(
         "id", F.coalesce("triangles", F.lit(0)).alias("triangles")
     )
 
@@ -201,13 +208,13 @@ def map_vertices(vertices: DataFrame, **columns: Column) -> DataFrame:
 
 def triplets(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Every edge with the attributes of its ends, as ``src_<name>`` and ``dst_<name>``."""
-    joined = edges
+    joined, rows = edges, edges.count()
     attributes = [c for c in vertices.columns if c != "id"]
     for end in ("src", "dst"):
         named = vertices.select(
             F.col("id").alias(end), *[F.col(c).alias(f"{end}_{c}") for c in attributes]
         )
-        joined = lookup_join(joined, named, end, "inner")
+        joined = lookup_join(joined, named, end, "inner", rows=rows)
     return joined
 
 

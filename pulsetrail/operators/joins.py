@@ -18,52 +18,66 @@ def _names(columns: Sequence[str] | str) -> list[str]:
     return [columns] if isinstance(columns, str) else list(columns)
 
 
-def keep_known(df: DataFrame, keys: DataFrame, on: Sequence[str] | str) -> DataFrame:
-    """Rows whose key occurs in ``keys`` (an inner join to the distinct keys)."""
-    return df.join(keys.select(*_names(on)), on, "left_semi")
-
-
-def keep_unseen(df: DataFrame, keys: DataFrame, on: Sequence[str] | str) -> DataFrame:
-    """Rows whose key does not occur in ``keys``."""
-    return df.join(keys.select(*_names(on)), on, "left_anti")
-
-
 def lookup_join(
     facts: DataFrame,
     table: DataFrame,
     on: Sequence[str] | str,
     how: str = "left",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Join ``facts`` to ``table`` (one row per key), safe for keys that hold most of the facts.
 
     Keys that hold at least 1/HOT_KEYS of the facts are few by counting (at most HOT_KEYS), so their
     part of the table is broadcast and their facts are never shuffled. All other facts take the usual
-    join, where no key is large any more; facts without a key skip the join. ``how`` is ``left`` or
-    ``inner``. ``facts`` is read several times: stage it when it is costly to compute.
+    join, where no key is large any more; facts without a key skip the join. ``how`` is ``left``,
+    ``inner``, ``left_semi`` or ``left_anti``. ``facts`` is read several times: stage it when it is
+    costly to compute. ``rows`` is an upper bound of its size, where one is known; otherwise the
+    facts are counted. With fewer than ``hot_rows`` facts no key can be hot.
     """
-    on = _names(on)
-    total = facts.count()
+    on, hot_rows = _names(on), HOT_ROWS if hot_rows is None else hot_rows
+    total = facts.count() if rows is None else rows
     if total < hot_rows:
         return facts.join(table, on, how)
     bar = max(hot_rows, total // HOT_KEYS)
     keyed = facts.dropna(subset=on)
     hot = keyed.groupBy(*on).count().where(F.col("count") >= bar).select(*on)
     hot = stage(hot.join(table.withColumn("_hit", F.lit(True)), on, "left"), "hot-keys")
+
     few = keyed.join(F.broadcast(hot), on)
     many = keyed.join(F.broadcast(hot.select(*on)), on, "left_anti").join(table, on, how)
-    if how == "inner":
-        return few.where("_hit").drop("_hit").unionByName(many)
-    without_key = facts.where(~F.expr(" and ".join(f"`{c}` is not null" for c in on)))
-    return few.drop("_hit").unionByName(many).unionByName(without_key, allowMissingColumns=True)
+    if how in ("inner", "left_semi"):
+        few = few.where("_hit")
+    elif how == "left_anti":
+        few = few.where("_hit is null")
+    result = few.select(*many.columns).unionByName(many)
+    if how in ("inner", "left_semi"):
+        return result
+    without_key = facts.where(" or ".join(f"`{c}` is null" for c in on))
+    return result.unionByName(without_key, allowMissingColumns=True)
+
+
+def keep_known(df: DataFrame, keys: DataFrame, on: Sequence[str] | str) -> DataFrame:
+    """Rows whose key occurs in ``keys``. The keys are made distinct before they are shuffled."""
+    return lookup_join(df, keys.select(*_names(on)).distinct(), on, "left_semi")
+
+
+def keep_unseen(df: DataFrame, keys: DataFrame, on: Sequence[str] | str) -> DataFrame:
+    """Rows whose key does not occur in ``keys``."""
+    return lookup_join(df, keys.select(*_names(on)).distinct(), on, "left_anti")
 
 
 def lookup_on(
-    facts: DataFrame, table: DataFrame, fact_key: Column, table_key: Column, how: str = "left"
+    facts: DataFrame,
+    table: DataFrame,
+    fact_key: Column,
+    table_key: Column,
+    how: str = "left",
+    rows: int | None = None,
 ) -> DataFrame:
     """Look-up on an expression of both sides, such as ``lower(a) = lower(b)``."""
     keyed = table.withColumn("_key", table_key)
-    return lookup_join(facts.withColumn("_key", fact_key), keyed, "_key", how).drop("_key")
+    return lookup_join(facts.withColumn("_key", fact_key), keyed, "_key", how, rows=rows).drop("_key")
 
 
 def lookup(

@@ -57,6 +57,12 @@ class Features:
     null_numbers: str = "error"
     formula_nulls: str = "skip"
 
+    def columns(self) -> list[str]:
+        """The input columns, each once; a job reads no others."""
+        texts = [column.name for column in self.text]
+        groups = (self.numeric, self.categorical, self.formula, texts, self.vectors, self.flags)
+        return list(dict.fromkeys(name for group in groups for name in group))
+
 
 @dataclass(frozen=True)
 class Learner:

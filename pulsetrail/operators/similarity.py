@@ -15,6 +15,8 @@ BUCKET_WIDTH = 0.2
 HASH_TABLES = 3
 WIDEST = 100000.0
 
+MAX_PROBES = 1_000  # a set of up to this many vectors is broadcast to the other set
+
 
 def projection_model(
     df: DataFrame, vector: str, bucket: float = BUCKET_WIDTH, tables: int = HASH_TABLES
@@ -45,8 +47,12 @@ def similar_pairs(
     """``(idA, idB, dist)`` of the pairs that share a bucket and are at most ``widest`` apart.
 
     One equi join on (table, bucket). A pair that shares several buckets is reported by the first of
-    them only, so no distinct over the pairs is needed.
+    them only, so no distinct over the pairs is needed. ``right`` is meant to be a short list (a
+    given list of items, a top-k report, a single mean): it is counted, and broadcast when it has at
+    most MAX_PROBES vectors, so ``left`` may be of any size and is not shuffled. A longer list takes
+    a shuffle join with the same result.
     """
+    short = right.limit(MAX_PROBES + 1).count() <= MAX_PROBES
     a = hashed(model, left, key).select(
         F.col("id").alias("idA"), F.col("vec").alias("vecA"), F.col("hashes").alias("hashesA"),
         F.posexplode("hashes").alias("table", "bucket"),
@@ -57,7 +63,7 @@ def similar_pairs(
     )
     shared = F.zip_with("hashesA", "hashesB", lambda x, y: x == y)
     first = F.array_position(shared, F.lit(True)) == F.col("table") + 1
-    pairs = a.join(b, ["table", "bucket"]).where(first)
+    pairs = a.join(F.broadcast(b) if short else b, ["table", "bucket"]).where(first)
     return pairs.select("idA", "idB", euclidean("vecA", "vecB").alias("dist")).where(
         F.col("dist") <= widest
     )

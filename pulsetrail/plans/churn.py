@@ -30,7 +30,7 @@ def train_churn(
     rows = rows.selectExpr("*", "concat_ws('|', hdid, dt) as row_key")
     test = scan_day(spark, table, day(dt, test_offset))
     sampled = two_stage_sample(rows, "row_key", features.label)
-    trained = train_and_report(sampled, test, features, learner)
+    trained = train_and_report(sampled, test, features, learner, keys=["hdid"])
     save_model(trained.model, artefacts, "churn", dt)
     write_scores(trained.held_out, target, ["hdid"], day(dt), with_label=features.label)
     return trained

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pulsetrail.functions.values import match_fill
 from pulsetrail.operators.cleaning import fill_defaults, mean_vector, popular_items
-from pulsetrail.operators.joins import keep_unseen, lookup_on
+from pulsetrail.operators.joins import keep_unseen, lookup_join, lookup_on
 from pulsetrail.operators.pipelines import Features, feature_stages
 from pulsetrail.operators.similarity import projection_model, similar_pairs
 from pulsetrail.plans import feature_sets as sets
@@ -30,8 +30,10 @@ def material_rows(
     live = live_counts.select("hdid", F.col("live_cnt").alias("_live"), F.lit(1).alias("_in_live"))
     apps = app_lists.select("hdid", F.col("applist").alias("_apps"), F.lit(1).alias("_in_apps"))
     joined = users.where(F.col("mate_id").isNotNull())
-    joined = lookup_on(joined, devices, F.lower("sjp"), F.lower("_sjp"))
-    joined = joined.join(live, "hdid", "left").join(apps, "hdid", "left")
+    rows = joined.count()
+    joined = lookup_on(joined, devices, F.lower("sjp"), F.lower("_sjp"), rows=rows)
+    joined = lookup_join(joined, live, "hdid", rows=rows)
+    joined = lookup_join(joined, apps, "hdid", rows=rows)
     filled = joined.withColumns(
         {
             "applists": match_fill("_apps", "_in_apps", ""),

@@ -30,11 +30,17 @@ class Trained:
     held_out: DataFrame
 
 
-def evaluated(model: PipelineModel, df: DataFrame, label: str) -> DataFrame:
-    """All columns of ``df`` with ``prediction`` and P(positive), computed once."""
-    scored = model.transform(df)
-    kept = [*df.columns, "prediction", positive_probability().alias("probability")]
-    return stage(scored.select(*kept).withColumn(label, F.col(label).cast("int")), "scored")
+def evaluated(
+    model: PipelineModel, df: DataFrame, label: str, keys: Sequence[str] = ()
+) -> DataFrame:
+    """Keys, label, ``prediction`` and P(positive), computed once for all the reports."""
+    scored = model.transform(df).select(
+        *keys,
+        F.col(label).cast("int").alias(label),
+        "prediction",
+        positive_probability().alias("probability"),
+    )
+    return stage(scored, "scored")
 
 
 def train_and_report(
@@ -43,13 +49,18 @@ def train_and_report(
     features: Features,
     learner: Learner,
     plain_names: bool = False,
+    keys: Sequence[str] = (),
 ) -> Trained:
-    """Fit on ``training``; confusion and AUC on both parts, by the label that was trained on."""
-    training = stage(training, "training")
+    """Fit on ``training``; confusion and AUC on both parts, by the label that was trained on.
+
+    Only the feature columns and the label of the training rows are read and staged; the held-out
+    rows keep ``keys`` beside their scores.
+    """
+    training = stage(training.select(features.label, *features.columns()), "training")
     model = train(training, build_pipeline(features, learner))
     parts = {
         "trained": evaluated(model, training, features.label),
-        "test": evaluated(model, held_out, features.label),
+        "test": evaluated(model, held_out, features.label, keys),
     }
     reports = [confusion(df, tag, features.label, plain=plain_names) for tag, df in parts.items()]
     aucs = [auc(df, features.label).withColumn("type", F.lit(tag)) for tag, df in parts.items()]

@@ -1,8 +1,9 @@
-"""Daily-partitioned parquet tables: pruned scans and idempotent partition writes."""
+"""Daily-partitioned parquet tables, by path or catalog name: pruned scans, idempotent writes."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,15 +11,28 @@ from pyspark.sql import functions as F
 from pulsetrail.functions.dates import day
 
 
-def _table(spark: SparkSession, path: str) -> DataFrame:
-    # the day is a string such as 2024-01-30 or 20240130, never a date or a number
-    setting = "spark.sql.sources.partitionColumnTypeInference.enabled"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "false")
+def _in_catalog(name: str) -> bool:
+    """A table is named by its path, or by its catalog name when there is no slash in it."""
+    return "/" not in name
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting that holds for one action."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
     try:
-        return spark.read.parquet(path)
+        yield
     finally:
-        spark.conf.set(setting, before)
+        spark.conf.set(key, before)
+
+
+def _table(spark: SparkSession, name: str) -> DataFrame:
+    if _in_catalog(name):
+        return spark.table(name)
+    # the day is a string such as 2024-01-30 or 20240130, never a date or a number
+    with _setting(spark, "spark.sql.sources.partitionColumnTypeInference.enabled", "false"):
+        return spark.read.parquet(name)
 
 
 def scan_day(spark: SparkSession, path: str, dt: str) -> DataFrame:
@@ -55,6 +69,12 @@ def write_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     _overwrite(df.hint("rebalance", *by), path, list(by))
 
 
-def _overwrite(df: DataFrame, path: str, by: list[str]) -> None:
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*by).parquet(path)
+def _overwrite(df: DataFrame, name: str, by: list[str]) -> None:
+    spark = df.sparkSession
+    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        if not _in_catalog(name):
+            df.write.mode("overwrite").partitionBy(*by).parquet(name)
+        elif spark.catalog.tableExists(name):
+            df.select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
+        else:
+            df.write.format("parquet").partitionBy(*by).saveAsTable(name)

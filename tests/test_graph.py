@@ -71,10 +71,10 @@ def test_exact_hops_of_the_small_graph(spark, rows):
     assert found == [(0, 16), (16, 0), (16, 2), (2, 16)]
 
 
-@pytest.mark.parametrize("hot_rows", [joins.HOT_ROWS, 4])
+@pytest.mark.parametrize("hot_rows", [1000, 4])
 def test_random_graph(spark, rows, monkeypatch, hot_rows):
     """Brute force agrees, also when hubs take the broadcast path."""
-    monkeypatch.setattr(graph.lookup_join, "__defaults__", ("left", hot_rows))
+    monkeypatch.setattr(joins, "HOT_ROWS", hot_rows)
     links = random_links(hot_rows)
     df, near, far = edges(spark, links), neighbours(links), distances(links)
     components = rows(graph.connected_components(None, df))

@@ -46,7 +46,7 @@ def test_first_per_key_is_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in first._jdf.queryExecution().toString()
 
 
-@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
 @pytest.mark.parametrize("hot_rows", [1, 50, 10**9])
 def test_lookup_join_equals_a_plain_join(skewed, spark, rows, how, hot_rows):
     table = spark.createDataFrame([("hot", 1.0), ("k3", 2.0), ("k4", None)], "k string, v double")

@@ -16,6 +16,18 @@ def test_other_partitions_stay(spark, rows, tmp_path):
     assert rows(tables.scan_day(spark, path, "20240102")) == [(2, "20240102")]
 
 
+def test_catalog_tables_by_name(spark, rows, tmp_path):
+    spark.sql(f"create table days (v int, dt string) using parquet partitioned by (dt) location '{tmp_path}/days'")
+    tables.write_partition(spark.createDataFrame([(1,)], "v int"), "days", dt="2024-01-01")
+    tables.write_partition(spark.createDataFrame([(2,)], "v int"), "days", dt="2024-01-02")
+    tables.write_partition(spark.createDataFrame([(3,)], "v int"), "days", dt="2024-01-01")
+    assert rows(tables.scan_range(spark, "days", "2024-01-01", "2024-12-31")) == [
+        (2, "2024-01-02"),
+        (3, "2024-01-01"),
+    ]
+    spark.sql("drop table days")
+
+
 def test_writing_a_day_twice_gives_it_once(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.range(10)
