@@ -130,8 +130,10 @@ def lookup_default(spark: SparkSession, folder: str) -> DataFrame:
 def endpoint_join(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
     nations = table(spark, folder, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    named = lookup_join(orders, table(spark, folder, "customer"), "c_custkey", "inner")
-    return lookup_join(named, nations, "c_nationkey", "inner").select("o_orderkey", "c_name", "n_name")
+    rows = orders.count()
+    named = lookup_join(orders, table(spark, folder, "customer"), "c_custkey", "inner", rows=rows)
+    named = lookup_join(named, nations, "c_nationkey", "inner", rows=rows)
+    return named.select("o_orderkey", "c_name", "n_name")
 
 
 @query(

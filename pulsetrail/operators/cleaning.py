@@ -87,10 +87,12 @@ def minmax(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ).scalar()
 
     def scaled(name: str) -> Column:
-        low, high = bounds[f"lo_{name}"], bounds[f"hi_{name}"]
+        low, high = F.col(f"_bounds.lo_{name}"), F.col(f"_bounds.hi_{name}")
         return F.when(high == low, 0.5).otherwise((F.col(name) - low) / (high - low))
 
-    return df.withColumns({c: scaled(c) for c in columns})
+    # a column of its own, so that the bounds are computed once and not per use
+    beside = df.withColumn("_bounds", bounds)
+    return beside.withColumns({c: scaled(c) for c in columns}).drop("_bounds")
 
 
 def array_difference(a: Column | str, b: Column | str) -> Column:

@@ -107,29 +107,26 @@ def degrees(edges: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- connected components
 
 
-def _is_star_forest(links: DataFrame) -> bool:
-    """Whether every ``src`` has one ``dst`` and no ``dst`` is a ``src``: each component is a star."""
-    roles = links.select(F.col("src").alias("id"), F.lit(1).alias("out"), F.lit(0).alias("into"))
-    roles = roles.unionByName(
-        links.select(F.col("dst").alias("id"), F.lit(0).alias("out"), F.lit(1).alias("into"))
-    )
-    counted = roles.groupBy("id").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
-    return counted.where("out > 1 or (out = 1 and into = 1)").isEmpty()
+def _settled(links: DataFrame) -> DataFrame:
+    """The links whose ``src`` has no other link: it can only get the label of its ``dst``."""
+    single = links.groupBy("src").agg(F.min("dst").alias("dst"), F.count("*").alias("n"))
+    used = links.select(F.col("dst").alias("src")).distinct()
+    return single.where("n = 1").drop("n").join(used, "src", "left_anti")
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame, rows: int) -> DataFrame:
     """Link the larger neighbours of every vertex to the smallest of its neighbours and itself."""
     facing = both_ways(links)
     lowest = facing.groupBy("src").agg(F.min("dst").alias("low"))
     lowest = lowest.select("src", F.least("src", "low").alias("low"))
-    joined = lookup_join(facing, lowest, "src", "inner").where("dst > src")
+    joined = lookup_join(facing, lowest, "src", "inner", rows=2 * rows).where("dst > src")
     return joined.select(F.col("dst").alias("src"), F.col("low").alias("dst")).distinct()
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, rows: int) -> DataFrame:
     """Link every vertex and its smaller neighbours to the smallest of those neighbours."""
     lowest = links.groupBy("src").agg(F.min("dst").alias("low"))
-    joined = lookup_join(links, lowest, "src", "inner")
+    joined = lookup_join(links, lowest, "src", "inner", rows=rows)
     moved = joined.where("dst > low").select(F.col("dst").alias("src"), F.col("low").alias("dst"))
     own = lowest.select("src", F.col("low").alias("dst"))
     return moved.unionByName(own).distinct()
@@ -140,22 +137,36 @@ def connected_components(vertices: DataFrame | None, edges: DataFrame) -> DataFr
 
     Alternates large-star and small-star steps (Kiveris et al., 2014), which reach a star per
     component in a number of rounds that grows with the square of the logarithm of the size, however
-    long the paths are. Every step is a partial aggregation plus a look-up that keeps hub vertices
-    out of the shuffle, and every round is staged in the shared folder. Vertices that occur only in
-    ``edges`` are included, and so are vertices without an edge.
+    long the paths are. After each round the vertices that hang on a single smaller neighbour are set
+    aside, as they can only get its label; later rounds work on what is left, so finished components
+    and the leaves of hubs are not shuffled again. In the end the labels are handed back from the
+    last round to the first. Every step is a partial aggregation plus a look-up that keeps hub
+    vertices out of the shuffle, and every round is staged in the shared folder. Vertices that occur
+    only in ``edges`` are included, and so are vertices without an edge.
     """
     pairs = stage(pairs_of(edges), "pairs")
-    links, done, rounds = pairs.where("src <> dst"), False, 0
-    while not done:
-        half = stage(_large_star(links), "large-star")
-        moved = stage(_small_star(half), "small-star")
+    links = pairs.where("src <> dst")
+    left, rounds = links.count(), []
+    while left:
+        # large-star returns at most one link per link, small-star at most two
+        half = stage(_large_star(links, left), "large-star")
+        moved = stage(_small_star(half, left), "small-star")
+        settled = _settled(moved).select("src", F.lit(True).alias("settled"))
+        marked = stage(lookup_join(moved, settled, "src", rows=2 * left), "marked")
         discard(half)
-        if rounds:
-            discard(links)
-        links, rounds = moved, rounds + 1
-        done = _is_star_forest(links)
-    stars = links.select(F.col("src").alias("id"), F.col("dst").alias("component"))
-    return _all_ids(vertices, pairs).join(stars, "id", "left").select(
+        discard(moved)
+        rounds.append(marked.where("settled").select("src", "dst"))
+        links = marked.where("settled is null").select("src", "dst")
+        left = links.count()
+
+    labels = pairs.where("false").select(F.col("src").alias("id"), F.col("dst").alias("component"))
+    while rounds:
+        settled = rounds.pop()
+        above = labels.select(F.col("id").alias("dst"), "component")
+        found = lookup_join(settled, above, "dst")
+        found = found.select(F.col("src").alias("id"), F.coalesce("component", "dst").alias("component"))
+        labels = stage(labels.unionByName(found), "labels")
+    return _all_ids(vertices, pairs).join(labels, "id", "left").select(
         "id", F.coalesce("component", "id").alias("component")
     )
 

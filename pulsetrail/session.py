@@ -8,8 +8,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app: str = "pulsetrail", master: str | None = None, **conf) -> SparkSession:
-    """A session with the settings the library is written for; ``conf`` overrides any of them."""
+def build_session(
+    app: str = "pulsetrail", master: str | None = None, hive: bool = False, **conf
+) -> SparkSession:
+    """A session with the settings the library is written for.
+
+    ``conf`` overrides or adds settings, with ``__`` for the dots; ``hive`` reads and writes the
+    tables of a Hive catalog.
+    """
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
@@ -20,6 +26,8 @@ def build_session(app: str = "pulsetrail", master: str | None = None, **conf) ->
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if hive:
+        builder = builder.enableHiveSupport()
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -1,13 +1,12 @@
 """What the plans must and must not contain."""
 
-import inspect
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
-from pulsetrail.operators import cleaning, evaluation, joins, models, sampling, similarity
+from pulsetrail.operators import cleaning, evaluation, joins, sampling, similarity
 from pulsetrail.plans import feature_sets as sets
 
 MODEL_QUERIES = {n for n in entry_points.queries() if n not in entry_points.oracle_sql()}
@@ -86,4 +85,3 @@ def test_short_lists_are_broadcast_and_long_ones_shuffled(spark, monkeypatch):
 def test_training_reads_only_its_columns():
     assert set(sets.EXPOSURE.columns()) >= {"applists", "is_exposure_v2", "sex", "start_cnt_d7"}
     assert len(sets.MATERIAL.columns()) == len(set(sets.MATERIAL.columns())) == 20
-    assert "persist" in inspect.getsource(models.train)
