@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pulsetrail.catalog.encoding import FIELDS_SQL, chi_square_sql, profiles
 from pulsetrail.catalog.registry import query, table
 from pulsetrail.functions.vectors import render, to_vector
-from pulsetrail.operators.cleaning import baskets
+from pulsetrail.operators.cleaning import baskets, popular_items
 from pulsetrail.operators.encoding import ordinal_profile
 from pulsetrail.operators.evaluation import rmse
 from pulsetrail.operators.models import (
@@ -279,8 +279,11 @@ def als_rmse(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("als_recommend")
 def als_recommend(spark: SparkSession, folder: str) -> DataFrame:
-    model, _, users, _ = factors(spark, folder)
-    return recommend(model, users.select(F.col("index").alias("userId")), 10)
+    """The ten best of the fifty most ordered parts, for every customer."""
+    model, ratings, users, _ = factors(spark, folder)
+    report = popular_items(ratings, "itemId", "userId", 50)
+    items = [row["itemId"] for row in report.select("itemId").collect()]
+    return recommend(model, users.select(F.col("index").alias("userId")), items, 10)
 
 
 @query("als_item_vectors")
