@@ -60,7 +60,7 @@ def order_rows(spark: SparkSession, folder: str) -> DataFrame:
         F.avg("l_discount").alias("discount"),
         F.max("l_tax").alias("tax"),
         F.countDistinct("l_suppkey").alias("suppliers"),
-        F.concat_ws("|", F.array_sort(F.collect_set("l_returnflag"))).alias("flags"),
+        F.concat_ws("|", F.sort_array(F.collect_set("l_returnflag"))).alias("flags"),
     )
     customers = table(spark, folder, "customer")
     orders = table(spark, folder, "orders").join(

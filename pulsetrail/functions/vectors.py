@@ -44,7 +44,7 @@ def render(values: Column | str, separator: str = ",") -> Column:
 def render_pairs(pairs: Column | str) -> Column:
     """An array of ``(index, value)`` structs as ``index:value`` text, ordered by index."""
     texts = F.transform(
-        F.array_sort(_column(pairs)),
+        F.sort_array(_column(pairs)),
         lambda pair: F.concat_ws(":", pair["index"].cast("string"), pair["value"].cast("string")),
     )
     return F.concat_ws(" ", texts)

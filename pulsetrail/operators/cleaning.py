@@ -59,7 +59,7 @@ def baskets(
     placed = positions(taken, [user], [F.col(day), F.col(item)], "place")
     parts = placed.groupBy(user, F.floor(F.col("place") / chunk).alias("part")).agg(
         F.transform(
-            F.array_sort(F.collect_list(F.struct("place", item))), lambda entry: entry[item]
+            F.sort_array(F.collect_list(F.struct("place", item))), lambda entry: entry[item]
         ).alias("items")
     )
     return parts.where((F.size("items") >= at_least) | (F.col("part") > 0))

@@ -62,7 +62,7 @@ def multi_hot(df: DataFrame, key: str, column: str, separator: str, vocab: DataF
     """
     pairs = df.select(key, F.explode(F.split(column, separator)).alias("token")).distinct()
     found = lookup_join(stage(pairs, "entries"), vocab, "token", "inner")
-    indices = found.groupBy(key).agg(F.array_sort(F.collect_list("index")).alias("indices"))
+    indices = found.groupBy(key).agg(F.sort_array(F.collect_list("index")).alias("indices"))
     return df.select(key).join(indices, key, "left").select(
         key, F.coalesce("indices", F.array().cast("array<bigint>")).alias("indices")
     )
@@ -138,7 +138,7 @@ def sparse_profile(
 ) -> Column:
     """The positions (from 1, ascending) that a row's fields switch on."""
     found = [code_of(name, table, other) for name, (table, other) in positions.items()]
-    return F.array_sort(F.array_compact(F.array(*found)))
+    return F.sort_array(F.array_compact(F.array(*found)))
 
 
 def positions_to_vector(positions: Column | str, width: int) -> Column:
