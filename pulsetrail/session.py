@@ -65,13 +65,20 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a staged table that no later step reads any more."""
     spark = df.sparkSession
-    root = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/"
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    folders = {file.rsplit("/", 1)[0] for file in df.inputFiles()}
-    for folder in folders:
-        target = hadoop_path(folder)
-        if hadoop_path(root).toUri().getPath().rstrip("/") + "/" in target.toUri().getPath():
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    own = f"/{spark.sparkContext.applicationId}/"
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        if own in folder:
+            _delete(spark, folder)
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete all staged tables of this application, once its results are written."""
+    _delete(spark, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")

@@ -81,6 +81,16 @@ def test_discard_leaves_other_tables_alone(spark, tmp_path):
     assert spark.read.parquet(path).count() == 3
 
 
+def test_clearing_ends_all_staged_tables(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))
+    first, second = (session.stage(spark.range(n), "numbers") for n in (1, 2))
+    session.clear_staged(spark)
+    for df in (first, second):
+        with pytest.raises(Exception, match="(?i)path|file|exist"):
+            df.collect()
+    assert list(tmp_path.iterdir()) == []
+
+
 def test_a_cluster_needs_the_setting(monkeypatch):
     class Context:
         master = "yarn"
