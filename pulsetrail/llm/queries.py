@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsetrail.llm import exact, packing, secrets
+from pulsetrail.llm import exact, language, packing, secrets, simhash, toxicity
+from pulsetrail.llm.common import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +21,30 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(documents(spark, folder)).drop("row")
 
 
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    part = remainder(F.col("doc_id"), 3)
+    model = language.fit(language.labelled(docs, part != 1))
+    found = language.predict(docs, model)
+    return found.withColumn("held_out", F.coalesce(part == 1, F.lit(False)))
+
+
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, part = documents(spark, folder), remainder(F.col("doc_id"), 5)
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    model = toxicity.fit(docs, labels, part != 0)
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        F.coalesce(part == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_documents(documents(spark, folder))
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.mark_duplicates(documents(spark, folder))
 
@@ -60,6 +85,9 @@ def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
+    "op2_language": op2_language,
+    "op6_toxicity": op6_toxicity,
+    "op7_simhash": op7_simhash,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_secrets": op9_secrets,
 }
