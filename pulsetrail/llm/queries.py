@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsetrail.llm import exact, language, packing, secrets, simhash, toxicity
+from pulsetrail.llm import exact, language, mixing, packing, pieces, secrets, simhash, toxicity
 from pulsetrail.llm.common import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,15 @@ def op2_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("held_out", F.coalesce(part == 1, F.lit(False)))
 
 
+def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs, part = documents(spark, folder), remainder(F.col("doc_id"), 7)
+    found = mixing.score_documents(docs, part != 2)
+    bits = -F.col("score") * F.log2(F.lit(10.0)) / F.greatest("n_bytes", F.lit(1))
+    return found.withColumns(
+        {"held_out": F.coalesce(part == 2, F.lit(False)), "bits_per_byte": bits}
+    )
+
+
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, part = documents(spark, folder), remainder(F.col("doc_id"), 5)
     labels = spark.read.parquet(f"{folder}/labels.parquet")
@@ -83,12 +92,22 @@ def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text encoded with dropout, and the digest of what its ids decode to."""
+    decoded = pieces.decode_documents(pieces.encode_documents(documents(spark, folder)))
+    return decoded.select(
+        "doc_id", "n_pieces", "ids_crc32", F.sha2("text", 256).alias("decoded_sha256")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_language": op2_language,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_toxicity": op6_toxicity,
     "op7_simhash": op7_simhash,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_secrets": op9_secrets,
+    "op10_pieces": op10_pieces,
 }
 ORACLES: dict[str, str] = {"op8_exact_dedup": OP8_SQL}
