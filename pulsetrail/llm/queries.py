@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsetrail.llm import exact, language, mixing, packing, pieces, secrets, simhash, toxicity
+from pulsetrail.llm import exact, fingerprints, language, mixing, packing, pieces, secrets, simhash, toxicity
 from pulsetrail.llm.common import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,18 @@ def op2_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("held_out", F.coalesce(part == 1, F.lit(False)))
 
 
+def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.near_edits(documents(spark, folder)).select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.as_text(F.col("sig")).alias("fingerprint"),
+        fingerprints.as_text(F.col("edited_sig")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     docs, part = documents(spark, folder), remainder(F.col("doc_id"), 7)
     found = mixing.score_documents(docs, part != 2)
@@ -103,6 +115,7 @@ def op10_pieces(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_language": op2_language,
+    "op3_fingerprints": op3_fingerprints,
     "op5_lm_scoring": op5_lm_scoring,
     "op6_toxicity": op6_toxicity,
     "op7_simhash": op7_simhash,
