@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsetrail.llm import exact, fingerprints, language, mixing, packing, pieces, secrets, simhash, toxicity
+from pulsetrail.llm import exact, fingerprints, language, mixing, packing, pieces, repeats, secrets, simhash, toxicity
 from pulsetrail.llm.common import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,10 @@ def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove_repeats(documents(spark, folder))
+
+
 def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     docs, part = documents(spark, folder), remainder(F.col("doc_id"), 7)
     found = mixing.score_documents(docs, part != 2)
@@ -116,6 +120,7 @@ QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_language": op2_language,
     "op3_fingerprints": op3_fingerprints,
+    "op4_repeats": op4_repeats,
     "op5_lm_scoring": op5_lm_scoring,
     "op6_toxicity": op6_toxicity,
     "op7_simhash": op7_simhash,
