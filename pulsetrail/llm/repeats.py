@@ -25,13 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsetrail.llm.common import in_arrow, plain, record, slices
+from pulsetrail.llm.common import (
+    MAP_BITS, bit_blocks, has_bit, in_arrow, merged_bitmap, plain, record, slices,
+)
 
 WINDOW = 100
 SLICE = 2_000_000  # bytes that are hashed at once
 KEYS_AT_ONCE = 2_000_000
-MAP_BITS = 27  # of the bitmap of repeated anchors
-MAP_BLOCK = 1 << 15
 BASE = 0x9E3779B97F4A7C15
 LAST = (1 << 63) - 1  # rows without an id come after all others
 
@@ -133,7 +133,6 @@ def repeated_anchors(docs: DataFrame, window: int) -> np.ndarray:
     spark = docs.sparkSession
     buckets = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     sent = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("again", pa.binary())])
-    marked = pa.schema([("block", pa.int32()), ("bits", pa.binary())])
 
     def hand_on(keys: list[np.ndarray]) -> pa.RecordBatch:
         key, times = np.unique(np.concatenate(keys), return_counts=True)
@@ -169,32 +168,15 @@ def repeated_anchors(docs: DataFrame, window: int) -> np.ndarray:
             for batch in batches
             for row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "keys", "again")))
         )
-        found = np.zeros(0, np.int64)
         for _, group in groupby(rows, lambda row: row[0]):
             _, keys, again = zip(*group)
-            found = np.union1d(found, _bit(twice(keys, again)))
-        blocks, starts = np.unique(found // MAP_BLOCK, return_index=True)
-        for block, part in zip(blocks, np.split(found, starts[1:])):
-            yield record(marked, block=[block], bits=[(part % MAP_BLOCK).astype("<u2").tobytes()])
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for block, bits in zip(batch.column("block").to_pylist(), batch.column("bits").to_pylist()):
-                held.setdefault(block, np.zeros(MAP_BLOCK, bool))[np.frombuffer(bits, "<u2")] = True
-        for block, bits in held.items():
-            yield record(marked, block=[block], bits=[np.packbits(bits).tobytes()])
+            yield from bit_blocks(_bit(twice(keys, again)))
 
     counted = in_arrow(docs.select("text"), count, "bucket int, keys binary, again binary")
     found = in_arrow(
         counted.repartition("bucket").sortWithinPartitions("bucket"), find, "block int, bits binary"
     )
-    merged = in_arrow(found.repartition("block"), merge, "block int, bits binary")
-    bitmap = np.zeros(1 << MAP_BITS - 3, np.uint8)
-    for row in merged.toLocalIterator():
-        at = row["block"] * (MAP_BLOCK // 8)
-        bitmap[at : at + MAP_BLOCK // 8] = np.frombuffer(row["bits"], np.uint8)
-    return bitmap
+    return merged_bitmap(found)
 
 
 def _bit(key: np.ndarray) -> np.ndarray:
@@ -233,8 +215,7 @@ def repeated_spans(docs: DataFrame, window: int) -> DataFrame:
         for batch in slices(batches, "text", SLICE):
             data, ends = _laid_out(batch)
             start, count, anchor, key = runs_of(data, ends, window)
-            bit = _bit(key)
-            marked = np.flatnonzero(shared.value[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8) & 1)
+            marked = np.flatnonzero(has_bit(shared.value, _bit(key)))
             start, count, anchor, key = start[marked], count[marked], anchor[marked], key[marked]
             doc = np.searchsorted(ends, start, "right")
             begin = start - np.append(0, ends)[doc]

@@ -11,11 +11,13 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsetrail.llm.common import in_arrow, plain, record, slices
+from pulsetrail.llm.common import bitmap_of, in_arrow, may_have, plain, record, slices
+from pulsetrail.session import stage
 
 # The kinds in the order of the report, their patterns, and the least length of the
 # secret itself (group 2, or the whole match).
@@ -124,28 +126,38 @@ def scan_documents(
     return paths.join(known.drop("rules"), "blob").select("doc_id", "kinds", "starts", "ends")
 
 
-def redact(docs: DataFrame, mark: str = "[secret]", text_col: str = "text") -> DataFrame:
-    """The documents with every span found in ``text_col`` replaced by ``mark``; the rest as it is.
+def without_spans(text: str, starts: list[int], ends: list[int], mark: str) -> str:
+    """The text with ``mark`` in place of each span; overlapping spans are replaced together."""
+    parts, done = [], 0
+    for start, end in zip(starts, ends):
+        if start >= done:
+            parts += [text[done:start], mark]
+        done = max(done, end)
+    return "".join([*parts, text[done:]])
 
-    Overlapping spans are replaced together. Each blob is its own path here, so nothing is moved.
+
+def redact(docs: DataFrame, mark: str = "[secret]", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents with every span found in ``text_col`` replaced by ``mark``, all else as it is.
+
+    Only blobs with findings are joined back; a bitmap of fixed size tells which documents may hold
+    one, so no other text is moved a second time.
     """
-    schema = docs.schema
-    names = docs.columns
-    at = names.index(text_col)
-
-    def clean(text: str | None) -> str | None:
-        if text is None:
-            return None
-        parts, done = [], 0
-        for start, end, _ in find_spans(text):
-            if start >= done:
-                parts += [text[done:start], mark]
-            done = max(done, end)
-        return "".join([*parts, text[done:]]) if done else text
-
-    def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text_col):
-            texts = pa.array([clean(t.as_py()) for t in batch.column(at)], batch.schema.field(at).type)
-            yield batch.set_column(at, batch.schema.field(at), texts)
-
-    return in_arrow(docs, rewrite, schema)
+    held = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("held"),
+        F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)).alias("id"),
+    )
+    found = stage(update_ledger(docs, None, RULES, id_col, text_col), "ledger").where("size(kinds) > 0")
+    found = found.select(F.col("blob").alias("id"), "starts", "ends")
+    held = held.withColumn("may", may_have(F.col("id"), bitmap_of(found)))
+    touched = held.where("may").join(found, "id", "left")
+
+    @F.pandas_udf("string")
+    def cleaned(text: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
+        return pd.Series(
+            [t if a is None else without_spans(t, a, b, mark) for t, a, b in zip(text, starts, ends)], dtype=object
+        )
+
+    own = [F.col(f"held.`{c}`").alias(c) for c in docs.columns]
+    at = docs.columns.index(text_col)
+    new = [*own[:at], cleaned(F.col(f"held.`{text_col}`"), "starts", "ends").alias(text_col), *own[at + 1 :]]
+    return held.where("not may").select(*own).unionByName(touched.select(*new))

@@ -11,15 +11,15 @@ returns a spanning forest of the pairs that it finds, never the pairs themselves
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import accumulate, combinations
+from itertools import accumulate, combinations, pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_digest
+from xxhash import xxh3_128_digest, xxh64_digest
 
-from pulsetrail.llm.common import in_arrow, plain, record, slices
+from pulsetrail.llm.common import bitmap_of, in_arrow, may_have, plain, record, slices
 from pulsetrail.operators.graph import connected_components
 from pulsetrail.session import stage
 
@@ -30,25 +30,37 @@ TREE = 1024  # fingerprints of one tree, on average, in shards with more than th
 ROWS = 1 << 16  # shingles whose bits are counted at once
 PAIRS = 1 << 21  # pairs of query and node that are looked at together
 
+# of near_pairs, which looks for a similarity of the shingles rather than for a number of bits
+WIDE = 128
+BANDS, BAND_BITS = 64, 16
+WIDE_RADIUS = 36
+SIMILAR = 0.8
+SHINGLE = 5
 
-def fingerprint(text: bytes, shingle: int) -> bytes:
-    """Eight bytes, most significant first; a bit is set where over half the shingle hashes have it.
 
-    ASCII is lower-cased, words are split at blanks, shingles joined by one space count with repeats.
-    A text with fewer words is one shingle; one without words has the fingerprint zero.
+def shingles(text: bytes, size: int) -> list[bytes]:
+    """Runs of ``size`` words joined by one space; all words if there are fewer; none without words.
+
+    ASCII is lower-cased, words are split at blanks.
     """
     words = text.lower().split()
-    if not words:
-        return bytes(BITS // 8)
     line = b" ".join(words)
-    if len(words) <= shingle:
-        hashes = xxh64_digest(line, SEED)
-    else:
-        ends = list(accumulate(map(len, words), lambda a, n: a + n + 1))
-        starts = [0, *(e + 1 for e in ends)]
-        hashes = b"".join([xxh64_digest(line[a:b], SEED) for a, b in zip(starts, ends[shingle - 1 :])])
-    table = np.frombuffer(hashes, np.uint8).reshape(-1, 8)
-    ones = np.zeros(BITS, np.int64)
+    if len(words) <= size:
+        return [line] if words else []
+    ends = list(accumulate(map(len, words), lambda a, n: a + n + 1))
+    starts = [0, *(e + 1 for e in ends)]
+    return [line[a:b] for a, b in zip(starts, ends[size - 1 :])]
+
+
+def fingerprint(text: bytes, shingle: int, bits: int = BITS) -> bytes:
+    """``bits`` (64 or 128) bits, most significant first; set where over half the shingle hashes have it.
+
+    Repeated shingles count as often. A text without words has the fingerprint zero.
+    """
+    digest = xxh64_digest if bits == BITS else xxh3_128_digest
+    table = np.frombuffer(b"".join([digest(s, SEED) for s in shingles(text, shingle)]), np.uint8)
+    table = table.reshape(-1, bits // 8)
+    ones = np.zeros(bits, np.int64)
     for at in range(0, len(table), ROWS):
         ones += np.unpackbits(table[at : at + ROWS], axis=1).sum(axis=0, dtype=np.int64)
     return np.packbits(2 * ones > len(table)).tobytes()
@@ -88,11 +100,16 @@ def shard_keys(fp: Column, radius: int, blocks: int = BLOCKS) -> Column:
     return F.array(*keys)
 
 
+def apart(fps: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hamming distances of rows of ``fps``, which has 64 bits in each column."""
+    return np.bitwise_count(fps[a] ^ fps[b]).sum(axis=1, dtype=np.int64)
+
+
 def grow_trees(fps: np.ndarray, tree: np.ndarray, planted: np.ndarray) -> tuple[np.ndarray, ...]:
     """All BK-trees of a batch at once: ``(root of each row, edge keys, child of each edge)``.
 
     ``tree`` numbers the tree of each row in ascending order; rows with ``planted`` false are no nodes.
-    The first row of a tree must be a node; it is the root. An edge key is node * 128 + distance.
+    The first row of a tree must be a node; it is the root. An edge key is node * 256 + distance.
     """
     first = np.ones(len(tree), bool)
     first[1:] = tree[1:] != tree[:-1]
@@ -101,7 +118,7 @@ def grow_trees(fps: np.ndarray, tree: np.ndarray, planted: np.ndarray) -> tuple[
     at = roots[moving]
     keys, children = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     while moving.size:
-        key = at * 128 + np.bitwise_count(fps[moving] ^ fps[at])
+        key = at * 256 + apart(fps, moving, at)
         edge, earliest, which = np.unique(key, return_index=True, return_inverse=True)
         keys.append(edge)
         children.append(moving[earliest])
@@ -116,16 +133,16 @@ def grow_trees(fps: np.ndarray, tree: np.ndarray, planted: np.ndarray) -> tuple[
 
 def search(
     fps: np.ndarray, trees: tuple[np.ndarray, ...], queries: np.ndarray, radius: int
-) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """``(query, node)`` of earlier nodes within the radius, following only edges within it."""
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``(query, node, distance)`` of earlier nodes within the radius, following only edges within it."""
     roots, keys, children = trees
     query, node = queries, roots[queries]
     while query.size:
-        distance = np.bitwise_count(fps[query] ^ fps[node]).astype(np.int64)
+        distance = apart(fps, query, node)
         near = (distance <= radius) & (node < query)
-        yield query[near], node[near]
-        low = np.searchsorted(keys, node * 128 + np.maximum(distance - radius, 0))
-        high = np.searchsorted(keys, node * 128 + distance + radius, "right")
+        yield query[near], node[near], distance[near]
+        low = np.searchsorted(keys, node * 256 + np.maximum(distance - radius, 0))
+        high = np.searchsorted(keys, node * 256 + distance + radius, "right")
         count = high - low
         query = np.repeat(query, count)
         edge = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
@@ -138,8 +155,8 @@ def join_groups(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
     """Merge the groups of each pair in ``label``, in place; a label is the least row of its group."""
     while a.size:
         a, b = label[a], label[b]
-        apart = a != b
-        a, b = a[apart], b[apart]
+        different = a != b
+        a, b = a[different], b[different]
         np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
         while True:
             shorter = label[label]
@@ -148,61 +165,84 @@ def join_groups(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             label[:] = shorter
 
 
-def _link_batch(shard: np.ndarray, side: np.ndarray, fps: np.ndarray, lo, hi, radius: int):
-    """A spanning forest of the near pairs within each run of equal ``(shard, lo, hi)``."""
+Found = tuple[np.ndarray, np.ndarray, np.ndarray]  # rows, their partners, and the distances
+
+
+def spanning(found: Iterator[Found], n: int) -> Found:
+    """Pairs that connect just the rows that all found pairs connect: at most ``n - 1``."""
+    label = np.arange(n)
+    for a, b, _ in found:
+        join_groups(label, a, b)
+    linked = np.flatnonzero(label != np.arange(n))
+    return linked, label[linked], np.zeros(len(linked), np.int64)
+
+
+def nearest(found: Iterator[Found], n: int) -> Found:
+    """For each row its nearest partner among the earlier and among the later ones, where it has any."""
+    none = np.int64(1) << 60
+    before, after = np.full(n, none), np.full(n, none)
+    for a, b, distance in found:
+        np.minimum.at(before, a, distance << 40 | b)
+        np.minimum.at(after, b, distance << 40 | a)
+    rows = [np.flatnonzero(best < none) for best in (before, after)]
+    best = np.concatenate([before[rows[0]], after[rows[1]]])
+    return np.concatenate(rows), best & ((1 << 40) - 1), best >> 40
+
+
+def search_shards(columns: list[np.ndarray], radius: int, reduce) -> Found:
+    """What ``reduce`` keeps of the near pairs within each run of equal ``(shard, lo, hi)``."""
+    shard, lo, hi, side, _, *words = columns
     new = np.ones(len(shard), bool)
     new[1:] = (shard[1:] != shard[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
     run = np.cumsum(new) - 1
     size = np.bincount(run)
     rooted = side[np.flatnonzero(new)] == 0  # a run without tree rows has nothing to search
-    keep = (size[run] > 1) & rooted[run]
-    run, side, fps, crossing = run[keep], side[keep], fps[keep], (lo != hi)[keep]
-    if not len(run):
-        return np.empty(0, np.uint64), np.empty(0, np.uint64)
+    rows = np.flatnonzero((size[run] > 1) & rooted[run])
+    if not len(rows):
+        return rows, rows, rows
+    run, side, crossing = run[rows], side[rows], (lo != hi)[rows]
+    fps = np.column_stack([w[rows].view(np.uint64) for w in words])
     trees = grow_trees(fps, run, side == 0)
     queries = np.flatnonzero(~crossing | (side == 1))
-    label = np.arange(len(fps))
     work = np.cumsum(size[run[queries]])
-    for part in np.split(queries, np.searchsorted(work, np.arange(PAIRS, work[-1], PAIRS))):
-        for a, b in search(fps, trees, part, radius):
-            join_groups(label, a, b)
-    linked = np.flatnonzero(label != np.arange(len(fps)))
-    return fps[linked], fps[label[linked]]
+    cuts = [0, *np.searchsorted(work, np.arange(PAIRS, work[-1], PAIRS)), len(queries)]
+    found = (f for a, b in pairwise(cuts) for f in search(fps, trees, queries[a:b], radius))
+    a, b, distance = reduce(found, len(rows))
+    return rows[a], rows[b], distance
 
 
-def near_links(distinct: DataFrame, radius: int, blocks: int = BLOCKS, tree: int = TREE) -> DataFrame:
-    """``(src, dst)``: links between fingerprints that connect just what near pairs connect.
+def shard_pairs(rows: DataFrame, words: list[str], radius: int, reduce, tree: int = TREE) -> DataFrame:
+    """``(a, b, distance)`` of the pairs of ids that ``reduce`` keeps in each shard.
 
-    ``distinct`` has each ``fp`` once. Shards of more than ``tree`` fingerprints are dealt out to as
-    many trees as they need; every query of such a shard visits all of its trees, in tasks of one
-    tree and one part of the queries.
+    ``rows`` has ``shard``, ``id`` and the 64-bit ``words`` of a fingerprint. Shards of more than
+    ``tree`` rows are dealt out to as many trees as they need; every query of such a shard visits all
+    of its trees, in tasks of one tree and one part of the queries.
     """
-    rows = distinct.select("fp", F.explode(shard_keys(F.col("fp"), radius, blocks)).alias("shard"))
     large = rows.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > tree)
     large = large.select("shard", F.ceil(F.col("n") / tree).cast("int").alias("parts"))
+    parts = F.coalesce("parts", F.lit(1))
     dealt = rows.join(large, "shard", "left").select(
-        "fp", "shard", F.coalesce("parts", F.lit(1)).alias("parts")
-    )
-    own = F.pmod(F.xxhash64("fp", "shard"), F.col("parts")).cast("int").alias("own")
-    dealt = dealt.select("fp", "shard", own, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+        "shard", "id", *words,
+        F.pmod(F.xxhash64("id", "shard"), parts).cast("int").alias("own"),
+        F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"),
+    )
     meeting = dealt.select(
         "shard",
         F.least("own", "other").alias("lo"),
         F.greatest("own", "other").alias("hi"),
         (F.col("own") > F.col("other")).cast("int").alias("side"),
-        "fp",
-    )
+        "id", *words,
+    )
     key = ["shard", "lo", "hi"]
-    placed = meeting.repartition(*key).sortWithinPartitions(*key, "side", "fp")
-    schema = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
+    placed = meeting.repartition(*key).sortWithinPartitions(*key, "side", "id")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("distance", pa.int64())])
 
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
 
         def made(columns: list[np.ndarray]) -> pa.RecordBatch:
-            shard, lo, hi, side, fps = columns
-            a, b = _link_batch(shard, side, fps.view(np.uint64), lo, hi, radius)
-            return record(schema, src=a.view(np.int64), dst=b.view(np.int64))
+            a, b, distance = search_shards(columns, radius, reduce)
+            return record(schema, a=columns[4][a], b=columns[4][b], distance=distance)
 
         for batch in batches:
             columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
@@ -218,7 +258,19 @@ def near_links(distinct: DataFrame, radius: int, blocks: int = BLOCKS, tree: int
         if held:
             yield made(held)
 
-    return in_arrow(placed, link, "src long, dst long").distinct()
+    return in_arrow(placed, work, "a long, b long, distance long")
+
+
+def near_links(distinct: DataFrame, radius: int, blocks: int = BLOCKS, tree: int = TREE) -> DataFrame:
+    """``(src, dst)``: links between fingerprints that connect just what near pairs connect.
+
+    ``distinct`` has each ``fp`` once.
+    """
+    rows = distinct.select(
+        F.explode(shard_keys(F.col("fp"), radius, blocks)).alias("shard"), F.col("fp").alias("id"), "fp"
+    )
+    pairs = shard_pairs(rows, ["fp"], radius, spanning, tree)
+    return pairs.select(F.col("a").alias("src"), F.col("b").alias("dst")).distinct()
 
 
 def near_classes(prints: DataFrame, radius: int = 4, blocks: int = BLOCKS) -> DataFrame:
@@ -250,3 +302,90 @@ def near_documents(
     return near_classes(prints, radius).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+# ---------------------------------------------------------------- near by similarity of shingles
+
+
+def _id_of() -> Column:
+    """An id for every document: its own, or a negative one from the hash of its text."""
+    made = F.xxhash64("text").bitwiseOR(F.lit(-(1 << 63)))
+    return F.coalesce("doc_id", made)
+
+
+def wide_prints(docs: DataFrame) -> DataFrame:
+    """``(id, high, low, keys)`` of ``(id, text)``: 128 bits, and the shard of each band of them."""
+    schema = pa.schema([("id", pa.int64()), ("high", pa.int64()), ("low", pa.int64()),
+                        ("keys", pa.list_(pa.int32()))])
+    rng = np.random.default_rng(SEED)
+    chosen = np.array([rng.choice(WIDE, BAND_BITS, replace=False) for _ in range(BANDS)])
+    powers = 1 << np.arange(BAND_BITS, dtype=np.int64)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            texts = batch.column("text").cast(pa.binary())
+            data = np.frombuffer(b"".join(fingerprint(t.as_py(), SHINGLE, WIDE) for t in texts), np.uint8)
+            bits = np.unpackbits(data.reshape(-1, WIDE // 8), axis=1)
+            keys = bits[:, chosen].astype(np.int64) @ powers + (np.arange(BANDS) << BAND_BITS)
+            words = data.view(">i8").reshape(-1, 2).astype(np.int64)
+            offsets = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * BANDS)
+            lists = pa.ListArray.from_arrays(offsets, pa.array(keys.ravel().astype(np.int32)))
+            yield record(schema, id=batch.column("id"), high=words[:, 0], low=words[:, 1], keys=lists)
+
+    return in_arrow(docs.select("id", "text"), work, "id long, high long, low long, keys array<int>")
+
+
+def near_pairs(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """``(src, dst)``: documents of ``(id, text)`` whose sets of shingles are at least ``similar``.
+
+    Fingerprints of 128 bits meet in shards of equal bands; BK-trees find their neighbours, of which
+    each document follows the nearest earlier and the nearest later one. The Jaccard similarity of
+    these pairs is then computed from their whole texts. Texts of no other documents are moved: a
+    bitmap of fixed size tells which may be in a pair.
+    """
+    prints = stage(wide_prints(docs), "wide-prints")
+    rows = prints.select(F.explode(F.transform("keys", lambda k: k.cast("long"))).alias("shard"), "id", "high", "low")
+    found = shard_pairs(rows, ["high", "low"], WIDE_RADIUS, nearest)
+    earlier = F.col("b") < F.col("a")
+    best = found.groupBy("a", earlier.alias("earlier")).agg(F.min(F.struct("distance", "b")).alias("m"))
+    pairs = best.select(F.least("a", "m.b").alias("src"), F.greatest("a", "m.b").alias("dst"))
+    pairs = stage(pairs.where("src <> dst").distinct(), "pairs")
+
+    both = pairs.select(F.explode(F.array("src", "dst")).alias("id"))
+    texts = docs.where(may_have(F.col("id"), bitmap_of(both))).select("id", "text")
+    one = texts.select(F.col("id").alias("src"), F.col("text").alias("a"))
+    other = texts.select(F.col("id").alias("dst"), F.col("text").alias("b"))
+    joined = pairs.join(one, "src").join(other, "dst")
+    schema = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "a"):
+            kept = []
+            for a, b in zip(*(batch.column(c).cast(pa.binary()) for c in ("a", "b"))):
+                one, other = (set(shingles(t.as_py(), SHINGLE)) for t in (a, b))
+                kept.append(len(one & other) >= similar * len(one | other))
+            yield batch.select(["src", "dst"]).filter(pa.array(kept, pa.bool_())).cast(schema)
+
+    return in_arrow(joined.select("src", "dst", "a", "b"), verify, "src long, dst long").distinct()
+
+
+def keep_one_of_near(
+    docs: DataFrame, similar: float = SIMILAR, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The documents without all but the first of each group of near duplicates, as they are.
+
+    A group is what verified pairs connect; its document with the smallest id stays. Rows that share
+    an id stay or go together. Rows without an id are known by the hash of their text and come first.
+    Texts without words (or null) are alike. An empty table gives an empty result.
+    """
+    held = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("held"),
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+    )
+    held = held.select("held", "text", _id_of().alias("id"))
+    links = stage(near_pairs(held.select("id", "text"), similar), "links")
+    gone = stage(connected_components(None, links).where("component <> id").select("id"), "gone")
+    held = held.select("held", "id", may_have(F.col("id"), bitmap_of(gone)).alias("may_go"))
+    rest = held.where("may_go").join(gone, "id", "left_anti")
+    return held.where("not may_go").select("held.*").unionByName(rest.select("held.*"))
