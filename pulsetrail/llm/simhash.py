@@ -32,8 +32,10 @@ PAIRS = 1 << 21  # pairs of query and node that are looked at together
 
 # of near_pairs, which looks for a similarity of the shingles rather than for a number of bits
 WIDE = 128
-BANDS, BAND_BITS = 64, 16
-WIDE_RADIUS = 36
+BAND_BITS = 14  # more for more documents: a shard has about one in 2 ** BAND_BITS of them
+DEALS = 8  # ways to deal the bits out to bands
+BANDS = DEALS * (WIDE // BAND_BITS)
+WIDE_RADIUS = 32
 SIMILAR = 0.8
 SHINGLE = 5
 
@@ -313,12 +315,19 @@ def _id_of() -> Column:
     return F.coalesce("doc_id", made)
 
 
+def bands() -> np.ndarray:
+    """The bits of each band; the bands of one deal have no bit in common."""
+    rng = np.random.default_rng(SEED)
+    each = WIDE // BAND_BITS
+    deals = [rng.permutation(WIDE)[: each * BAND_BITS].reshape(each, BAND_BITS) for _ in range(DEALS)]
+    return np.concatenate(deals)
+
+
 def wide_prints(docs: DataFrame) -> DataFrame:
     """``(id, high, low, keys)`` of ``(id, text)``: 128 bits, and the shard of each band of them."""
     schema = pa.schema([("id", pa.int64()), ("high", pa.int64()), ("low", pa.int64()),
                         ("keys", pa.list_(pa.int32()))])
-    rng = np.random.default_rng(SEED)
-    chosen = np.array([rng.choice(WIDE, BAND_BITS, replace=False) for _ in range(BANDS)])
+    chosen = bands()
     powers = 1 << np.arange(BAND_BITS, dtype=np.int64)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
