@@ -8,6 +8,7 @@ from pulsetrail.catalog import (  # noqa: F401
     evaluation,
     graphs,
     joins,
+    model_checks,
     models,
     sampling,
     scans,

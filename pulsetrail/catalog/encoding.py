@@ -15,6 +15,7 @@ from pulsetrail.operators.encoding import (
     index_column,
     multi_hot,
     one_hot,
+    sparse_one_hot,
     ordinal_profile,
     positions_to_vector,
     sparse_profile,
@@ -169,6 +170,35 @@ def one_hot_query(spark: SparkSession, folder: str) -> DataFrame:
     return sized.select("c_custkey", render(one_hot("n", F.col("size"))).alias("vec"))
 
 
+SPARSE_SQL = """with i as (select c_mktsegment,
+                         row_number() over (order by count(*) desc, c_mktsegment) - 1 as n
+                  from customer where {where} group by c_mktsegment)
+       select c_custkey, cast((select count(*) - 1 from i) as integer) as size,
+              case when n < (select count(*) - 1 from i) then cast(n as varchar) else '' end as indices
+       from customer join i using (c_mktsegment)"""
+
+
+def _sparse(spark: SparkSession, folder: str, where: str) -> DataFrame:
+    customers = table(spark, folder, "customer").where(where).select("c_custkey", "c_mktsegment")
+    index = category_index(customers, "c_mktsegment")
+    indexed = index_column(customers, "c_mktsegment", index, "n")
+    sized = indexed.withColumn("size", index.agg(F.count("*")).scalar())
+    coded = sized.select("c_custkey", sparse_one_hot("n", F.col("size")).alias("v"))
+    places = F.transform("v.indices", lambda x: x.cast("string"))
+    return coded.select("c_custkey", F.col("v.size").alias("size"), F.array_join(places, ",").alias("indices"))
+
+
+@query("sparse_one_hot", SPARSE_SQL.format(where="true"))
+def sparse_one_hot_query(spark: SparkSession, folder: str) -> DataFrame:
+    return _sparse(spark, folder, "true")
+
+
+@query("one_hot_single", SPARSE_SQL.format(where="c_mktsegment = 'BUILDING'"))
+def one_hot_single(spark: SparkSession, folder: str) -> DataFrame:
+    """A column with one category has no slot."""
+    return _sparse(spark, folder, "c_mktsegment = 'BUILDING'")
+
+
 @query(
     "flag_one_hot",
     "select o_orderkey, case when o_orderstatus = 'F' then '0.0' else '1.0' end as vec from orders",

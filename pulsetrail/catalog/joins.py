@@ -17,11 +17,9 @@ from pulsetrail.operators.joins import (
     lookup,
     lookup_join,
     lookup_on,
-    with_candidates,
+    with_candidate_table,
 )
 
-# The order priorities of the test tables.
-PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
 @query(
@@ -91,11 +89,12 @@ def composite_left_join(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "candidate_pairs",
     """select c_custkey, p as priority from (select distinct c_custkey from customer),
-       (select unnest(['1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW']) as p)""",
+       (select distinct o_orderpriority as p from orders)""",
 )
 def candidate_pairs(spark: SparkSession, folder: str) -> DataFrame:
     users = table(spark, folder, "customer").select("c_custkey").distinct()
-    return with_candidates(users, PRIORITIES, "priority")
+    priorities = table(spark, folder, "orders").select(F.col("o_orderpriority").alias("priority"))
+    return with_candidate_table(users, priorities.distinct())
 
 
 @query(
@@ -130,9 +129,8 @@ def lookup_default(spark: SparkSession, folder: str) -> DataFrame:
 def endpoint_join(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
     nations = table(spark, folder, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    rows = orders.count()
-    named = lookup_join(orders, table(spark, folder, "customer"), "c_custkey", "inner", rows=rows)
-    named = lookup_join(named, nations, "c_nationkey", "inner", rows=rows)
+    named = lookup_join(orders, table(spark, folder, "customer"), "c_custkey", "inner")
+    named = lookup_join(named, nations, "c_nationkey", "inner")
     return named.select("o_orderkey", "c_name", "n_name")
 
 
@@ -146,3 +144,43 @@ def using_join(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "lineitem").groupBy("l_partkey").agg(F.count("*").alias("lines"))
     parts = table(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
     return lines.join(parts, "l_partkey").select("l_partkey", "p_brand", "lines")
+
+
+def _spread(spark: SparkSession, folder: str, how: str) -> DataFrame:
+    """Lines joined to what is known of their order, keys with four lines or more spread by hand."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    orders = table(spark, folder, "orders").where("o_orderstatus = 'F'")
+    orders = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    return lookup_join(lines, orders, "l_orderkey", how, hot_rows=4)
+
+
+_LINES_SQL = "select l_orderkey, l_linenumber, l_quantity from lineitem"
+_KNOWN_SQL = "l_orderkey in (select o_orderkey from orders where o_orderstatus = 'F')"
+
+
+@query(
+    "spread_left",
+    """select l_orderkey, l_linenumber, l_quantity, o_custkey from lineitem
+       left join (select * from orders where o_orderstatus = 'F') on l_orderkey = o_orderkey""",
+)
+def spread_left(spark: SparkSession, folder: str) -> DataFrame:
+    return _spread(spark, folder, "left")
+
+
+@query(
+    "spread_inner",
+    """select l_orderkey, l_linenumber, l_quantity, o_custkey from lineitem
+       join (select * from orders where o_orderstatus = 'F') on l_orderkey = o_orderkey""",
+)
+def spread_inner(spark: SparkSession, folder: str) -> DataFrame:
+    return _spread(spark, folder, "inner")
+
+
+@query("spread_semi", f"{_LINES_SQL} where {_KNOWN_SQL}")
+def spread_semi(spark: SparkSession, folder: str) -> DataFrame:
+    return _spread(spark, folder, "left_semi")
+
+
+@query("spread_anti", f"{_LINES_SQL} where not {_KNOWN_SQL}")
+def spread_anti(spark: SparkSession, folder: str) -> DataFrame:
+    return _spread(spark, folder, "left_anti")

@@ -1,4 +1,4 @@
-"""Model queries. Their results are checked by property tests, as SQL cannot express them."""
+"""Models on the test tables, and the queries on them that SQL expresses; see ``model_checks``."""
 
 from __future__ import annotations
 
@@ -87,44 +87,37 @@ def reduced(width: int) -> Features:
     return Features(ORDER_FEATURES.numeric, ORDER_FEATURES.categorical, pca=width)
 
 
-@query("gbt_scores")
 def gbt_scores(spark: SparkSession, folder: str) -> DataFrame:
     rows, model = fitted(spark, folder, ORDER_FEATURES, sets.EXPOSURE_LEARNER)
     return score(model, rows, ["hdid", "label"])
 
 
-@query("importances")
 def importances_query(spark: SparkSession, folder: str) -> DataFrame:
     rows, model = fitted(spark, folder, ORDER_FEATURES, sets.EXPOSURE_LEARNER)
     return importances(model, model.transform(rows))
 
 
-@query("pca_scores")
 def pca_scores(spark: SparkSession, folder: str) -> DataFrame:
     rows, model = fitted(spark, folder, reduced(5), sets.ELASTIC_NET)
     return score(model, rows, ["hdid"])
 
 
-@query("mlp_scores")
 def mlp_scores(spark: SparkSession, folder: str) -> DataFrame:
     rows, model = fitted(spark, folder, reduced(5), sets.perceptron(5))
     return score(model, rows, ["hdid"])
 
 
-@query("rformula_scores")
 def rformula_scores(spark: SparkSession, folder: str) -> DataFrame:
     features = Features(numeric=ORDER_FEATURES.numeric, formula=ORDER_FEATURES.categorical)
     rows, model = fitted(spark, folder, features, sets.PROFILE_LOGISTIC)
     return score(model, rows, ["hdid"])
 
 
-@query("lr_weights")
 def lr_weights(spark: SparkSession, folder: str) -> DataFrame:
     rows, model = fitted(spark, folder, ORDER_FEATURES, sets.PROFILE_LOGISTIC)
     return weights(model, model.transform(rows))
 
 
-@query("lr_no_intercept")
 def lr_no_intercept(spark: SparkSession, folder: str) -> DataFrame:
     """Weights of the sparse profile, trained from exported libSVM rows."""
     rows = profiles(spark, folder).withColumn("sing_dr", F.col("c_acctbal") / 10)
@@ -140,17 +133,11 @@ ARM_FEATURES = Features(
 )
 
 
-@query("two_arm_scores")
 def two_arm_scores(spark: SparkSession, folder: str) -> DataFrame:
     rows, model = fitted(spark, folder, ARM_FEATURES, sets.EXPOSURE_LEARNER)
     return score_arms(model, rows, ["hdid"], "exposed")
 
 
-@query("uplift")
-def uplift_query(spark: SparkSession, folder: str) -> DataFrame:
-    return uplift(two_arm_scores(spark, folder), ["hdid"], "exposed")
-
-
 @query(
     "two_level_assembly",
     """select cast(o_orderkey as varchar) as hdid, case when o_orderstatus = 'F' then 1 else 0 end as exposed,
@@ -165,17 +152,19 @@ def two_level_assembly(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.select("hdid", "exposed", F.size(values).alias("width"), values[5].alias("flag"))
 
 
-@query("hashed_tfidf")
 def hashed_tfidf(spark: SparkSession, folder: str) -> DataFrame:
     from pyspark.ml import Pipeline
 
     docs = table(spark, folder, "documents").select("doc_id", "text")
     stages = tfidf_stages(TextColumn("text", r"\s+", 14))
     vectors = Pipeline(stages=stages).fit(docs).transform(docs)
-    return vectors.select("doc_id", render(vector_to_array("text_vec")).alias("weights"))
+    return vectors.select(
+        "doc_id",
+        render(vector_to_array("text_vec")).alias("weights"),
+        vector_to_array("text_tf").alias("counts"),
+    )
 
 
-@query("selected_features")
 def selected_features(spark: SparkSession, folder: str) -> DataFrame:
     rows = profiles(spark, folder).select(
         "c_custkey",
@@ -218,7 +207,6 @@ def chi_square_test_query(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("model_roundtrip")
 def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Scores of the saved and reloaded pipeline, with those of the original."""
     rows, model = fitted(spark, folder, ORDER_FEATURES, sets.PROFILE_LOGISTIC)
@@ -265,28 +253,23 @@ def als_rows(spark: SparkSession, folder: str) -> DataFrame:
     return rating_rows(data, "hdid", "docid", "score", users, items)
 
 
-@query("als_scores")
 def als_scores(spark: SparkSession, folder: str) -> DataFrame:
     model, ratings, _, _ = factors(spark, folder)
     return score_pairs(model, ratings)
 
 
-@query("als_rmse")
 def als_rmse(spark: SparkSession, folder: str) -> DataFrame:
     model, ratings, _, _ = factors(spark, folder)
     return rmse(score_pairs(model, ratings), "rating", "prediction")
 
 
-@query("als_recommend")
 def als_recommend(spark: SparkSession, folder: str) -> DataFrame:
-    """The ten best of the fifty most ordered parts, for every customer."""
+    """The ten best of a report of the fifty most ordered parts, for every customer."""
     model, ratings, users, _ = factors(spark, folder)
-    report = popular_items(ratings, "itemId", "userId", 50)
-    items = [row["itemId"] for row in report.select("itemId").collect()]
-    return recommend(model, users.select(F.col("index").alias("userId")), items, 10)
+    report = stage(popular_items(ratings, "itemId", "userId", 50).select("itemId"), "report")
+    return recommend(model, users.select(F.col("index").alias("userId")), report, 10)
 
 
-@query("als_item_vectors")
 def als_item_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """Every part with its factors; parts nobody ordered have zeros."""
     model, _, _, items = factors(spark, folder)
@@ -306,7 +289,6 @@ def purchase_baskets(spark: SparkSession, folder: str) -> DataFrame:
     return baskets(taken, "hdid", "doc_id", "dt")
 
 
-@query("word_vectors")
 def word_vectors_query(spark: SparkSession, folder: str) -> DataFrame:
     vectors = word_vectors(basket_embeddings(purchase_baskets(spark, folder)))
     return vectors.select("word", render(vector_to_array("vector")).alias("vector"))
@@ -342,20 +324,20 @@ def text_vectors(spark: SparkSession, folder: str) -> DataFrame:
 # ---------------------------------------------------------------- similarity
 
 
-@query("lsh_pairs")
-def lsh_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    """Distances of the label means to the mean of all vectors, by shared buckets."""
+def lsh_pairs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Distances of the label means to the mean of all vectors, by shared buckets; both sides."""
     from pulsetrail.operators.cleaning import mean_vector
 
     vectors = table(spark, folder, "embeddings")
     means = stage(mean_vector(vectors, ["label"], "embedding"), "means")
-    middle = mean_vector(vectors, [], "embedding").select(F.lit(-1).alias("label"), "means")
-    return similar_pairs(projection_model(means, "means"), means, middle, "label")
+    middle = stage(mean_vector(vectors, [], "embedding"), "middle")
+    named = middle.select(F.lit(-1).alias("label"), "means")
+    return similar_pairs(projection_model(means, "means"), means, named, "label"), means, middle
 
 
-@query("material_similarity")
-def material_similarity(spark: SparkSession, folder: str) -> DataFrame:
-    """Parts without a line returned in two years against the mean of the parts with the highest tax."""
+def material_similarity(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Parts without a line returned in two years against the mean of the parts with the highest tax:
+    the similar pairs, the candidates and the target."""
     from pulsetrail.operators.cleaning import mean_vector
 
     lines = table(spark, folder, "lineitem").select(
@@ -379,6 +361,6 @@ def material_similarity(spark: SparkSession, folder: str) -> DataFrame:
     candidates = stage(
         unseen_materials(lines, returned).join(means, "mate_id").select("mate_id", "means"), "candidates"
     )
-    target = mean_vector(vectors.where("l_tax >= 0.08"), [], "features")
-    target = target.select(F.lit("target").alias("mate_id"), "means")
-    return similar_pairs(projection_model(means, "means"), candidates, target, "mate_id")
+    target = stage(mean_vector(vectors.where("l_tax >= 0.08"), [], "features"), "target")
+    named = target.select(F.lit("target").alias("mate_id"), "means")
+    return similar_pairs(projection_model(means, "means"), candidates, named, "mate_id"), candidates, target

@@ -19,6 +19,7 @@ from pulsetrail.plans.feature_sets import CLICK_SNAPSHOTS, CLICK_TEST_OFFSET
 from pulsetrail.session import scratch_path
 from pulsetrail.sources.tables import (
     project_to,
+    scan_all,
     scan_day,
     scan_days,
     scan_range,
@@ -87,7 +88,7 @@ def partition_overwrite(spark: SparkSession, folder: str) -> DataFrame:
     renewed = daily_events(spark, folder).where("dt = '2024-01-05'")
     renewed = renewed.withColumn("value", F.col("value") * 2).drop("dt")
     write_partition(renewed, path, dt="2024-01-05")
-    after = scan_range(spark, path, "2024-01-01", "2024-12-31")
+    after = scan_all(spark, path)
     return after.groupBy("dt").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
 
 
@@ -106,12 +107,37 @@ def arm_overwrite(spark: SparkSession, folder: str) -> DataFrame:
     write_partitions(arms, path, ["dt", "dtype"])
     renewed = arms.where("dt = '2024-01-05' and dtype = '1'").withColumn("value", -F.col("value"))
     write_partition(renewed.drop("dt", "dtype"), path, dt="2024-01-05", dtype="1")
-    after = scan_range(spark, path, "2024-01-01", "2024-12-31")
+    after = scan_all(spark, path)
     return after.groupBy("dt", "dtype").agg(
         F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total")
     )
 
 
+@query(
+    "partition_emptied",
+    f"""select dt, count(*) as n, round(sum(value), 4) as total
+        from ({EVENTS_SQL}) where dt <> '2024-01-05' group by dt""",
+)
+def partition_emptied(spark: SparkSession, folder: str) -> DataFrame:
+    """A day that is overwritten without rows holds none afterwards."""
+    path = events_by_day(spark, folder)
+    write_partition(daily_events(spark, folder).where("false"), path, dt="2024-01-05")
+    after = scan_all(spark, path)
+    return after.groupBy("dt").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+
+
+DAY_SCHEMA = "event_id bigint, user_id bigint, event_type string, value double, dt string"
+
+
+@query("day_folders", f"select * from ({EVENTS_SQL}) where dt in ('2024-01-09', '2024-01-10')")
+def day_folders(spark: SparkSession, folder: str) -> DataFrame:
+    """The same days by their folders, of a table whose schema is given."""
+    path = events_by_day(spark, folder)
+    found = scan_range(spark, path, "2024-01-09", "2024-01-10", DAY_SCHEMA)
+    none = scan_day(spark, path, "1999-01-01", DAY_SCHEMA)
+    return found.unionByName(none).select(*COLUMNS)
+
+
 @query(
     "event_projection",
     """select cast(user_id as varchar) as hdid, event_type as action, value as score,

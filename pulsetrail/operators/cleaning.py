@@ -14,8 +14,11 @@ from pulsetrail.operators.ordering import positions, top_k
 
 
 def fill_defaults(df: DataFrame, defaults: Mapping[str, Any]) -> DataFrame:
-    """Replace nulls, column by column."""
-    return df.fillna(dict(defaults))
+    """Replace nulls, column by column; the types stay, and NaN is a value like any other."""
+    kinds = dict(df.dtypes)
+    return df.withColumns(
+        {c: F.coalesce(F.col(c), F.lit(value).cast(kinds[c])) for c, value in defaults.items()}
+    )
 
 
 def require_all(df: DataFrame, columns: Sequence[str]) -> DataFrame:

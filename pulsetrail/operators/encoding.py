@@ -39,12 +39,31 @@ def index_column(df: DataFrame, column: str, index: DataFrame, out: str, keep: b
     return joined.withColumn(out, F.coalesce(F.col(out), unknown))
 
 
+def _width(size: Column | int, drop_last: bool) -> Column:
+    known = F.lit(size) if isinstance(size, int) else size
+    return F.greatest(known - (1 if drop_last else 0), F.lit(0)).cast("int")
+
+
 def one_hot(index: Column | str, size: Column | int, drop_last: bool = True) -> Column:
-    """An array of 0.0 and 1.0; with ``drop_last`` the last category is all zeros."""
+    """An array of 0.0 and 1.0; with ``drop_last`` the last category is all zeros.
+
+    The array is as wide as there are categories: for many of them take ``sparse_one_hot``.
+    """
     place = F.col(index) if isinstance(index, str) else index
-    width = (F.lit(size) if isinstance(size, int) else size) - (1 if drop_last else 0)
-    return F.transform(
-        F.sequence(F.lit(0), (width - 1).cast("int")), lambda i: (i == place).cast("double")
+    width = _width(size, drop_last)
+    places = F.when(width > 0, F.sequence(F.lit(0), width - 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(places, lambda i: (i == place).cast("double"))
+
+
+def sparse_one_hot(index: Column | str, size: Column | int, drop_last: bool = True) -> Column:
+    """The same as ``(size, indices, values)``, as long for a million categories as for two."""
+    place = (F.col(index) if isinstance(index, str) else index).cast("int")
+    width = _width(size, drop_last)
+    inside = place < width
+    return F.struct(
+        width.alias("size"),
+        F.when(inside, F.array(place)).otherwise(F.array().cast("array<int>")).alias("indices"),
+        F.when(inside, F.array(F.lit(1.0))).otherwise(F.array().cast("array<double>")).alias("values"),
     )
 
 

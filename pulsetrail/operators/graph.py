@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,14 +64,13 @@ def index_vertices(vertices: DataFrame) -> DataFrame:
 def resolve_edges(edges: DataFrame, index: DataFrame) -> DataFrame:
     """Replace the typed ends of ``edges`` by vertex ids: ``(src, dst, relation)``."""
     edges = stage(edges, "typed-edges")
-    rows = edges.count()
     for end in ("src", "dst"):
         ids = index.select(
             F.col("type").alias(f"{end}_type"),
             F.col("value").alias(f"{end}_value"),
             F.col("id").alias(end),
         )
-        edges = lookup_join(edges, ids, [f"{end}_type", f"{end}_value"], "inner", rows=rows)
+        edges = lookup_join(edges, ids, [f"{end}_type", f"{end}_value"], "inner")
     return edges.select("src", "dst", "relation")
 
 
@@ -114,19 +114,19 @@ def _settled(links: DataFrame) -> DataFrame:
     return single.where("n = 1").drop("n").join(used, "src", "left_anti")
 
 
-def _large_star(links: DataFrame, rows: int) -> DataFrame:
+def _large_star(links: DataFrame) -> DataFrame:
     """Link the larger neighbours of every vertex to the smallest of its neighbours and itself."""
     facing = both_ways(links)
     lowest = facing.groupBy("src").agg(F.min("dst").alias("low"))
     lowest = lowest.select("src", F.least("src", "low").alias("low"))
-    joined = lookup_join(facing, lowest, "src", "inner", rows=2 * rows).where("dst > src")
+    joined = lookup_join(facing, lowest, "src", "inner").where("dst > src")
     return joined.select(F.col("dst").alias("src"), F.col("low").alias("dst")).distinct()
 
 
-def _small_star(links: DataFrame, rows: int) -> DataFrame:
+def _small_star(links: DataFrame) -> DataFrame:
     """Link every vertex and its smaller neighbours to the smallest of those neighbours."""
     lowest = links.groupBy("src").agg(F.min("dst").alias("low"))
-    joined = lookup_join(links, lowest, "src", "inner", rows=rows)
+    joined = lookup_join(links, lowest, "src", "inner")
     moved = joined.where("dst > low").select(F.col("dst").alias("src"), F.col("low").alias("dst"))
     own = lowest.select("src", F.col("low").alias("dst"))
     return moved.unionByName(own).distinct()
@@ -148,11 +148,10 @@ def connected_components(vertices: DataFrame | None, edges: DataFrame) -> DataFr
     links = pairs.where("src <> dst")
     left, rounds = links.count(), []
     while left:
-        # large-star returns at most one link per link, small-star at most two
-        half = stage(_large_star(links, left), "large-star")
-        moved = stage(_small_star(half, left), "small-star")
+        half = stage(_large_star(links), "large-star")
+        moved = stage(_small_star(half), "small-star")
         settled = _settled(moved).select("src", F.lit(True).alias("settled"))
-        marked = stage(lookup_join(moved, settled, "src", rows=2 * left), "marked")
+        marked = stage(lookup_join(moved, settled, "src"), "marked")
         discard(half)
         discard(moved)
         rounds.append(marked.where("settled").select("src", "dst"))
@@ -188,10 +187,10 @@ def triangle_count(vertices: DataFrame | None, edges: DataFrame) -> DataFrame:
     """
     pairs = stage(pairs_of(edges), "pairs")
     once = pairs.where("src <> dst")
-    degree, rows = stage(degrees(once), "degrees"), pairs.count()
+    degree = stage(degrees(once), "degrees")
     for end in ("src", "dst"):
         named = degree.select(F.col("id").alias(end), F.col("degree").alias(f"{end}_degree"))
-        once = lookup_join(once, named, end, "inner", rows=rows)
+        once = lookup_join(once, named, end, "inner")
     rises = F.struct("src_degree", "src") < F.struct("dst_degree", "dst")
     arcs = once.select(
         F.when(rises, F.col("src")).otherwise(F.col("dst")).alias("low"),
@@ -219,13 +218,13 @@ def map_vertices(vertices: DataFrame, **columns: Column) -> DataFrame:
 
 def triplets(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Every edge with the attributes of its ends, as ``src_<name>`` and ``dst_<name>``."""
-    joined, rows = edges, edges.count()
+    joined = edges
     attributes = [c for c in vertices.columns if c != "id"]
     for end in ("src", "dst"):
         named = vertices.select(
             F.col("id").alias(end), *[F.col(c).alias(f"{end}_{c}") for c in attributes]
         )
-        joined = lookup_join(joined, named, end, "inner", rows=rows)
+        joined = lookup_join(joined, named, end, "inner")
     return joined
 
 
@@ -246,9 +245,13 @@ def message_loop(
     to_src: Callable[[Callable[[str], Column], Callable[[str], Column]], tuple[Column, Column]] | None,
     merge: Callable[[str], Column],
     apply: dict[str, Column],
-    max_rounds: int,
+    max_rounds: int | None = None,
+    complete: bool = True,
 ) -> DataFrame:
-    """Rounds of messages along the edges until none is sent or ``max_rounds`` is reached.
+    """Rounds of messages along the edges until none is sent.
+
+    With ``max_rounds`` the loop ends after so many rounds at the latest. If messages are left then,
+    that is an error, unless ``complete`` is false: then the state so far is the result.
 
     ``to_dst`` and ``to_src`` get two functions that name an attribute of the source and of the
     destination, and return ``(condition, message)``. ``merge`` turns the column name of the messages
@@ -265,7 +268,7 @@ def message_loop(
     def dst(name: str) -> Column:
         return F.col(f"dst_{name}")
 
-    for _ in range(max_rounds):
+    for done in count():
         facing = triplets(state, edges)
         sent = []
         for target, rule in (("dst", to_dst), ("src", to_src)):
@@ -275,8 +278,11 @@ def message_loop(
         mail = facing.select(F.explode(F.array(*sent)).alias("mail")).where("mail is not null")
         merged = mail.select("mail.*").groupBy("id").agg(merge("msg").alias("msg"))
         merged = stage(merged, "messages")
-        if merged.isEmpty():
-            break
+        if merged.isEmpty() or done == max_rounds and not complete:
+            discard(merged)
+            return state
+        if done == max_rounds:
+            raise RuntimeError(f"messages are left after {max_rounds} rounds")
         marked = merged.withColumn("_got", F.lit(True))
         joined = state.join(marked, "id", "left")
         changed = [
@@ -287,13 +293,24 @@ def message_loop(
         discard(merged)
         discard(state)
         state = renewed
-    return state
 
 
 # ---------------------------------------------------------------- exact n-hop neighbours
 
 
-def exact_hops(edges: DataFrame, n: int) -> DataFrame:
+def _hops_from(start: DataFrame, facing: DataFrame, n: int) -> DataFrame:
+    """Level by level from given vertices; a level is compared with the two before it."""
+    step = facing.select(F.col("src").alias("reached"), F.col("dst").alias("next"))
+    levels = [start.select("id", F.col("id").alias("reached")).distinct()]
+    for _ in range(n):
+        fresh = levels[-1].join(step, "reached").select("id", F.col("next").alias("reached")).distinct()
+        for known in levels[-2:]:
+            fresh = fresh.join(known, ["id", "reached"], "left_anti")
+        levels.append(stage(fresh, "level"))
+    return levels[n]
+
+
+def exact_hops(edges: DataFrame, n: int, start: DataFrame | None = None) -> DataFrame:
     """``(id, reached)``: the pairs of vertices whose undirected distance is exactly ``n``.
 
     A vertex with a single neighbour is never inside a shortest path, so the search runs only between
@@ -301,11 +318,16 @@ def exact_hops(edges: DataFrame, n: int) -> DataFrame:
     distance is that of their neighbour plus one. A hub with millions of such leaves thus costs
     nothing in the search. In an undirected graph a neighbour of a vertex at distance d is at
     distance d - 1, d or d + 1, so each round compares with the last two rounds only.
+
+    Pairs of all vertices can grow with the square of a hub's degree. With ``start``, a table of
+    ``id``, only the pairs that begin at these vertices are searched.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
     once = stage(undirected(edges), "undirected")
     facing = stage(both_ways(once), "facing")
+    if start is not None:
+        return _hops_from(start, facing, n)
     if n == 1:
         return facing.select(F.col("src").alias("id"), F.col("dst").alias("reached"))
 

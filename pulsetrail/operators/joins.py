@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from pulsetrail.session import stage
 
-HOT_ROWS = 5_000_000  # below this a key always fits one task
-HOT_KEYS = 1_000  # a key is hot from 1/HOT_KEYS of the rows on, so there are at most this many
+HOT_KEYS = 1_000  # at most so many keys are spread by hand
+SALTS = 64  # parts that such a key is spread over
+MOST_CANDIDATES = 1_000
 
 
 def _names(columns: Sequence[str] | str) -> list[str]:
@@ -24,37 +25,31 @@ def lookup_join(
     on: Sequence[str] | str,
     how: str = "left",
     hot_rows: int | None = None,
-    rows: int | None = None,
 ) -> DataFrame:
     """Join ``facts`` to ``table`` (one row per key), safe for keys that hold most of the facts.
 
-    Keys that hold at least 1/HOT_KEYS of the facts are few by counting (at most HOT_KEYS), so their
-    part of the table is broadcast and their facts are never shuffled. All other facts take the usual
-    join, where no key is large any more; facts without a key skip the join. ``how`` is ``left``,
-    ``inner``, ``left_semi`` or ``left_anti``. ``facts`` is read several times: stage it when it is
-    costly to compute. ``rows`` is an upper bound of its size, where one is known; otherwise the
-    facts are counted. With fewer than ``hot_rows`` facts no key can be hot.
+    ``how`` is ``left``, ``inner``, ``left_semi`` or ``left_anti``; in all of them Spark may split the
+    facts of a partition, so the adaptive skew join takes hot keys apart at run time, from the sizes
+    it has measured. Nothing is counted beforehand and the facts are read once.
+
+    Where adaptive execution is off or its thresholds do not fit, ``hot_rows`` spreads keys by hand:
+    one pass finds the (at most ``HOT_KEYS``) keys with that many facts, and the join itself deals
+    their facts over ``SALTS`` parts and copies their rows of the table to each part. Facts without
+    a key are dealt out too, as they match nothing.
     """
-    on, hot_rows = _names(on), HOT_ROWS if hot_rows is None else hot_rows
-    total = facts.count() if rows is None else rows
-    if total < hot_rows:
+    on = _names(on)
+    if hot_rows is None:
         return facts.join(table, on, how)
-    bar = max(hot_rows, total // HOT_KEYS)
-    keyed = facts.dropna(subset=on)
-    hot = keyed.groupBy(*on).count().where(F.col("count") >= bar).select(*on)
-    hot = stage(hot.join(table.withColumn("_hit", F.lit(True)), on, "left"), "hot-keys")
-
-    few = keyed.join(F.broadcast(hot), on)
-    many = keyed.join(F.broadcast(hot.select(*on)), on, "left_anti").join(table, on, how)
-    if how in ("inner", "left_semi"):
-        few = few.where("_hit")
-    elif how == "left_anti":
-        few = few.where("_hit is null")
-    result = few.select(*many.columns).unionByName(many)
-    if how in ("inner", "left_semi"):
-        return result
-    without_key = facts.where(" or ".join(f"`{c}` is null" for c in on))
-    return result.unionByName(without_key, allowMissingColumns=True)
+    hot = facts.dropna(subset=on).groupBy(*on).count().where(F.col("count") >= hot_rows)
+    hot = stage(hot.orderBy(F.desc("count"), *on).limit(HOT_KEYS).select(*on), "hot-keys")
+    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+    part = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    no_key = F.expr(" or ".join(f"`{c}` is null" for c in on))
+    dealt = facts.join(hot, on, "left").withColumn("_salt", F.when(F.col("_hot") | no_key, part).otherwise(0))
+    parts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    copied = table.join(hot, on, "left").withColumn("_salt", F.explode(parts))
+    joined = dealt.drop("_hot").join(copied.drop("_hot"), [*on, "_salt"], how)
+    return joined.drop("_salt")
 
 
 def keep_known(df: DataFrame, keys: DataFrame, on: Sequence[str] | str) -> DataFrame:
@@ -73,11 +68,10 @@ def lookup_on(
     fact_key: Column,
     table_key: Column,
     how: str = "left",
-    rows: int | None = None,
 ) -> DataFrame:
     """Look-up on an expression of both sides, such as ``lower(a) = lower(b)``."""
     keyed = table.withColumn("_key", table_key)
-    return lookup_join(facts.withColumn("_key", fact_key), keyed, "_key", how, rows=rows).drop("_key")
+    return lookup_join(facts.withColumn("_key", fact_key), keyed, "_key", how).drop("_key")
 
 
 def lookup(
@@ -97,6 +91,18 @@ def lookup(
     return joined.withColumns(filled).drop("_known")
 
 
+def with_candidate_table(df: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Pair every row with each row of a short table, such as a report: one narrow step, no join.
+
+    The table may have at most MOST_CANDIDATES rows; a longer one is an error, not a long list.
+    """
+    if candidates.limit(MOST_CANDIDATES + 1).count() > MOST_CANDIDATES:
+        raise ValueError(f"more than {MOST_CANDIDATES} candidates")
+    entries = candidates.agg(F.sort_array(F.collect_list(F.struct(*candidates.columns)))).scalar()
+    paired = df.withColumn("_candidate", F.explode(entries))
+    return paired.select(*df.columns, *[F.col(f"_candidate.{c}").alias(c) for c in candidates.columns])
+
+
 def with_candidates(df: DataFrame, candidates: Sequence[Any], name: str) -> DataFrame:
     """Pair every row with each entry of a given list: one narrow step, no join, no shuffle.
 

@@ -15,6 +15,7 @@ from pulsetrail.operators.pipelines import Features, Learner
 from pulsetrail.operators.sampling import EXPOSURE_RATES, sample_strata
 from pulsetrail.plans import feature_sets as sets
 from pulsetrail.plans.training import SCORE_TYPES, Trained, train_and_report
+from pulsetrail.session import stage
 from pulsetrail.sources.artefacts import load_model, save_model
 from pulsetrail.sources.tables import project_to, scan_day, scan_range, write_partitions
 
@@ -27,14 +28,21 @@ ARM_SCHEMA = {"hdid": "string", FLAG: "string", **SCORE_TYPES, "dtype": "string"
 def named(df: DataFrame) -> DataFrame:
     """Lists and age without nulls, under the names the model reads."""
     return df.withColumns(
-        {"applists": default_to("applist", ""), "yy_age": default_to("age", "other")}
+        {"applists": default_to("applist", ""), "age_filled": default_to("age", "other")}
     )
 
 
-def with_events(users: DataFrame, events: DataFrame) -> DataFrame:
-    """Attach the event lists of the same user and day; none gives an empty list."""
-    joined = users.join(events.select("hdid", "dt", *sets.EXPOSURE_EVENT_LISTS), ["hdid", "dt"], "left")
-    return fill_defaults(joined, dict.fromkeys(sets.EXPOSURE_EVENT_LISTS, ""))
+def with_events(users: DataFrame, events: DataFrame, features: Features) -> DataFrame:
+    """Attach the event lists that the model reads, of the same user and day; none is an empty list.
+
+    A user's day that occurs several times in ``events`` has the largest of its lists, so no user row
+    is multiplied. A model that reads no list needs no join.
+    """
+    read = [c for c in sets.EXPOSURE_EVENT_LISTS if c in features.columns()]
+    if not read:
+        return users
+    lists = events.groupBy("hdid", "dt").agg(*[F.max(c).alias(c) for c in read])
+    return fill_defaults(users.join(lists, ["hdid", "dt"], "left"), dict.fromkeys(read, ""))
 
 
 def one_row_per_user(df: DataFrame) -> DataFrame:
@@ -59,10 +67,10 @@ def train_exposure(
 ) -> tuple[Trained, DataFrame]:
     """Train on a stratified sample of a range of days; also returns the sample's class counts."""
     users = named(one_row_per_user(scan_range(spark, table, first, last)))
-    rows = with_events(users, scan_range(spark, events, first, last))
-    sampled = sample_strata(rows, "hdid", [FLAG, features.label], rates)
+    rows = with_events(users, scan_range(spark, events, first, last), features)
+    sampled = stage(sample_strata(rows, "hdid", [FLAG, features.label], rates), "sampled")
     test = named(scan_day(spark, table, test_dt)).withColumn(FLAG, F.col(FLAG).cast("int"))
-    test = with_events(test, scan_day(spark, events, test_dt))
+    test = with_events(test, scan_day(spark, events, test_dt), features)
     trained = train_and_report(sampled, test, features, learner)
     save_model(trained.model, artefacts, "exposure", dt)
     return trained, class_counts(sampled, [features.label, FLAG])
@@ -76,9 +84,11 @@ def score_exposure(
     target: str,
     dt: str,
     model_dt: str,
+    features: Features = sets.EXPOSURE,
 ) -> DataFrame:
     """Score every user of a day as exposed and as not exposed; one partition per arm."""
-    rows = with_events(named(scan_day(spark, table, day(dt))), scan_day(spark, events, day(dt)))
+    users = named(scan_day(spark, table, day(dt)))
+    rows = with_events(users, scan_day(spark, events, day(dt)), features)
     model = load_model(PipelineModel, artefacts, "exposure", model_dt)
     scored = score_arms(model, rows, ["hdid"], FLAG).withColumn("dtype", F.col(FLAG))
     sink = project_to(scored, ARM_SCHEMA).withColumn("dt", F.lit(day(dt)))

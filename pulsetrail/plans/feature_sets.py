@@ -101,7 +101,7 @@ EXPOSURE = Features(
         ["start_cnt", "active_days", "total_watch_dr", "consume_cnt", "push_click_cnt"], (7, 14, 30)
     ),
     formula=[
-        "sex", "yy_age", "city_level", "sjp", "sys", "bd_consum", "bd_marriage", "bd_subconsum",
+        "sex", "age_filled", "city_level", "sjp", "sys", "bd_consum", "bd_marriage", "bd_subconsum",
         "bd_age",
     ],
     text=[TextColumn("applists", r"\|", 10)],

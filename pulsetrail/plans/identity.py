@@ -17,7 +17,7 @@ from pulsetrail.operators.graph import (
     typed_edges,
     typed_vertices,
 )
-from pulsetrail.session import stage
+from pulsetrail.session import stage, staged
 from pulsetrail.sources.tables import project_to, scan_day, write_partition
 
 # Fixed value: the columns of the group table.
@@ -39,10 +39,11 @@ def write_risk_groups(
         Relation(scan_day(spark, phones, day(dt)), "mobile", "mobile", "uid", "uid", "mobile_conn"),
         Relation(scan_day(spark, identities, day(dt)), "idnum", "idnum", "uid", "uid", "idnum_conn"),
     ]
-    groups = group_members(relations).select(
-        F.col("value").alias("vertices"),
-        F.col("type").alias("types"),
-        F.col("component").alias("categoryid"),
-    )
-    write_partition(project_to(groups, GROUP_SCHEMA), target, dt=day(dt))
+    with staged(spark):
+        groups = group_members(relations).select(
+            F.col("value").alias("vertices"),
+            F.col("type").alias("types"),
+            F.col("component").alias("categoryid"),
+        )
+        write_partition(project_to(groups, GROUP_SCHEMA), target, dt=day(dt))
     return scan_day(spark, target, day(dt))

@@ -26,14 +26,15 @@ def material_rows(
     users: DataFrame, device_ranks: DataFrame, live_counts: DataFrame, app_lists: DataFrame
 ) -> DataFrame:
     """Users with a material; attributes, device model, live count and app list filled."""
-    devices = device_ranks.where(F.col("rank") <= RANKED_DEVICES).select(F.col("sjp").alias("_sjp"))
-    live = live_counts.select("hdid", F.col("live_cnt").alias("_live"), F.lit(1).alias("_in_live"))
-    apps = app_lists.select("hdid", F.col("applist").alias("_apps"), F.lit(1).alias("_in_apps"))
+    # one row per key, whatever the lists repeat
+    devices = device_ranks.where(F.col("rank") <= RANKED_DEVICES)
+    devices = devices.groupBy(F.lower("sjp").alias("_device")).agg(F.min("sjp").alias("_sjp"))
+    live = live_counts.groupBy("hdid").agg(F.max("live_cnt").alias("_live"), F.lit(1).alias("_in_live"))
+    apps = app_lists.groupBy("hdid").agg(F.max("applist").alias("_apps"), F.lit(1).alias("_in_apps"))
     joined = users.where(F.col("mate_id").isNotNull())
-    rows = joined.count()
-    joined = lookup_on(joined, devices, F.lower("sjp"), F.lower("_sjp"), rows=rows)
-    joined = lookup_join(joined, live, "hdid", rows=rows)
-    joined = lookup_join(joined, apps, "hdid", rows=rows)
+    joined = lookup_on(joined, devices, F.lower("sjp"), F.col("_device")).drop("_device")
+    joined = lookup_join(joined, live, "hdid")
+    joined = lookup_join(joined, apps, "hdid")
     filled = joined.withColumns(
         {
             "applists": match_fill("_apps", "_in_apps", ""),
@@ -71,9 +72,9 @@ def similar_materials(
     ``seeds`` is the given list of materials to compare with. ``tables`` names the three sinks
     (``means``, ``pairs``, ``target``) when the results are to be written.
     """
-    vectors = stage(scaled_features(rows, features).select(
-        "mate_id", "is_low_cost_retain", "is_profit_retain", "features"
-    ), "vectors")
+    kept = ["mate_id", "is_low_cost_retain", "is_profit_retain"]
+    read = stage(rows.select(*dict.fromkeys([*kept, *features.columns()])), "material-rows")
+    vectors = stage(scaled_features(read, features).select(*kept, "features"), "vectors")
     means = stage(mean_vector(vectors, ["mate_id"], "features"), "means")
     recorded = retained.where("is_low_cost_retain is not null or is_profit_retain is not null")
     candidates = unseen_materials(everyone, recorded).join(means, "mate_id").select("mate_id", "means")

@@ -4,19 +4,26 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+CLUSTER_PARTITIONS = "4000"  # adaptive execution merges small shuffle partitions, but adds none
+
+
 def build_session(
     app: str = "pulsetrail", master: str | None = None, hive: bool = False, **conf
 ) -> SparkSession:
     """A session with the settings the library is written for.
 
     ``conf`` overrides or adds settings, with ``__`` for the dots; ``hive`` reads and writes the
-    tables of a Hive catalog.
+    tables of a Hive catalog. Without ``master`` (on a cluster) shuffles start with many partitions.
     """
     settings = {
+        **({} if master else {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": CLUSTER_PARTITIONS}),
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -36,20 +43,46 @@ def build_session(
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only a local session may go without the setting; it then gets a folder of its own.
+    Only a local session may go without the setting; it then gets a folder of its own. On a cluster
+    a folder of the machine is refused, as other executors do not see it.
     """
+    local = spark.sparkContext.master.startswith("local")
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if path and not local and path.startswith("file:"):
+        raise RuntimeError(f"{path} is a folder of one machine")
     if path:
         return path.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pulsetrail-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+_SCOPES: ContextVar[tuple[str, ...]] = ContextVar("scopes", default=())
+
+
+@contextmanager
+def staged(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are deleted at the end, when the result of the job is written.
+
+    Only the tables of this scope go; other jobs of the application keep theirs.
+    """
+    token = _SCOPES.set((*_SCOPES.get(), f"job-{uuid.uuid4().hex}"))
+    try:
+        yield
+    finally:
+        folder = _own_folder(spark)
+        _SCOPES.reset(token)
+        _delete(spark, folder)
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return "/".join([shared_dir(spark), spark.sparkContext.applicationId, *_SCOPES.get()])
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder, in the folder of the job that is running."""
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

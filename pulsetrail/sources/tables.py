@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,19 +36,48 @@ def _table(spark: SparkSession, name: str) -> DataFrame:
         return spark.read.parquet(name)
 
 
-def scan_day(spark: SparkSession, path: str, dt: str) -> DataFrame:
-    """One day of a table."""
-    return _table(spark, path).where(F.col("dt") == dt)
+def _days(spark: SparkSession, name: str, days: Sequence[str], schema: str | None) -> DataFrame:
+    """Some days of a table. With the schema of its columns (``dt`` included) only the folders of
+    these days are listed, and no file is opened to find the schema."""
+    if schema is None or _in_catalog(name):
+        return _table(spark, name).where(F.col("dt").isin(list(days)))
+    reader = spark.read.schema(schema).option("basePath", name)
+    pattern = "{" + ",".join(f"dt={_escaped(d)}" for d in days) + "}"
+    try:
+        return reader.parquet(f"{name}/{pattern}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)  # none of the days is there
+
 
+def scan_day(spark: SparkSession, path: str, dt: str, schema: str | None = None) -> DataFrame:
+    """One day of a table; an absent day has no rows."""
+    return _days(spark, path, [dt], schema)
 
-def scan_days(spark: SparkSession, path: str, dt: str, offsets: Sequence[int]) -> DataFrame:
+
+def scan_days(
+    spark: SparkSession, path: str, dt: str, offsets: Sequence[int], schema: str | None = None
+) -> DataFrame:
     """The days at the given offsets from ``dt``."""
-    return _table(spark, path).where(F.col("dt").isin([day(dt, n) for n in offsets]))
+    return _days(spark, path, [day(dt, n) for n in offsets], schema)
 
 
-def scan_range(spark: SparkSession, path: str, first: str, last: str) -> DataFrame:
+def scan_range(
+    spark: SparkSession, path: str, first: str, last: str, schema: str | None = None
+) -> DataFrame:
     """The days from ``first`` to ``last``, both included."""
-    return _table(spark, path).where(F.col("dt").between(first, last))
+    if schema is None or _in_catalog(path):
+        return _table(spark, path).where(F.col("dt").between(first, last))
+    days = [first]
+    while days[-1] < last:
+        days.append(day(days[-1], 1))
+    return _days(spark, path, days, schema)
+
+
+def scan_all(spark: SparkSession, path: str) -> DataFrame:
+    """All days of a table."""
+    return _table(spark, path)
 
 
 def project_to(df: DataFrame, schema: Mapping[str, str]) -> DataFrame:
@@ -56,9 +86,36 @@ def project_to(df: DataFrame, schema: Mapping[str, str]) -> DataFrame:
 
 
 def write_partition(df: DataFrame, path: str, **partition: str) -> None:
-    """Replace one partition, given as ``dt=...`` or ``dt=..., dtype=...``; all others stay."""
-    fixed = df.withColumns({name: F.lit(value) for name, value in partition.items()})
-    _overwrite(fixed, path, list(partition))
+    """Replace one partition, given as ``dt=...`` or ``dt=..., dtype=...``; all others stay.
+
+    Without rows the partition is empty afterwards, whatever it held before.
+    """
+    spark = df.sparkSession
+    rows = df.drop(*partition)
+    if not _in_catalog(path):
+        folder = "/".join(f"{name}={_escaped(value)}" for name, value in partition.items())
+        rows.write.mode("overwrite").parquet(f"{path}/{folder}")
+    elif spark.catalog.tableExists(path):
+        columns = [c for c in spark.table(path).columns if c not in partition]
+        spec = ", ".join(f"`{name}` = {_quoted(value)}" for name, value in partition.items())
+        with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
+            spark.sql(
+                f"insert overwrite table {path} partition ({spec}) select * from {{rows}}",
+                rows=rows.select(*columns),
+            )
+    else:
+        fixed = rows.withColumns({name: F.lit(value) for name, value in partition.items()})
+        fixed.write.format("parquet").partitionBy(*partition).saveAsTable(path)
+
+
+def _escaped(value: str) -> str:
+    """A partition value as part of a path, in the way Spark reads it back."""
+    return "".join(c if c.isalnum() or c in "-_. " else f"%{ord(c):02X}" for c in value)
+
+
+def _quoted(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def write_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:

@@ -1,6 +1,8 @@
 import collections
 import random
 
+from functools import partial
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,8 +75,9 @@ def test_exact_hops_of_the_small_graph(spark, rows):
 
 @pytest.mark.parametrize("hot_rows", [1000, 4])
 def test_random_graph(spark, rows, monkeypatch, hot_rows):
-    """Brute force agrees, also when hubs take the broadcast path."""
-    monkeypatch.setattr(joins, "HOT_ROWS", hot_rows)
+    """Brute force agrees, also when hubs are spread by hand."""
+    spread = partial(joins.lookup_join, hot_rows=hot_rows)
+    monkeypatch.setattr(graph, "lookup_join", spread)
     links = random_links(hot_rows)
     df, near, far = edges(spark, links), neighbours(links), distances(links)
     components = rows(graph.connected_components(None, df))
@@ -100,6 +103,7 @@ def test_message_loop_stops_at_max_rounds(spark):
         merge=F.min,
         apply={"label": F.least("label", "msg")},
         max_rounds=2,
+        complete=False,
     )
     assert dict(map(tuple, state.collect())) == {i: max(0, i - 2) for i in range(7)}
 
@@ -125,3 +129,37 @@ def test_same_value_of_two_types_is_two_vertices(spark, rows):
         (0, 1, "mobile_conn"),
         (0, 2, "mobile_conn"),
     ]
+
+
+def chain(spark, n):
+    return edges(spark, [(i, i + 1) for i in range(n)])
+
+
+def spread_least(links, **options):
+    vertices = links.selectExpr("explode(array(src, dst)) as id").distinct().selectExpr("id", "id as label")
+    return graph.message_loop(
+        vertices,
+        links,
+        to_dst=lambda src, dst: (src("label") < dst("label"), src("label")),
+        to_src=None,
+        merge=F.min,
+        apply={"label": F.least("label", "msg")},
+        **options,
+    )
+
+
+def test_message_loop_ends_when_no_message_is_left_or_says_so(spark):
+    links = chain(spark, 6)
+    assert {r["label"] for r in spread_least(links).collect()} == {0}
+    assert {r["label"] for r in spread_least(links, max_rounds=6).collect()} == {0}
+    with pytest.raises(RuntimeError):
+        spread_least(links, max_rounds=2)
+    assert len({r["label"] for r in spread_least(links, max_rounds=2, complete=False).collect()}) > 1
+
+
+def test_hops_from_some_vertices(spark, rows):
+    links = edges(spark, [*LINKS, (7, 16)])
+    start = spark.createDataFrame([(16,), (2,)], "id long")
+    for n in (1, 2, 3):
+        every = rows(graph.exact_hops(links, n))
+        assert rows(graph.exact_hops(links, n, start)) == [r for r in every if r[0] in (2, 16)]

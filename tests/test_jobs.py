@@ -181,7 +181,7 @@ def test_exposure_jobs(spark, users, tmp_path):
         "is_exposure_v2": number("hdid", "seen", 2).cast("int").cast("string"),
         "last_active_dt": F.when(F.col("hdid") == "3", DAY).otherwise("2024-01-20"),
     }
-    table = wide(over_days(users, days), "hdid", sets.EXPOSURE, raw).drop("yy_age", "applists")
+    table = wide(over_days(users, days), "hdid", sets.EXPOSURE, raw).drop("age_filled", "applists")
     write_partitions(table, f"{base}/t", ["dt"])
     lists = dict.fromkeys(sets.EXPOSURE_EVENT_LISTS, F.lit("e1|e2"))
     events = over_days(users.where("hdid < '5'"), days).withColumns(lists)

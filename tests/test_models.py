@@ -4,18 +4,27 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_points
+from pulsetrail.catalog import models
 from pulsetrail.operators.pipelines import TextColumn, feature_stages, tfidf_stages
 from pulsetrail.plans import feature_sets as sets
 
 
+RAW = {
+    "importances": models.importances_query,
+    "uplift": lambda spark, folder: models.uplift(models.two_arm_scores(spark, folder), ["hdid"], "exposed"),
+    "word_vectors": models.word_vectors_query,
+    "lsh_pairs": lambda spark, folder: models.lsh_pairs(spark, folder)[0],
+    "material_similarity": lambda spark, folder: models.material_similarity(spark, folder)[0],
+}
+
+
 @pytest.fixture(scope="module")
 def run(spark, folder):
     done = {}
 
     def once(name):
         if name not in done:
-            done[name] = entry_points.queries()[name](spark, folder).cache()
+            done[name] = RAW.get(name, getattr(models, name, None))(spark, folder).cache()
         return done[name]
 
     return once

@@ -4,12 +4,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from pulsetrail.catalog import ORACLES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 @pytest.fixture(scope="module")
@@ -25,10 +26,10 @@ def in_name_order(records, names):
     return sorted((tuple(r[i] for i in places) for r in records), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_equals_sql(spark, duck, folder, name):
     df = entry_points.queries()[name](spark, folder)
-    result = duck.execute(entry_points.oracle_sql()[name])
+    result = duck.execute(ORACLES[name])
     names = [d[0] for d in result.description]
     types = {d[0]: str(d[1]) for d in result.description}
     assert sorted(df.columns) == sorted(names)

@@ -106,3 +106,42 @@ def test_a_cluster_needs_the_setting(monkeypatch):
         session.shared_dir(Session())
     Session.conf = {"spark.checkpoint.dir": "hdfs://shared/"}
     assert session.shared_dir(Session()) == "hdfs://shared"
+
+
+@pytest.mark.parametrize("by", [{"dt": "2024-01-02"}, {"dt": "2024-01-02", "dtype": "1"}])
+@pytest.mark.parametrize("catalog", [False, True])
+def test_overwrite_without_rows_empties_the_partition(spark, rows, tmp_path, by, catalog):
+    name = f"emptied_{len(by)}" if catalog else f"{tmp_path}/t"
+    data = spark.createDataFrame(
+        [(1, "2024-01-01", "1"), (2, "2024-01-02", "1"), (3, "2024-01-02", "1")], "v int, dt string, dtype string"
+    )
+    data = data.select("v", *by)
+    tables.write_partitions(data, name, list(by))
+    tables.write_partition(data.where("false").select("v"), name, **by)
+    assert rows(tables.scan_all(spark, name).select("v")) == [(1,)]
+    tables.write_partition(spark.createDataFrame([(7,)], "v int"), name, **by)
+    assert rows(tables.scan_all(spark, name).select("v", "dt")) == [(1, "2024-01-01"), (7, "2024-01-02")]
+    if catalog:
+        spark.sql(f"drop table {name}")
+
+
+def test_days_by_folder_need_no_footer(spark, rows, tmp_path):
+    data = spark.createDataFrame([(d, f"2024-01-0{d}") for d in range(1, 6)], "v int, dt string")
+    tables.write_partitions(data, f"{tmp_path}/t", ["dt"])
+    schema = "v int, dt string"
+    assert rows(tables.scan_day(spark, f"{tmp_path}/t", "2024-01-03", schema)) == [(3, "2024-01-03")]
+    assert len(rows(tables.scan_range(spark, f"{tmp_path}/t", "2024-01-02", "2024-01-04", schema))) == 3
+    assert len(rows(tables.scan_days(spark, f"{tmp_path}/t", "20240105", [0, -1, -9], schema))) == 2
+    assert rows(tables.scan_day(spark, f"{tmp_path}/t", "2023-01-01", schema)) == []
+
+
+def test_a_job_leaves_nothing_staged_and_touches_nothing_else(spark):
+    import os
+
+    kept = session.stage(spark.range(3), "kept")
+    with session.staged(spark):
+        inside = session.stage(spark.range(5), "inside")
+        files = [f.removeprefix("file://") for f in inside.inputFiles()]
+        assert files and all(os.path.exists(f) for f in files)
+    assert not any(os.path.exists(f) for f in files)
+    assert kept.count() == 3
