@@ -12,8 +12,10 @@ from __future__ import annotations
 
 import heapq
 import re
+import struct
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +27,12 @@ from pulsetrail.llm.common import in_arrow, plain, record, slices
 
 SPACE = "▁"  # how pieces spell a blank
 UNITS = re.compile(rf"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
+LETTER = r"[^\W\d_²³¹¼-¾]"
+FINE_UNITS = re.compile(rf"\n|{SPACE}*{LETTER}+|{SPACE}*(?:(?!{LETTER})[^{SPACE}\n])+|{SPACE}+")
 VARIANTS = 4
-UNITS_KEPT = 200_000  # of either generation in a worker's cache
+UNITS_KEPT = 120_000  # of either generation of a variant in a worker's cache
+LONG_UNIT = 48
+NEVER, MASK = 1 << 62, (1 << 64) - 1
 
 _CODERS: dict[str, Coder] = {}
 
@@ -58,33 +64,69 @@ class Coder:
             raise ValueError("the model has no byte fallback, so not every text could be decoded")
         if any("\n" in p or SPACE in p.lstrip(SPACE) for p in self.ids):
             raise ValueError("the model has pieces across blanks")
-        self.young: dict[tuple, bytes] = {}
-        self.old: dict[tuple, bytes] = {}
-
-    def merge(self, unit: str, drop: float, key: str) -> list[str]:
-        """The pieces of a unit; ``key`` is hashed with place and piece to decide on each candidate."""
+        # no merge can cross from a letter to a sign if no piece has the two side by side
+        letter = re.compile(LETTER).match
+        joined = {(a, b) for p in self.ids for a, b in pairwise(p.lstrip(SPACE))}
+        mixed = any(bool(letter(a)) != bool(letter(b)) for a, b in joined)
+        self.units = UNITS if mixed else FINE_UNITS
+        self.sign = struct.pack("<3I", *(self.bytes[b] for b in SPACE.encode()))
+        names = sorted(self.ids, key=lambda piece: -self.scores[piece])
+        ranks: dict[float, int] = {}
+        self.ranks = {piece: ranks.setdefault(self.scores[piece], len(ranks)) for piece in names}
+        self.clear()
+
+    def clear(self) -> None:
+        """Forget all units."""
+        self.young: list[dict[str, bytes]] = [{} for _ in range(VARIANTS)]
+        self.old: list[dict[str, bytes]] = [{} for _ in range(VARIANTS)]
+
+    def merge(self, unit: str, drop: float = 0.0, key: int = 0) -> list[str]:
+        """The pieces of a unit; ``key`` and its place are hashed with a candidate to decide on it."""
+        bar = int(drop * 2**64)
+        if len(unit) > LONG_UNIT:
+            return self._merge_long(unit, bar, key)
+        parts, places, get = list(unit), list(range(len(unit))), self.ranks.get
+        agenda = [get(a + b, NEVER) for a, b in pairwise(parts)]
+        while agenda:
+            best = min(agenda)
+            if best == NEVER:
+                break
+            at = agenda.index(best)
+            piece = parts[at] + parts[at + 1]
+            if bar and xxh64_intdigest(piece, key + places[at] & MASK) < bar:
+                agenda[at] = NEVER
+                continue
+            parts[at] = piece
+            del parts[at + 1], places[at + 1], agenda[at]
+            if at:
+                agenda[at - 1] = get(parts[at - 1] + piece, NEVER)
+            if at < len(agenda):
+                agenda[at] = get(piece + parts[at + 1], NEVER)
+        return parts
+
+    def _merge_long(self, unit: str, bar: int, key: int) -> list[str]:
+        """The same with a heap and linked neighbours, for units of any length."""
         parts: list[str | None] = list(unit)
         ahead = list(range(1, len(parts) + 1))
         behind = list(range(-1, len(parts) - 1))
-        agenda: list[tuple[float, int, int, str]] = []
-        scores, bar = self.scores, int(drop * 2**64)
+        agenda: list[tuple[int, int, int, str]] = []
 
         def propose(left: int) -> None:
             right = ahead[left]
             if right < len(parts):
                 piece = parts[left] + parts[right]
-                if piece in scores:
-                    heapq.heappush(agenda, (-scores[piece], left, right, piece))
+                if piece in self.ranks:
+                    heapq.heappush(agenda, (self.ranks[piece], left, right, piece))
 
         for left in range(len(parts) - 1):
             propose(left)
         while agenda:
             _, left, right, piece = heapq.heappop(agenda)
-            if parts[left] is None or parts[right] is None or parts[left] + parts[right] != piece:
+            if parts[left] is None or parts[right] is None or ahead[left] != right:
                 continue
-            if ahead[left] != right:
+            if parts[left] + parts[right] != piece:
                 continue
-            if bar and xxh64_intdigest(f"{key}|{left}|{piece}") < bar:
+            if bar and xxh64_intdigest(piece, key + left & MASK) < bar:
                 continue
             parts[left], parts[right] = piece, None
             ahead[left] = ahead[right]
@@ -95,27 +137,24 @@ class Coder:
                 propose(behind[left])
         return [p for p in parts if p is not None]
 
-    def unit_ids(self, unit: str, drop: float, key: str) -> bytes:
+    def unit_ids(self, unit: str, drop: float, seed: int, variant: int) -> bytes:
         """The ids of a unit as little-endian 32-bit numbers; unknown characters are spelled in bytes."""
-        found: list[int] = []
-        for piece in self.merge(unit, drop, key):
-            if piece in self.ids:
-                found.append(self.ids[piece])
-            else:
-                found += [self.bytes[b] for b in piece.encode("utf-8")]
-        return np.array(found, "<u4").tobytes()
+        pieces = self.merge(unit, drop, xxh64_intdigest(f"{seed}|{variant}|{unit}"))
+        try:
+            found = [*map(self.ids.__getitem__, pieces)]
+        except KeyError:
+            found = []
+            for piece in pieces:
+                known = self.ids.get(piece)
+                found += [known] if known is not None else [self.bytes[b] for b in piece.encode("utf-8")]
+        return struct.pack(f"<{len(found)}I", *found)
 
     def line_ids(self, line: str, drop: float, seed: int, variant: int) -> list[bytes]:
-        known, out = self.young, []
-        for unit in UNITS.findall(line):
-            ids = known.get((variant, unit))
-            if ids is None:
-                ids = self.old.get((variant, unit))
-                if ids is None:
-                    ids = self.unit_ids(unit, drop, f"{seed}|{variant}|{unit}")
-                known[variant, unit] = ids
-            out.append(ids)
-        return out
+        known, old = self.young[variant], self.old[variant]
+        units = self.units.findall(line)
+        for unit in set(units).difference(known):
+            known[unit] = old.get(unit) or self.unit_ids(unit, drop, seed, variant)
+        return list(map(known.__getitem__, units))
 
     def encode(self, text: str, drop: float = 0.0, seed: int = 0, variant: int = 0) -> bytes:
         """The ids of a text as little-endian 32-bit numbers.
@@ -125,13 +164,12 @@ class Coder:
         """
         if not text:
             return b""
-        if len(self.young) > UNITS_KEPT:
-            self.young, self.old = {}, self.young
+        if len(self.young[variant]) > UNITS_KEPT:
+            self.young[variant], self.old[variant] = {}, self.young[variant]
         first, *others = text.split(SPACE)
         out = self.line_ids(SPACE + first.replace(" ", SPACE), drop, seed, variant)
-        sign = np.array([self.bytes[b] for b in SPACE.encode()], "<u4").tobytes()
         for part in others:
-            out.append(sign)
+            out.append(self.sign)
             out += self.line_ids(part.replace(" ", SPACE), drop, seed, variant)
         return b"".join(out)
 

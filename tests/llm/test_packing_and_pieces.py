@@ -133,7 +133,7 @@ def plain_coder():
 
 def test_without_dropout_pieces_equal_the_library(plain_coder, texts):
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
-    for text in [*list(texts.values())[:60], "", " ", "  a  b ", "\n\n x\t\ty", "日本語 🎉", "<s> <unk> <0x0A>"]:
+    for text in [*list(texts.values())[:120], "", " ", "  a  b ", "\n\n x\t\ty", "日本語 🎉", "<s> <unk> <0x0A>"]:
         assert np.frombuffer(plain_coder.encode(text), "<u4").tolist() == library.encode(text)
 
 
@@ -141,21 +141,32 @@ def test_without_dropout_pieces_equal_the_library(plain_coder, texts):
 @given(st.text(max_size=40), st.floats(0, 1), st.integers(0, 3))
 def test_any_text_survives_any_dropout(text, drop, variant):
     text = text.encode("utf-8", "ignore").decode()
-    own = pieces.Coder.__new__(pieces.Coder)
-    own.__dict__ = {**pieces.coder("piece_bpe_32k.model", 0.0, 0).__dict__, "young": {}, "old": {}}
+    own = pieces.coder("piece_bpe_32k.model", 0.0, 0)
+    own.clear()
     ids = np.frombuffer(own.encode(text, drop, 1, variant), "<u4").tolist()
     assert own.decode(ids).decode() == text
 
 
+@settings(deadline=None, max_examples=150)
+@given(st.text("abcdehinorst\u2581", max_size=60), st.floats(0, 1), st.integers(0, 2**64 - 1))
+def test_short_and_long_units_are_merged_alike(unit, drop, key):
+    own = pieces.coder("piece_bpe_32k.model", 0.0, 0)
+    limit, pieces.LONG_UNIT = pieces.LONG_UNIT, 100
+    try:
+        assert own.merge(unit, drop, key) == own._merge_long(unit, int(drop * 2**64), key)
+    finally:
+        pieces.LONG_UNIT = limit
+
+
 def test_dropout_varies_with_seed_and_variant_and_repeats(plain_coder):
     text = "repeatable segmentation of somewhat longer words"
     made = {}
     for seed in (0, 1):
         for variant in range(3):
             own = pieces.Coder(PIECES) if not made else own
-            own.young, own.old = {}, {}
+            own.clear()
             made[seed, variant] = own.encode(text, 0.3, seed, variant)
-            own.young, own.old = {}, {}
+            own.clear()
             assert own.encode(text, 0.3, seed, variant) == made[seed, variant]
     assert len(set(made.values())) > 3
     assert all(len(m) >= len(plain_coder.encode(text)) for m in made.values())
