@@ -4,21 +4,25 @@ Suffixes are ordered only through the first ``window`` bytes, by passes from the
 digit on; a suffix that is alone in its group is dropped after each pass, and the groups that are
 left at the end are exactly the repeated windows. The first digit is the anchor of a window: the
 least hash among its q-grams, and its place in the window. Equal windows have equal anchors, and
-neighbouring windows share theirs, so the first pass moves one number for dozens of suffixes:
+neighbouring windows share theirs, so the first pass moves one number for dozens of suffixes. The
+q-gram is widened to the side on which the window has more room, so that anchors are as long as can be:
 
 1. All anchors are counted. A bitmap of fixed size marks those that occur twice; it may mark others
    too, which costs work but no result.
-2. Each run of windows with a marked anchor goes, once for each task that has it, to where its anchor
-   meets. Equal runs are settled whole; only runs that differ go through the further passes, eight
-   bytes at a time, over their own bytes.
-3. The spans found go back to their documents.
+2. Of each run of windows with a marked anchor a digest goes, once for each task that has the run, to
+   where its anchor meets. Equal runs are settled whole: all but the first are repeated. Anchors
+   around which runs differ are marked in a second bitmap.
+3. Only the runs of these go there with their bytes and through the further passes, eight bytes at a
+   time.
+4. The spans found go back to their documents.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import groupby, pairwise
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +32,7 @@ from pyspark.sql import functions as F
 from pulsetrail.llm.common import (
     MAP_BITS, bit_blocks, has_bit, in_arrow, merged_bitmap, plain, record, slices,
 )
+from pulsetrail.session import stage
 
 WINDOW = 100
 SLICE = 2_000_000  # bytes that are hashed at once
@@ -48,47 +53,74 @@ def _powers(n: int) -> list[np.ndarray]:
     return _POWERS
 
 
-def gram_hashes(data: np.ndarray, q: int) -> np.ndarray:
-    """A 64-bit hash of the ``q`` bytes from each place on."""
-    n = len(data)
-    if n < q:
-        return np.empty(0, np.uint64)
-    up, down = _powers(n + 1)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
-    h = (total[q:] - total[:-q]) * down[: n - q + 1]
+def _totals(data: np.ndarray) -> np.ndarray:
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(len(data) + 1)[0][: len(data)], out=total[1:])
+    return total
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xD6E8FEB86659FD93)
     h ^= h >> np.uint64(29)
     return h
 
 
-def runs_of(data: np.ndarray, ends: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
-    """Runs of windows with one anchor in documents laid end to end: ``(start, windows, anchor, key)``.
+def gram_hashes(data: np.ndarray, q: int) -> np.ndarray:
+    """A 64-bit hash of the ``q`` bytes from each place on."""
+    if len(data) < q:
+        return np.empty(0, np.uint64)
+    total = _totals(data)
+    return _mixed((total[q:] - total[:-q]) * _powers(len(data) + 1)[1][: len(data) - q + 1])
+
+
+def _span_hashes(data: np.ndarray, start: np.ndarray, size: np.ndarray | int) -> np.ndarray:
+    """64-bit hashes of given spans; spans of different sizes differ."""
+    total = _totals(data)
+    h = (total[start + size] - total[start]) * _powers(len(data) + 1)[1][start]
+    return _mixed(h + np.asarray(size, np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 
-    The anchor of a window is the place of its least q-gram hash, the first of equal ones.
+
+class Runs(NamedTuple):
+    """Runs of windows with one anchor, in documents laid end to end."""
+
+    start: np.ndarray
+    windows: np.ndarray
+    anchor: np.ndarray  # where the anchor's gram begins
+    key: np.ndarray  # the gram's hash
+    digest: np.ndarray  # of all bytes of the run
+
+
+def runs_of(data: np.ndarray, ends: np.ndarray, window: int) -> Runs:
+    """All runs of some documents.
+
+    The anchor of a window is the place of its least q-gram hash, the first of equal ones; its gram is
+    widened by half the places that it may have, to the left or to the right, inside the window.
     """
     width = 1 << (2 * window // 3).bit_length() - 1  # q-grams in a window: a power of two
-    q = window - width + 1
+    half, q = width // 2, window - width + 1
     h = gram_hashes(data, q)
     if len(data) < window:
         none = np.empty(0, np.int64)
-        return none, none, none, np.empty(0, np.uint64)
+        return Runs(none, none, none, none.view(np.uint64), none.view(np.uint64))
     least = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(h), dtype=np.uint64)
     reach = 1
     while reach < width:
         least = np.minimum(least[:-reach], least[reach:])
         reach *= 2
     anchor = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    left = anchor - np.arange(len(anchor)) >= half
     sizes = np.diff(ends, prepend=0)
     late = np.minimum(sizes, window - 1)  # the last windows of a document reach beyond it
     beyond = np.repeat(ends - late, late) + np.arange(late.sum()) - np.repeat(np.cumsum(late) - late, late)
-    anchor[beyond[beyond < len(anchor)]] = -1
-    cuts = np.flatnonzero(np.diff(anchor, prepend=-2))
-    count = np.diff(cuts, append=len(anchor))
-    real = anchor[cuts] >= 0
-    start = cuts[real]
-    return start, count[real], anchor[start], h[anchor[start]]
+    state = anchor * 2 + left
+    state[beyond[beyond < len(state)]] = -1
+    cuts = np.flatnonzero(np.diff(state, prepend=-2))
+    count = np.diff(cuts, append=len(state))
+    real = state[cuts] >= 0
+    start, count = cuts[real], count[real]
+    place = anchor[start] - np.where(left[start], half, 0)
+    return Runs(start, count, place, _span_hashes(data, place, q + half), _span_hashes(data, start, count + window - 1))
 
 
 def refine(groups: np.ndarray, buffer: np.ndarray, at: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -151,7 +183,7 @@ def repeated_anchors(docs: DataFrame, window: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         for batch in slices(batches, "text", SLICE):
-            held.append(runs_of(*_laid_out(batch), window)[3])
+            held.append(runs_of(*_laid_out(batch), window).key)
             if sum(map(len, held)) > KEYS_AT_ONCE:
                 yield hand_on(held)
                 held = []
@@ -198,6 +230,116 @@ def _blob(starts, ends) -> bytes:
     return np.column_stack([starts, ends]).astype("<i8").tobytes()
 
 
+def _first_of_runs(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(order, run, later)`` of rows of key, digest, offset, place, mark and start.
+
+    ``order`` sorts them, ``run`` numbers equal runs in that order, and ``later`` tells which of them
+    also occur earlier. Rows that agree in all are one.
+    """
+    order = np.lexsort(columns[::-1])
+    key, digest, offset, place, mark, start = (c[order] for c in columns)
+    new = np.ones(len(order), bool)
+    new[1:] = (key[1:] != key[:-1]) | (digest[1:] != digest[:-1]) | (offset[1:] != offset[:-1])
+    run = np.cumsum(new) - 1
+    first = np.flatnonzero(new)[run]
+    later = (place != place[first]) | (mark != mark[first]) | (start != start[first])
+    return order, run, later
+
+
+def _grouped_blobs(place, mark, start, end) -> tuple[list, list, list]:
+    """Spans put together by document."""
+    order = np.lexsort((start, mark, place))
+    place, mark, start, end = place[order], mark[order], start[order], end[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (place[1:] != place[:-1]) | (mark[1:] != mark[:-1])
+    first = np.flatnonzero(new)
+    cuts = [*first.tolist(), len(order)]
+    blobs = [_blob(start[a:b], end[a:b]) for a, b in pairwise(cuts)]
+    return place[first].tolist(), mark[first].tolist(), blobs
+
+
+def equal_runs(docs: DataFrame, window: int) -> DataFrame:
+    """``(place, mark, spans, bits)``: the spans of runs that occurred before as they are, and the
+    places in a bitmap of the anchors around which runs differ."""
+    spark = docs.sparkSession
+    buckets = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shared = spark.sparkContext.broadcast(repeated_anchors(docs, window))
+    numbers = ["key", "digest", "offset", "place", "mark", "start", "size"]
+    sent = pa.schema([("bucket", pa.int32()), ("rows", pa.binary()), ("spans", pa.binary())])
+    found = pa.schema([("place", pa.int64()), ("mark", pa.int64()), ("spans", pa.binary()), ("bits", pa.binary())])
+    row = np.dtype([(n, "<u2" if n in ("offset", "size") else "<i8") for n in numbers])
+    span = np.dtype([(n, "<i8") for n in ("place", "mark", "start", "end")])
+
+    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", SLICE):
+            data, ends = _laid_out(batch)
+            runs = runs_of(data, ends, window)
+            marked = np.flatnonzero(has_bit(shared.value, _bit(runs.key)))
+            runs = Runs(*(x[marked] for x in runs))
+            doc = np.searchsorted(ends, runs.start, "right")
+            place, mark = (batch.column(c).to_numpy()[doc] for c in ("place", "mark"))
+            begin = runs.start - np.append(0, ends)[doc]
+            columns = [runs.key.view(np.int64), runs.digest.view(np.int64), runs.anchor - runs.start, place, mark, begin]
+            order, run, later = _first_of_runs(columns)
+            size = runs.windows + window - 1
+            gone = order[later]
+            spans = np.empty(len(gone), span)
+            for n, values in zip(span.names, (place, mark, begin, begin + size)):
+                spans[n] = values[gone]
+            one = np.ones(len(order), bool)
+            one[1:] = run[1:] != run[:-1]
+            kept = order[one]
+            rows = np.empty(len(kept), row)
+            for n, values in zip(numbers, (*columns, size)):
+                rows[n] = values[kept]
+            bucket = (rows["key"].view(np.uint64) % np.uint64(buckets)).astype(np.int32)
+            by = np.argsort(bucket, kind="stable")
+            names, starts = np.unique(bucket[by], return_index=True)
+            parts = [rows[by][a:b].tobytes() for a, b in pairwise([*starts.tolist(), len(by)])]
+            yield record(sent, bucket=names, rows=parts, spans=[spans.tobytes()] + [b""] * (len(parts) - 1) if parts else [])
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        entries = (
+            entry for batch in batches for entry in zip(*(batch.column(c).to_pylist() for c in sent.names))
+        )
+        for _, group in groupby(entries, lambda entry: entry[0]):
+            _, parts, spans = zip(*group)
+            rows = np.frombuffer(b"".join(parts), row)
+            order, run, later = _first_of_runs([rows[n].astype(np.int64) for n in numbers[:-1]])
+            gone = rows[order[later]]
+            early = np.frombuffer(b"".join(spans), span)
+            place = np.concatenate([gone["place"], early["place"]])
+            mark = np.concatenate([gone["mark"], early["mark"]])
+            start = np.concatenate([gone["start"], early["start"]])
+            end = np.concatenate([gone["start"] + gone["size"], early["end"]])
+            heads = np.flatnonzero(np.diff(run, prepend=-1))
+            keys, variants = np.unique(rows["key"][order[heads]], return_counts=True)
+            bits = _bit(keys[variants > 1].view(np.uint64)).astype("<u4").tobytes()
+            places, marks, blobs = _grouped_blobs(place, mark, start, end)
+            yield record(
+                found,
+                place=[*places, None], mark=[*marks, None], spans=[*blobs, None],
+                bits=[None] * len(places) + [bits],
+            )
+
+    collected = in_arrow(
+        docs.select("place", "mark", "text"), collect, "bucket int, rows binary, spans binary"
+    )
+    dealt = collected.repartition("bucket").sortWithinPartitions("bucket")
+    return in_arrow(dealt, settle, "place long, mark long, spans binary, bits binary")
+
+
+def differing_anchors(equal: DataFrame) -> np.ndarray:
+    """The bitmap of the anchors around which runs differ."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for bits in batch.column("bits").to_pylist():
+                yield from bit_blocks(np.frombuffer(bits, "<u4").astype(np.int64))
+
+    return merged_bitmap(in_arrow(equal.where("bits is not null").select("bits"), mark, "block int, bits binary"))
+
+
 def repeated_spans(docs: DataFrame, window: int) -> DataFrame:
     """``(place, mark, spans)``: for some documents some spans of bytes that occurred before.
 
@@ -205,7 +347,8 @@ def repeated_spans(docs: DataFrame, window: int) -> DataFrame:
     """
     spark = docs.sparkSession
     buckets = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shared = spark.sparkContext.broadcast(repeated_anchors(docs, window))
+    equal = stage(equal_runs(docs, window), "equal-runs")
+    shared = spark.sparkContext.broadcast(differing_anchors(equal))
     fields = [("bucket", pa.int32()), ("key", pa.int64()), ("offset", pa.int32()), ("place", pa.int64()),
               ("mark", pa.int64()), ("start", pa.int64()), ("data", pa.binary())]
     sent = pa.schema(fields)
@@ -214,7 +357,7 @@ def repeated_spans(docs: DataFrame, window: int) -> DataFrame:
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE):
             data, ends = _laid_out(batch)
-            start, count, anchor, key = runs_of(data, ends, window)
+            start, count, anchor, key, _ = runs_of(data, ends, window)
             marked = np.flatnonzero(has_bit(shared.value, _bit(key)))
             start, count, anchor, key = start[marked], count[marked], anchor[marked], key[marked]
             doc = np.searchsorted(ends, start, "right")
@@ -300,7 +443,8 @@ def repeated_spans(docs: DataFrame, window: int) -> DataFrame:
         "bucket int, key long, offset int, place long, mark long, start long, data binary",
     )
     dealt = collected.repartition("bucket").sortWithinPartitions("bucket")
-    return in_arrow(dealt, resolve, "place long, mark long, spans binary")
+    rest = in_arrow(dealt, resolve, "place long, mark long, spans binary")
+    return equal.where("spans is not null").select("place", "mark", "spans").unionByName(rest)
 
 
 def remove_repeats(
