@@ -236,7 +236,13 @@ def _first_of_runs(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, n
     ``order`` sorts them, ``run`` numbers equal runs in that order, and ``later`` tells which of them
     also occur earlier. Rows that agree in all are one.
     """
-    order = np.lexsort(columns[::-1])
+    mixed = columns[0] ^ columns[1] * np.int64(0x51ED270B27D4EB4F)
+    order = np.argsort(mixed)
+    again = np.zeros(len(order) + 1, bool)
+    again[1:-1] = mixed[order[1:]] == mixed[order[:-1]]
+    among = np.flatnonzero(again[1:] | again[:-1])  # only rows that are not alone need the whole order
+    part = order[among]
+    order[among] = part[np.lexsort([c[part] for c in columns[::-1]] + [mixed[part]])]
     key, digest, offset, place, mark, start = (c[order] for c in columns)
     new = np.ones(len(order), bool)
     new[1:] = (key[1:] != key[:-1]) | (digest[1:] != digest[:-1]) | (offset[1:] != offset[:-1])
@@ -295,7 +301,8 @@ def equal_runs(docs: DataFrame, window: int) -> DataFrame:
             bucket = (rows["key"].view(np.uint64) % np.uint64(buckets)).astype(np.int32)
             by = np.argsort(bucket, kind="stable")
             names, starts = np.unique(bucket[by], return_index=True)
-            parts = [rows[by][a:b].tobytes() for a, b in pairwise([*starts.tolist(), len(by)])]
+            rows = rows[by]
+            parts = [rows[a:b].tobytes() for a, b in pairwise([*starts.tolist(), len(by)])]
             yield record(sent, bucket=names, rows=parts, spans=[spans.tobytes()] + [b""] * (len(parts) - 1) if parts else [])
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
