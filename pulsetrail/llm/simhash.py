@@ -10,18 +10,19 @@ returns a spanning forest of the pairs that it finds, never the pairs themselves
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
-from itertools import accumulate, combinations, pairwise
+from itertools import accumulate, chain, combinations, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest, xxh64_digest
 
 from pulsetrail.llm.common import bitmap_of, in_arrow, may_have, plain, record, slices
 from pulsetrail.operators.graph import connected_components
-from pulsetrail.session import stage
+from pulsetrail.session import discard, stage
 
 BITS = 64
 SEED = 42
@@ -38,6 +39,8 @@ BANDS = DEALS * (WIDE // BAND_BITS)
 WIDE_RADIUS = 32
 SIMILAR = 0.8
 SHINGLE = 5
+TAKEN = (1, 8, 64)  # candidates of a document verified in the first rounds; then as in the last of these
+HELD = 1 << 20  # candidates gathered between two selections
 
 
 def shingles(text: bytes, size: int) -> list[bytes]:
@@ -170,61 +173,105 @@ def join_groups(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
 Found = tuple[np.ndarray, np.ndarray, np.ndarray]  # rows, their partners, and the distances
 
 
-def spanning(found: Iterator[Found], n: int) -> Found:
-    """Pairs that connect just the rows that all found pairs connect: at most ``n - 1``."""
-    label = np.arange(n)
+def spanning(found: Iterator[Found], ids: np.ndarray, more: list[np.ndarray]) -> Found:
+    """Pairs that connect just the rows that all found pairs connect: fewer than there are rows."""
+    label = np.arange(len(ids))
     for a, b, _ in found:
         join_groups(label, a, b)
-    linked = np.flatnonzero(label != np.arange(n))
+    linked = np.flatnonzero(label != np.arange(len(ids)))
     return linked, label[linked], np.zeros(len(linked), np.int64)
 
 
-def nearest(found: Iterator[Found], n: int) -> Found:
-    """For each row its nearest partner among the earlier and among the later ones, where it has any."""
-    none = np.int64(1) << 60
-    before, after = np.full(n, none), np.full(n, none)
-    for a, b, distance in found:
-        np.minimum.at(before, a, distance << 40 | b)
-        np.minimum.at(after, b, distance << 40 | a)
-    rows = [np.flatnonzero(best < none) for best in (before, after)]
-    best = np.concatenate([before[rows[0]], after[rows[1]]])
-    return np.concatenate(rows), best & ((1 << 40) - 1), best >> 40
+def closest(most: int, similar: float):
+    """A ``reduce`` that keeps for each row the first ``most`` partners, by distance and id, after its past.
 
+    ``more`` has the group and the number of shingles of each row, and the distance and id that its
+    past ended with. Partners of its own group, and those whose number of shingles alone rules out a
+    similarity of ``similar``, are passed over; partners that share an id and a distance are one.
+    """
 
-def search_shards(columns: list[np.ndarray], radius: int, reduce) -> Found:
-    """What ``reduce`` keeps of the near pairs within each run of equal ``(shard, lo, hi)``."""
-    shard, lo, hi, side, _, *words = columns
+    def reduce(found: Iterator[Found], ids: np.ndarray, more: list[np.ndarray]) -> Found:
+        group, size, past, past_id = more
+
+        def select(parts: list[Found]) -> Found:
+            a, b, distance = (np.concatenate(c) for c in zip(*parts))
+            order = np.lexsort((ids[b], distance, a))
+            a, b, distance = a[order], b[order], distance[order]
+            new = np.ones(len(a), bool)
+            new[1:] = (a[1:] != a[:-1]) | (distance[1:] != distance[:-1]) | (ids[b[1:]] != ids[b[:-1]])
+            a, b, distance = a[new], b[new], distance[new]
+            first = np.ones(len(a), bool)
+            first[1:] = a[1:] != a[:-1]
+            at = np.arange(len(a))
+            kept = at - np.maximum.accumulate(np.where(first, at, 0)) < most
+            return a[kept], b[kept], distance[kept]
+
+        none = np.empty(0, np.int64)
+        parts, waiting, bar = [(none, none, none)], 0, HELD
+        for a, b, distance in found:
+            fits = (group[a] != group[b]) & (ids[a] != ids[b])
+            fits &= np.minimum(size[a], size[b]) >= similar * np.maximum(size[a], size[b])
+            fits &= (distance > past[a]) | ((distance == past[a]) & (ids[b] > past_id[a]))
+            parts.append((a[fits], b[fits], distance[fits]))
+            waiting += len(parts[-1][0])
+            if waiting > bar:
+                parts = [select(parts)]
+                waiting, bar = 0, max(HELD, len(parts[0][0]))
+        return select(parts)
+
+    return reduce
+
+
+def search_shards(columns: list[np.ndarray], radius: int, reduce, wide: int) -> Found:
+    """What ``reduce`` keeps of the near pairs within each run of equal ``(shard, lo, hi)``.
+
+    ``wide`` columns are the fingerprint; the others tell ``reduce`` more. Rows that do not ask are
+    nodes of the trees and no queries.
+    """
+    shard, lo, hi, side, ids, asks, *others = columns
+    words, more = others[:wide], others[wide:]
     new = np.ones(len(shard), bool)
     new[1:] = (shard[1:] != shard[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
     run = np.cumsum(new) - 1
     size = np.bincount(run)
     rooted = side[np.flatnonzero(new)] == 0  # a run without tree rows has nothing to search
-    rows = np.flatnonzero((size[run] > 1) & rooted[run])
+    asked = np.bincount(run, weights=asks) > 0
+    rows = np.flatnonzero((size[run] > 1) & rooted[run] & asked[run])
     if not len(rows):
         return rows, rows, rows
-    run, side, crossing = run[rows], side[rows], (lo != hi)[rows]
+    run, side, crossing, asks = run[rows], side[rows], (lo != hi)[rows], asks[rows].astype(bool)
     fps = np.column_stack([w[rows].view(np.uint64) for w in words])
     trees = grow_trees(fps, run, side == 0)
-    queries = np.flatnonzero(~crossing | (side == 1))
+    queries = np.flatnonzero((~crossing | (side == 1)) & asks)
+    if not len(queries):
+        return queries, queries, queries
     work = np.cumsum(size[run[queries]])
     cuts = [0, *np.searchsorted(work, np.arange(PAIRS, work[-1], PAIRS)), len(queries)]
     found = (f for a, b in pairwise(cuts) for f in search(fps, trees, queries[a:b], radius))
-    a, b, distance = reduce(found, len(rows))
+    a, b, distance = reduce(found, ids[rows], [m[rows] for m in more])
     return rows[a], rows[b], distance
 
 
-def shard_pairs(rows: DataFrame, words: list[str], radius: int, reduce, tree: int = TREE) -> DataFrame:
-    """``(a, b, distance)`` of the pairs of ids that ``reduce`` keeps in each shard.
+def crowded(rows: DataFrame, tree: int = TREE) -> DataFrame:
+    """``(shard, parts)`` of the shards of more than ``tree`` rows: the number of their trees."""
+    large = rows.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > tree)
+    return large.select("shard", F.ceil(F.col("n") / tree).cast("int").alias("parts"))
+
 
-    ``rows`` has ``shard``, ``id`` and the 64-bit ``words`` of a fingerprint. Shards of more than
-    ``tree`` rows are dealt out to as many trees as they need; every query of such a shard visits all
-    of its trees, in tasks of one tree and one part of the queries.
+def shard_pairs(
+    rows: DataFrame, large: DataFrame, words: list[str], radius: int, reduce, more: list[str] | None = None
+) -> DataFrame:
+    """``(a, b, distance)`` of the pairs of ids that ``reduce`` keeps in each shard; ``a`` has asked.
+
+    ``rows`` has ``shard``, ``id``, ``asks`` (1 or 0), the 64-bit ``words`` of a fingerprint and the
+    columns ``more`` for ``reduce``. Shards that are ``crowded`` are dealt out to as many trees as they
+    need; every query of such a shard visits all of its trees, in tasks of one tree and one part of
+    the queries. Which of two rows asks for the other depends on their ids and the shard alone.
     """
-    large = rows.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > tree)
-    large = large.select("shard", F.ceil(F.col("n") / tree).cast("int").alias("parts"))
+    columns = ["id", "asks", *words, *(more or [])]
     parts = F.coalesce("parts", F.lit(1))
     dealt = rows.join(large, "shard", "left").select(
-        "shard", "id", *words,
+        "shard", *columns,
         F.pmod(F.xxhash64("id", "shard"), parts).cast("int").alias("own"),
         F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"),
     )
@@ -233,7 +280,7 @@ def shard_pairs(rows: DataFrame, words: list[str], radius: int, reduce, tree: in
         F.least("own", "other").alias("lo"),
         F.greatest("own", "other").alias("hi"),
         (F.col("own") > F.col("other")).cast("int").alias("side"),
-        "id", *words,
+        *columns,
     )
     key = ["shard", "lo", "hi"]
     placed = meeting.repartition(*key).sortWithinPartitions(*key, "side", "id")
@@ -243,7 +290,7 @@ def shard_pairs(rows: DataFrame, words: list[str], radius: int, reduce, tree: in
         held: list[np.ndarray] | None = None
 
         def made(columns: list[np.ndarray]) -> pa.RecordBatch:
-            a, b, distance = search_shards(columns, radius, reduce)
+            a, b, distance = search_shards(columns, radius, reduce, len(words))
             return record(schema, a=columns[4][a], b=columns[4][b], distance=distance)
 
         for batch in batches:
@@ -269,9 +316,10 @@ def near_links(distinct: DataFrame, radius: int, blocks: int = BLOCKS, tree: int
     ``distinct`` has each ``fp`` once.
     """
     rows = distinct.select(
-        F.explode(shard_keys(F.col("fp"), radius, blocks)).alias("shard"), F.col("fp").alias("id"), "fp"
-    )
-    pairs = shard_pairs(rows, ["fp"], radius, spanning, tree)
+        F.explode(shard_keys(F.col("fp"), radius, blocks)).alias("shard"),
+        F.col("fp").alias("id"), F.lit(1).alias("asks"), "fp",
+    )
+    pairs = shard_pairs(rows, crowded(rows, tree), ["fp"], radius, spanning)
     return pairs.select(F.col("a").alias("src"), F.col("b").alias("dst")).distinct()
 
 
@@ -324,9 +372,12 @@ def bands() -> np.ndarray:
 
 
 def wide_prints(docs: DataFrame) -> DataFrame:
-    """``(id, high, low, keys)`` of ``(id, text)``: 128 bits, and the shard of each band of them."""
+    """``(id, high, low, size, keys)`` of ``(id, text)``.
+
+    128 bits, the number of distinct shingles, and the shard of each band of the bits.
+    """
     schema = pa.schema([("id", pa.int64()), ("high", pa.int64()), ("low", pa.int64()),
-                        ("keys", pa.list_(pa.int32()))])
+                        ("size", pa.int64()), ("keys", pa.list_(pa.int32()))])
     chosen = bands()
     powers = 1 << np.arange(BAND_BITS, dtype=np.int64)
 
@@ -339,27 +390,69 @@ def wide_prints(docs: DataFrame) -> DataFrame:
             words = data.view(">i8").reshape(-1, 2).astype(np.int64)
             offsets = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * BANDS)
             lists = pa.ListArray.from_arrays(offsets, pa.array(keys.ravel().astype(np.int32)))
-            yield record(schema, id=batch.column("id"), high=words[:, 0], low=words[:, 1], keys=lists)
+            sizes = [len(set(shingles(t.as_py(), SHINGLE))) for t in texts]
+            yield record(schema, id=batch.column("id"), high=words[:, 0], low=words[:, 1], size=sizes, keys=lists)
 
-    return in_arrow(docs.select("id", "text"), work, "id long, high long, low long, keys array<int>")
+    made = "id long, high long, low long, size long, keys array<int>"
+    return in_arrow(docs.select("id", "text"), work, made)
 
 
-def near_pairs(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """``(src, dst)``: documents of ``(id, text)`` whose sets of shingles are at least ``similar``.
+def near_pairs(docs: DataFrame, similar: float = SIMILAR, tree: int = TREE) -> DataFrame:
+    """``(src, dst)``: links of documents of ``(id, text)`` whose sets of shingles are at least ``similar``.
 
-    Fingerprints of 128 bits meet in shards of equal bands; BK-trees find their neighbours, of which
-    each document follows the nearest earlier and the nearest later one. The Jaccard similarity of
-    these pairs is then computed from their whole texts. Texts of no other documents are moved: a
-    bitmap of fixed size tells which may be in a pair.
+    Fingerprints of 128 bits meet in shards of equal bands; BK-trees find the candidates. They are
+    verified in rounds: a document takes its next nearest candidates that are not linked to it yet by
+    any path, and goes on behind them in the next round, until no document has one left. So the links
+    connect just what all candidates that are similar enough connect, and a round has a bounded number
+    of pairs for each document.
     """
     prints = stage(wide_prints(docs), "wide-prints")
-    rows = prints.select(F.explode(F.transform("keys", lambda k: k.cast("long"))).alias("shard"), "id", "high", "low")
-    found = shard_pairs(rows, ["high", "low"], WIDE_RADIUS, nearest)
-    earlier = F.col("b") < F.col("a")
-    best = found.groupBy("a", earlier.alias("earlier")).agg(F.min(F.struct("distance", "b")).alias("m"))
-    pairs = best.select(F.least("a", "m.b").alias("src"), F.greatest("a", "m.b").alias("dst"))
-    pairs = stage(pairs.where("src <> dst").distinct(), "pairs")
-
+    shard = F.explode(F.transform("keys", lambda k: k.cast("long"))).alias("shard")
+    large = stage(crowded(prints.select(shard), tree), "crowded")
+    more = ["group", "size", "past", "past_id"]
+    held = prints.withColumns(
+        {"asks": F.lit(1), "group": F.col("id"), "past": F.lit(-1).cast("long"), "past_id": F.lit(0).cast("long")}
+    )
+    rows = held.select(shard, "id", "asks", "high", "low", *more)
+    found, links = [], None
+    for most in chain(TAKEN, repeat(TAKEN[-1])):
+        pairs = shard_pairs(rows, large, ["high", "low"], WIDE_RADIUS, closest(most, similar), more)
+        place = F.dense_rank().over(Window.partitionBy("a").orderBy("distance", "b"))
+        pairs = pairs.withColumn("place", place).where(F.col("place") <= most).distinct()
+        taken = stage(pairs, "taken")
+        tried = taken.select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct()
+        found.append(stage(_verified(docs, tried, similar), "verified"))
+        links = functools.reduce(DataFrame.unionByName, found)
+        open_ = taken.groupBy("a").agg(
+            F.max("place").alias("n"), F.max(F.struct("distance", "b")).alias("last")
+        ).where(F.col("n") == most)
+        open_ = stage(
+            open_.select(F.col("a").alias("id"), F.col("last.distance").alias("past"), F.col("last.b").alias("past_id")),
+            "open",
+        )
+        discard(taken)
+        if open_.isEmpty():
+            return links
+        labels = connected_components(None, links).withColumnRenamed("component", "group")
+        held = prints.join(open_, "id", "left").join(labels, "id", "left").withColumns(
+            {
+                "asks": F.col("past").isNotNull().cast("int"),
+                "group": F.coalesce("group", "id"),
+                "past": F.coalesce("past", F.lit(-1)),
+                "past_id": F.coalesce("past_id", F.lit(0)),
+            }
+        )
+        held = stage(held, "held")
+        asked = held.where("asks = 1").select(shard).distinct()
+        rows = held.select(shard, "id", "asks", "high", "low", *more).join(asked, "shard", "left_semi")
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, similar: float) -> DataFrame:
+    """Those of the pairs ``(src, dst)`` that are similar by their whole texts.
+
+    Texts of no other documents are moved: a bitmap of fixed size tells which may be in a pair.
+    """
+    pairs = stage(pairs, "pairs")
     both = pairs.select(F.explode(F.array("src", "dst")).alias("id"))
     texts = docs.where(may_have(F.col("id"), bitmap_of(both))).select("id", "text")
     one = texts.select(F.col("id").alias("src"), F.col("text").alias("a"))

@@ -184,6 +184,38 @@ def test_near_copies_go_and_others_stay(make, nothing):
     assert simhash.keep_one_of_near(nothing).count() == 0
 
 
+@pytest.mark.parametrize("tree", [12, 1024])
+def test_near_copies_are_found_behind_refuted_ones(make, monkeypatch, tree):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(3000)]
+    rows = []
+    for _ in range(6):
+        base = [rng.choice(words) for _ in range(110)]
+        for _ in range(40):
+            copy = list(base)
+            for at in rng.sample(range(110), rng.randrange(1, 5)):
+                copy[at] = rng.choice(words)
+            rows.append((len(rows), " ".join(copy), "en"))
+    docs = make(rows).repartition(5)
+    prints = simhash.wide_prints(docs.select(simhash.F.col("doc_id").alias("id"), "text")).collect()
+    bits = {r.id: ((r.high % 2**64) << 64) | r.low % 2**64 for r in prints}
+    keys = {r.id: set(r["keys"]) for r in prints}
+    sets = {i: set(simhash.shingles(t.encode(), simhash.SHINGLE)) for i, t, _ in rows}
+    label = {i: i for i in sets}
+    refuted = 0
+    for a in sets:
+        for b in range(a):
+            if keys[a] & keys[b] and (bits[a] ^ bits[b]).bit_count() <= simhash.WIDE_RADIUS:
+                if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                    low, high = sorted((label[a], label[b]))
+                    label = {i: low if v == high else v for i, v in label.items()}
+                else:
+                    refuted += 1
+    monkeypatch.setattr(simhash.near_pairs, "__defaults__", (simhash.SIMILAR, tree))
+    kept = sorted(r.doc_id for r in simhash.keep_one_of_near(docs).collect())
+    assert refuted > 500 and kept == sorted(set(label.values()))
+
+
 def brute_repeats(docs, window):
     """``docs`` in order; distinct rows of equal id and text count once."""
     seen, out = set(), {}
