@@ -11,7 +11,7 @@ returns a spanning forest of the pairs that it finds, never the pairs themselves
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import accumulate, chain, combinations, pairwise, repeat
 
 import numpy as np
@@ -57,13 +57,18 @@ def shingles(text: bytes, size: int) -> list[bytes]:
     return [line[a:b] for a, b in zip(starts, ends[size - 1 :])]
 
 
-def fingerprint(text: bytes, shingle: int, bits: int = BITS) -> bytes:
-    """``bits`` (64 or 128) bits, most significant first; set where over half the shingle hashes have it.
+def fingerprint(text: bytes, shingle: int) -> bytes:
+    """64 bits, most significant first, of the shingles of a text; repeated shingles count as often."""
+    return print_of(shingles(text, shingle), BITS)
 
-    Repeated shingles count as often. A text without words has the fingerprint zero.
+
+def print_of(pieces: Iterable[bytes], bits: int) -> bytes:
+    """``bits`` (64 or 128) bits, most significant first; set where over half the hashes have it.
+
+    No pieces have the fingerprint zero.
     """
     digest = xxh64_digest if bits == BITS else xxh3_128_digest
-    table = np.frombuffer(b"".join([digest(s, SEED) for s in shingles(text, shingle)]), np.uint8)
+    table = np.frombuffer(b"".join([digest(s, SEED) for s in pieces]), np.uint8)
     table = table.reshape(-1, bits // 8)
     ones = np.zeros(bits, np.int64)
     for at in range(0, len(table), ROWS):
@@ -374,7 +379,8 @@ def bands() -> np.ndarray:
 def wide_prints(docs: DataFrame) -> DataFrame:
     """``(id, high, low, size, keys)`` of ``(id, text)``.
 
-    128 bits, the number of distinct shingles, and the shard of each band of the bits.
+    128 bits, the number of distinct shingles, and the shard of each band of the bits. Each distinct
+    shingle counts once, as in the similarity that is verified.
     """
     schema = pa.schema([("id", pa.int64()), ("high", pa.int64()), ("low", pa.int64()),
                         ("size", pa.int64()), ("keys", pa.list_(pa.int32()))])
@@ -384,13 +390,17 @@ def wide_prints(docs: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             texts = batch.column("text").cast(pa.binary())
-            data = np.frombuffer(b"".join(fingerprint(t.as_py(), SHINGLE, WIDE) for t in texts), np.uint8)
+            sizes, made = [], []
+            for text in texts:
+                pieces = set(shingles(text.as_py(), SHINGLE))
+                sizes.append(len(pieces))
+                made.append(print_of(pieces, WIDE))
+            data = np.frombuffer(b"".join(made), np.uint8)
             bits = np.unpackbits(data.reshape(-1, WIDE // 8), axis=1)
             keys = bits[:, chosen].astype(np.int64) @ powers + (np.arange(BANDS) << BAND_BITS)
             words = data.view(">i8").reshape(-1, 2).astype(np.int64)
             offsets = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * BANDS)
             lists = pa.ListArray.from_arrays(offsets, pa.array(keys.ravel().astype(np.int32)))
-            sizes = [len(set(shingles(t.as_py(), SHINGLE))) for t in texts]
             yield record(schema, id=batch.column("id"), high=words[:, 0], low=words[:, 1], size=sizes, keys=lists)
 
     made = "id long, high long, low long, size long, keys array<int>"

@@ -216,6 +216,21 @@ def test_near_copies_are_found_behind_refuted_ones(make, monkeypatch, tree):
     assert refuted > 500 and kept == sorted(set(label.values()))
 
 
+def test_near_copies_with_other_repeats_of_a_line_go(make):
+    rng = random.Random(13)
+    words = [f"w{i}" for i in range(3000)]
+    rows = []
+    for i in range(30):
+        base = [rng.choice(words) for _ in range(200)]
+        line = [rng.choice(words) for _ in range(20)]
+        rows.append((i, " ".join(base + line), "en"))
+        rows.append((100 + i, " ".join(base + line * 20), "en"))
+        one, other = (set(simhash.shingles(t.encode(), simhash.SHINGLE)) for _, t, _ in rows[-2:])
+        assert len(one & other) >= 0.9 * len(one | other)
+    kept = {r.doc_id for r in simhash.keep_one_of_near(make(rows)).collect()}
+    assert kept == set(range(30))
+
+
 def brute_repeats(docs, window):
     """``docs`` in order; distinct rows of equal id and text count once."""
     seen, out = set(), {}
