@@ -37,7 +37,7 @@ WORDS_KEPT = 400_000
 EDGES = "\"'`.,;:?!()[]{}<>|*+~_-#/\\&%=^"
 FRONT = "".join(c for c in EDGES if c not in LOOKALIKES)
 APART = re.compile(r"[^\W_](?:[.\-_~*][^\W_]){2,}")
-TRIPLE = re.compile(r"(.)\1\1")
+DOUBLE = re.compile(r"(.)\1")
 MIXED = re.compile("[" + re.escape("".join(LOOKALIKES)) + "]")
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -98,10 +98,16 @@ def char_model(grams: np.ndarray) -> np.ndarray:
 
 
 def lattice(word: str) -> list[list[tuple[str, float]]]:
-    """For each run of one sign the strings that it may stand for, with channel log probabilities."""
+    """For each run of one sign the strings that it may stand for, with channel log probabilities.
+
+    A blank between the parts of a partly spaced word may stand for itself or for nothing.
+    """
     steps = []
     for run in re.finditer(r"(.)\1*", word):
         sign, n = run[1], len(run[0])
+        if sign == " ":
+            steps.append([(sign, 0.0), ("", FEWER)])
+            continue
         options = [(run[0], LITERAL if sign in LOOKALIKES else 0.0)]
         options += [(letter * n, SWAPPED) for letter in LOOKALIKES.get(sign, "")]
         if n > 1:
@@ -111,11 +117,11 @@ def lattice(word: str) -> list[list[tuple[str, float]]]:
 
 
 def decode(word: str, model: np.ndarray) -> str:
-    """The most likely plain form of a disguised word under ``char_model``."""
-    paths = {(0, 0, 0): (0.0, "")}
+    """The most likely plain form of a disguised word under ``char_model``; linear in its length."""
+    paths: dict[tuple, tuple[float, tuple | None]] = {(0, 0, 0): (0.0, None)}
     for options in [*lattice(word), [(" ", 0.0)]]:
-        ahead: dict[tuple, tuple[float, str]] = {}
-        for context, (score, text) in paths.items():
+        ahead: dict[tuple, tuple[float, tuple | None]] = {}
+        for context, (score, path) in paths.items():
             for letters, cost in options:
                 a, b, c = context
                 total = score + cost
@@ -124,9 +130,13 @@ def decode(word: str, model: np.ndarray) -> str:
                     total += float(model[(a * KINDS + b) * KINDS + c, kind])
                     a, b, c = b, c, kind
                 if (a, b, c) not in ahead or ahead[a, b, c][0] < total:
-                    ahead[a, b, c] = (total, text + letters)
+                    ahead[a, b, c] = (total, (path, letters))
         paths = ahead
-    return max(paths.values())[1].strip()
+    path, parts = max(paths.values(), key=lambda found: found[0])[1], []
+    while path:
+        path, letters = path
+        parts.append(letters)
+    return "".join(reversed(parts)).strip()
 
 
 def core_of(word: str) -> str:
@@ -140,13 +150,14 @@ def core_of(word: str) -> str:
     return core
 
 
+def may_spell(word: str) -> bool:
+    """Whether a word has a letter, or two signs that may stand for letters."""
+    return LETTER.search(word) is not None or len(MIXED.findall(word)) > 1
+
+
 def disguised(core: str) -> bool:
-    """Whether a word has letters, and look-alikes among them or a letter three times in a row."""
-    return (
-        2 < len(core) <= 24
-        and (MIXED.search(core) is not None or TRIPLE.search(core) is not None)
-        and 2 * len(LETTER.findall(core)) >= len(core)
-    )
+    """Whether a word may have letters, and has look-alikes or one sign twice in a row."""
+    return len(core) > 2 and (MIXED.search(core) or DOUBLE.search(core)) is not None and may_spell(core)
 
 
 def restore_word(word: str, model: np.ndarray) -> str:
@@ -154,25 +165,57 @@ def restore_word(word: str, model: np.ndarray) -> str:
     return decode(core, model) if disguised(core) else core
 
 
+def restore_words(word: str, model: np.ndarray) -> list[str]:
+    """What a word of ``words_of`` stands for: itself restored, or the new words of a partly spaced one."""
+    if " " not in word:
+        return [restore_word(word, model)]
+    parts = word.split(" ")
+    return [w for w in decode(word, model).split() if w not in parts]
+
+
+def _single(word: str) -> bool:
+    return len(word) == 1 and (word in LOOKALIKES or LETTER.match(word) is not None)
+
+
 def spaced_words(words: list[str]) -> list[str]:
     """Words of three or more letters that stand alone side by side."""
     found, run = [], []
     for word in [*words, ""]:
-        if len(word) == 1 and (word in LOOKALIKES or LETTER.match(word)):
+        if _single(word):
             run.append(word)
         else:
-            if len(run) > 2 and sum(LETTER.match(w) is not None for w in run) > 1:
+            if len(run) > 2 and may_spell("".join(run)):
                 found.append("".join(run))
             run = []
     return found
 
 
+def partly_spaced_words(words: list[str]) -> list[str]:
+    """Two or more letters that stand alone side by side, with the words next to them, by blanks."""
+    found, start = [], 0
+    while start < len(words):
+        end = start
+        while end < len(words) and _single(words[end]):
+            end += 1
+        if end - start > 1 and may_spell("".join(words[start:end])):
+            sides = [core_of(w) for w in (*words[max(0, start - 1) : start], *words[end : end + 1])]
+            before, after = sides[: start > 0], sides[start > 0 :]
+            if any(sides):
+                found.append(" ".join(filter(None, [*before, *words[start:end], *after])))
+        start = end + 1
+    return found
+
+
 def words_of(text: str) -> set[str]:
-    """The distinct words of a text, also those that are written with blanks between letters."""
+    """The distinct words of a text, also those that are written with blanks between letters.
+
+    Those of which only some letters are set apart still have their blanks.
+    """
     words = text.lower().split()
     distinct = set(words)
-    if sum(len(w) == 1 for w in distinct) > 1:
+    if any(len(w) == 1 for w in distinct):
         distinct.update(spaced_words(words))
+        distinct.update(partly_spaced_words(words))
     return distinct
 
 
@@ -218,7 +261,7 @@ class Scorer:
         self.known: dict[str, float] = {}
 
     def word(self, word: str) -> float:
-        ids = features_of(restore_word(word, self.model.chars))
+        ids = [i for w in restore_words(word, self.model.chars) for i in features_of(w)]
         return sum(self.model.weights.get(i, 0.0) for i in ids)
 
     def __call__(self, text: str) -> float:
@@ -299,10 +342,16 @@ def fit(
     fitted = pa.schema([("id", pa.int64()), ("weight", pa.float64())])
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, list[str]] = {}
         for batch in slices(batches, "text"):
             ids = []
             for text in batch.column("text"):
-                words = {restore_word(w, chars) for w in words_of(text.as_py())}
+                found = words_of(text.as_py())
+                if len(known) > WORDS_KEPT:
+                    known.clear()
+                for word in found.difference(known):
+                    known[word] = restore_words(word, chars)
+                words = {w for word in found for w in known[word]}
                 ids.append(sorted({i for w in words for i in features_of(w)}))
             yield record(one, label=batch.column("toxic").cast(pa.int32()), ids=ids)
 

@@ -138,6 +138,17 @@ def test_disguised_words_are_restored_and_scored(trained):
     assert score("tare mino luser bandor") < 0.5
 
 
+def test_heavy_disguises_are_restored_and_scored(trained):
+    score = toxicity.Scorer(trained)
+    heavy = ["v1l3w0r7", "v|13w0r7", "v" + "i" * 40 + "lewort", "vviilleewwoorrtt"]
+    for word in heavy:
+        assert toxicity.restore_word(word, trained.chars) == "vilewort"
+    for word in [*heavy, "v 1 1 3 w 0 r 7", "v i lewort", "vilewo r t"]:
+        assert score(f"tare mino {word} luser") >= 0.5
+    assert score("tare mino m i luser 1 0 0 bandor 2 0 1 7") < 0.5
+    assert toxicity.restore_word("x" * 200_000, trained.chars).strip("x") == ""
+
+
 def test_toxicity_of_awkward_documents(spark, trained, awkward, nothing):
     rows = toxicity.score(awkward, trained).collect()
     assert len(rows) == len(AWKWARD) and all(0 <= r.score < 0.5 for r in rows)
