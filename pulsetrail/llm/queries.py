@@ -3,11 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsetrail.llm import exact, fingerprints, language, mixing, packing, pieces, repeats, secrets, simhash, toxicity
+from pulsetrail.llm import (
+    chat,
+    exact,
+    fingerprints,
+    language,
+    merkle,
+    mixing,
+    packing,
+    periodic,
+    pieces,
+    repeats,
+    secrets,
+    simhash,
+    toxicity,
+)
 from pulsetrail.llm.common import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,6 +131,147 @@ def op10_pieces(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's place in the manifest, and whether a third of them, tampered with, still fits."""
+    lower = F.translate("text", ascii_uppercase, ascii_lowercase)
+    proved = merkle.manifest(
+        documents(spark, folder), changed=remainder(F.col("doc_id"), 3) == 0, change={"text": lower}
+    )
+    return merkle.verify(proved).select(
+        "doc_id", "leaf", "subroot", "root", F.col("proof").alias("proof_sha256"), "folded_root", "verified"
+    )
+
+
+OP11_SQL = r"""
+with recursive step(i, k, c) as (
+  select i, 0, i from range(256) t(i)
+  union all
+  select i, k + 1, case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end from step where k < 8
+),
+crc as (select list(c order by i) as t from step where k = 8),
+raw as (
+  select doc_id, lang, text, source, n_chars,
+         xor(list_reduce(
+           list_transform(string_split(doc_id::varchar, ''), lambda x: ascii(x)::bigint),
+           lambda a, b: xor(a >> 8, crc.t[(xor(a, b) & 255) + 1]), 4294967295::bigint), 4294967295) % 3 = 0 as touched
+  from documents, crc
+),
+field as (
+  select doc_id, lang, touched, text,
+         coalesce(strlen(doc_id::varchar) || ':' || doc_id::varchar, '-')
+         || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+         || coalesce(strlen(n_chars::varchar) || ':' || n_chars::varchar, '-') as head,
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as low
+  from raw
+),
+leaf as (
+  select doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) as leaf,
+         case when touched then sha256(head || coalesce(strlen(low) || ':' || low, '-')) end as claimed
+  from field
+),
+placed as (
+  select *, dense_rank() over (order by lang nulls first) - 1 as tree,
+         row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as place,
+         count(*) over (partition by lang) as n
+  from leaf
+),
+lower_nodes(tree, level, place, n, digest) as (
+  select tree, 0, place, n, leaf from placed
+  union all
+  select tree, level + 1, place // 8, max((n + 7) // 8), sha256(string_agg(digest, '' order by place))
+  from lower_nodes where n > 1 group by tree, level, place // 8
+),
+sub as (select tree, digest as subroot, level as height from lower_nodes where n = 1),
+upper_nodes(level, place, n, digest) as (
+  select 0, tree, count(*) over (), subroot from sub
+  union all
+  select level + 1, place // 8, max((n + 7) // 8), sha256(string_agg(digest, '' order by place))
+  from upper_nodes where n > 1 group by level, place // 8
+),
+root as (select digest as root, level as top from upper_nodes where n = 1),
+own as (
+  select tree, place as leaf_place, 0 as level, place, n from placed
+  union all
+  select tree, leaf_place, level + 1, place // 8, (n + 7) // 8 from own where n > 1
+),
+own_upper as (
+  select tree, 0 as level, tree as place, (select count(*) from sub) as n from sub
+  union all
+  select tree, level + 1, place // 8, (n + 7) // 8 from own_upper where n > 1
+),
+low_steps as (
+  select o.tree, o.leaf_place, o.level,
+         coalesce(string_agg(s.digest, '' order by s.place) filter (s.place < o.place), '') as before,
+         coalesce(string_agg(s.digest, '' order by s.place) filter (s.place > o.place), '') as after
+  from own o join lower_nodes s on s.tree = o.tree and s.level = o.level and s.place // 8 = o.place // 8
+  where o.n > 1 group by o.tree, o.leaf_place, o.level, o.place
+),
+up_steps as (
+  select o.tree, o.level,
+         coalesce(string_agg(s.digest, '' order by s.place) filter (s.place < o.place), '') as before,
+         coalesce(string_agg(s.digest, '' order by s.place) filter (s.place > o.place), '') as after
+  from own_upper o join upper_nodes s on s.level = o.level and s.place // 8 = o.place // 8
+  where o.n > 1 group by o.tree, o.level, o.place
+),
+steps as (
+  select tree, leaf_place, level, before, after from low_steps
+  union all
+  select p.tree, p.place, sub.height + u.level, u.before, u.after
+  from placed p join sub using (tree) join up_steps u using (tree)
+),
+proof as (
+  select tree, leaf_place, sha256(string_agg(before || after, '' order by level)) as proof_sha256
+  from steps group by tree, leaf_place
+),
+folded(tree, leaf_place, level, digest) as (
+  select tree, place, 0, coalesce(claimed, leaf) from placed
+  union all
+  select f.tree, f.leaf_place, f.level + 1, sha256(s.before || f.digest || s.after)
+  from folded f join steps s on s.tree = f.tree and s.leaf_place = f.leaf_place and s.level = f.level
+)
+select p.doc_id, p.leaf, sub.subroot, root.root, coalesce(proof.proof_sha256, sha256('')) as proof_sha256,
+       f.digest as folded_root, f.digest = root.root as verified
+from placed p join sub using (tree) cross join root
+left join proof on proof.tree = p.tree and proof.leaf_place = p.place
+join folded f on f.tree = p.tree and f.leaf_place = p.place and f.level = sub.height + root.top
+"""
+
+
+def op12_periods(spark: SparkSession, folder: str) -> DataFrame:
+    """The repeats of every text, a tenth of them with a tail made periodic."""
+    seed = F.crc32(F.col("doc_id").cast("string"))
+    return periodic.collapse_runs(documents(spark, folder), seed).select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli",
+        periodic.runs_digest().alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+SAID = "\\### Assistant: </turn> ok"
+
+
+def op13_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation, and one that tries to break the template, formatted and read back."""
+    given = spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame([(-7, 0, "user", SAID), (-7, 1, "assistant", SAID)], given.schema)
+    parts = chat.format_conversations(given.unionByName(added))
+    return chat.read_back(parts).drop("branch").withColumnRenamed("tree", "conv_id")
+
+
+OP13_SQL = r"""
+with said as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+  union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'
+)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role)) as turns_sha256,
+       coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn) filter (role = 'assistant'), '')) as loss_sha256,
+       sum(length('### : </turn>' || chr(10)) + length(regexp_replace(role, '([\\#<:])', '\\\1', 'g'))
+           + length(regexp_replace(text, '([\\#<])', '\\\1', 'g')))::bigint as formatted_chars
+from said group by conv_id
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_language": op2_language,
@@ -127,5 +283,8 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_secrets": op9_secrets,
     "op10_pieces": op10_pieces,
+    "op11_merkle": op11_merkle,
+    "op12_periods": op12_periods,
+    "op13_chat": op13_chat,
 }
-ORACLES: dict[str, str] = {"op8_exact_dedup": OP8_SQL}
+ORACLES: dict[str, str] = {"op8_exact_dedup": OP8_SQL, "op11_merkle": OP11_SQL, "op13_chat": OP13_SQL}
