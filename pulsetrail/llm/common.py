@@ -33,12 +33,15 @@ def remainder(id_col: Column, parts: int) -> Column:
 
 
 def slices(
-    batches: Iterator[pa.RecordBatch], column: str, most: int = 4_000_000
+    batches: Iterator[pa.RecordBatch], column: str | tuple[str, ...], most: int = 4_000_000
 ) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each holds about ``most`` bytes of ``column``, and one row at least."""
+    """Cut batches so that each holds about ``most`` bytes of the columns, and one row at least."""
+    columns = (column,) if isinstance(column, str) else column
     for batch in batches:
-        at = batch.schema.get_field_index(column)
-        sizes = pa.compute.binary_length(batch.column(at)).fill_null(0).to_numpy(zero_copy_only=False)
+        sizes = sum(
+            pa.compute.binary_length(batch.column(c)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for c in columns
+        )
         start = size = 0
         for row, n in enumerate(sizes):
             if size + n > most and row > start:
@@ -49,8 +52,17 @@ def slices(
             yield batch.slice(start)
 
 
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Send the package to the Python workers, once for each application."""
+    """Send the package to the Python workers, once for each application.
+
+    Batches between Spark and the workers hold ``BATCH_BYTES`` at most, or one row; a setting that is
+    lower is left as it is.
+    """
+    if int(spark.conf.get(BATCH_SETTING).removesuffix("b")) > BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, f"{BATCH_BYTES}b")
     context = spark.sparkContext
     if context.applicationId not in _SHIPPED:
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -13,6 +13,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Iterable, Iterator
 from itertools import accumulate, chain, combinations, pairwise, repeat
+from math import ceil, comb, log, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -29,18 +30,21 @@ SEED = 42
 BLOCKS = 6
 TREE = 1024  # fingerprints of one tree, on average, in shards with more than that
 ROWS = 1 << 16  # shingles whose bits are counted at once
-PAIRS = 1 << 21  # pairs of query and node that are looked at together
+PAIRS = 1 << 19  # pairs of query and node that are looked at together
 
 # of near_pairs, which looks for a similarity of the shingles rather than for a number of bits
 WIDE = 128
-BAND_BITS = 14  # more for more documents: a shard has about one in 2 ** BAND_BITS of them
-DEALS = 8  # ways to deal the bits out to bands
-BANDS = DEALS * (WIDE // BAND_BITS)
 WIDE_RADIUS = 32
 SIMILAR = 0.8
 SHINGLE = 5
-TAKEN = (1, 8, 64)  # candidates of a document verified in the first rounds; then as in the last of these
-HELD = 1 << 20  # candidates gathered between two selections
+APART = 20  # bits of 128 that the fingerprints of a similar pair differ in, on average at the bar
+MISSED = 0.002  # of the pairs at that distance, the share that no band brings together
+SHARD = 16  # fingerprints of a shard on average: bands get wider with the number of documents
+TAKEN = (1, 16, 256)  # candidates of a document tried in the first rounds; then as in the last of these
+HELD = 1 << 18  # candidates gathered between two selections
+CELLS = 256  # of a sketch; each keeps the least hash that falls into it
+DOUBT = 0.15  # a pair is refuted by its sketches if they show so much less than the bar: 6 deviations
+FEW = 64  # shingles of a document whose pairs are always verified
 
 
 def shingles(text: bytes, size: int) -> list[bytes]:
@@ -68,8 +72,11 @@ def print_of(pieces: Iterable[bytes], bits: int) -> bytes:
     No pieces have the fingerprint zero.
     """
     digest = xxh64_digest if bits == BITS else xxh3_128_digest
-    table = np.frombuffer(b"".join([digest(s, SEED) for s in pieces]), np.uint8)
-    table = table.reshape(-1, bits // 8)
+    return _majority(np.frombuffer(b"".join([digest(s, SEED) for s in pieces]), np.uint8), bits)
+
+
+def _majority(hashes: np.ndarray, bits: int) -> bytes:
+    table = hashes.reshape(-1, bits // 8)
     ones = np.zeros(bits, np.int64)
     for at in range(0, len(table), ROWS):
         ones += np.unpackbits(table[at : at + ROWS], axis=1).sum(axis=0, dtype=np.int64)
@@ -368,42 +375,69 @@ def _id_of() -> Column:
     return F.coalesce("doc_id", made)
 
 
-def bands() -> np.ndarray:
-    """The bits of each band; the bands of one deal have no bit in common."""
+def bands(documents: int) -> tuple[np.ndarray, int]:
+    """The bits of each band, and how many there are in one.
+
+    A band has so many bits that about ``SHARD`` documents share those of one by chance; there are so
+    many bands that all but ``MISSED`` of the pairs ``APART`` bits apart agree in one.
+    """
+    width = min(24, max(8, (documents // SHARD).bit_length()))
+    agree = comb(WIDE - APART, width) / comb(WIDE, width)
+    each = WIDE // width
+    deals = -(-ceil(log(MISSED) / log1p(-agree)) // each)
     rng = np.random.default_rng(SEED)
-    each = WIDE // BAND_BITS
-    deals = [rng.permutation(WIDE)[: each * BAND_BITS].reshape(each, BAND_BITS) for _ in range(DEALS)]
-    return np.concatenate(deals)
+    rows = [rng.permutation(WIDE)[: each * width].reshape(each, width) for _ in range(deals)]
+    return np.concatenate(rows), width
+
+
+def sketch_of(hashes: np.ndarray) -> bytes:
+    """The least hash of each of ``CELLS`` cells, its last byte; the high bytes choose the cell.
+
+    Two sketches agree in about as large a share of the cells in use as the sets are similar. A cell
+    of no hash is 0, any other is at least 1.
+    """
+    out = np.zeros(CELLS, np.uint8)
+    ordered = np.sort(hashes)
+    cell = (ordered >> np.uint64(56)).astype(np.int64)
+    new = np.ones(len(cell), bool)
+    new[1:] = cell[1:] != cell[:-1]
+    out[cell[new]] = (ordered[new] % np.uint64(255) + np.uint64(1)).astype(np.uint8)
+    return out.tobytes()
 
 
 def wide_prints(docs: DataFrame) -> DataFrame:
-    """``(id, high, low, size, keys)`` of ``(id, text)``.
+    """``(id, high, low, size, sketch, keys)`` of ``(id, text)``.
 
-    128 bits, the number of distinct shingles, and the shard of each band of the bits. Each distinct
-    shingle counts once, as in the similarity that is verified.
+    128 bits, the number of distinct shingles, a sketch of their set, and the shard of each band of the
+    bits. Each distinct shingle counts once, as in the similarity that is verified.
     """
-    schema = pa.schema([("id", pa.int64()), ("high", pa.int64()), ("low", pa.int64()),
-                        ("size", pa.int64()), ("keys", pa.list_(pa.int32()))])
-    chosen = bands()
-    powers = 1 << np.arange(BAND_BITS, dtype=np.int64)
+    schema = pa.schema([("id", pa.int64()), ("high", pa.int64()), ("low", pa.int64()), ("size", pa.int64()),
+                        ("sketch", pa.binary()), ("keys", pa.list_(pa.int64()))])
+    chosen, width = bands(docs.count())
+    powers = 1 << np.arange(width, dtype=np.int64)
+    count = len(chosen)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            texts = batch.column("text").cast(pa.binary())
-            sizes, made = [], []
-            for text in texts:
-                pieces = set(shingles(text.as_py(), SHINGLE))
-                sizes.append(len(pieces))
-                made.append(print_of(pieces, WIDE))
+            sizes, made, sketches = [], [], []
+            for text in batch.column("text").cast(pa.binary()):
+                digests = b"".join([xxh3_128_digest(s, SEED) for s in set(shingles(text.as_py(), SHINGLE))])
+                hashes = np.frombuffer(digests, np.uint8)
+                sizes.append(len(hashes) // 16)
+                made.append(_majority(hashes, WIDE))
+                sketches.append(sketch_of(hashes.view("<u8")[::2]))
             data = np.frombuffer(b"".join(made), np.uint8)
             bits = np.unpackbits(data.reshape(-1, WIDE // 8), axis=1)
-            keys = bits[:, chosen].astype(np.int64) @ powers + (np.arange(BANDS) << BAND_BITS)
+            keys = bits[:, chosen].astype(np.int64) @ powers + (np.arange(count) << width)
             words = data.view(">i8").reshape(-1, 2).astype(np.int64)
-            offsets = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * BANDS)
-            lists = pa.ListArray.from_arrays(offsets, pa.array(keys.ravel().astype(np.int32)))
-            yield record(schema, id=batch.column("id"), high=words[:, 0], low=words[:, 1], size=sizes, keys=lists)
-
-    made = "id long, high long, low long, size long, keys array<int>"
+            offsets = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * count)
+            lists = pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))
+            yield record(
+                schema, id=batch.column("id"), high=words[:, 0], low=words[:, 1], size=sizes,
+                sketch=sketches, keys=lists,
+            )
+
+    made = "id long, high long, low long, size long, sketch binary, keys array<long>"
     return in_arrow(docs.select("id", "text"), work, made)
 
 
@@ -411,27 +445,30 @@ def near_pairs(docs: DataFrame, similar: float = SIMILAR, tree: int = TREE) -> D
     """``(src, dst)``: links of documents of ``(id, text)`` whose sets of shingles are at least ``similar``.
 
     Fingerprints of 128 bits meet in shards of equal bands; BK-trees find the candidates. They are
-    verified in rounds: a document takes its next nearest candidates that are not linked to it yet by
+    tried in rounds: a document takes its next nearest candidates that are not linked to it yet by
     any path, and goes on behind them in the next round, until no document has one left. So the links
     connect just what all candidates that are similar enough connect, and a round has a bounded number
-    of pairs for each document.
+    of pairs for each document. Sketches refute most pairs that are not similar; the others are
+    verified on the whole texts.
     """
     prints = stage(wide_prints(docs), "wide-prints")
-    shard = F.explode(F.transform("keys", lambda k: k.cast("long"))).alias("shard")
+    shard = F.explode("keys").alias("shard")
     large = stage(crowded(prints.select(shard), tree), "crowded")
     more = ["group", "size", "past", "past_id"]
     held = prints.withColumns(
         {"asks": F.lit(1), "group": F.col("id"), "past": F.lit(-1).cast("long"), "past_id": F.lit(0).cast("long")}
     )
     rows = held.select(shard, "id", "asks", "high", "low", *more)
-    found, links = [], None
+    found, links, earlier = [], None, None
     for most in chain(TAKEN, repeat(TAKEN[-1])):
         pairs = shard_pairs(rows, large, ["high", "low"], WIDE_RADIUS, closest(most, similar), more)
         place = F.dense_rank().over(Window.partitionBy("a").orderBy("distance", "b"))
         pairs = pairs.withColumn("place", place).where(F.col("place") <= most).distinct()
         taken = stage(pairs, "taken")
         tried = taken.select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct()
-        found.append(stage(_verified(docs, tried, similar), "verified"))
+        likely = stage(_likely(prints, tried, similar), "likely")
+        found.append(stage(_verified(docs, likely, similar), "verified"))
+        discard(likely)
         links = functools.reduce(DataFrame.unionByName, found)
         open_ = taken.groupBy("a").agg(
             F.max("place").alias("n"), F.max(F.struct("distance", "b")).alias("last")
@@ -441,10 +478,12 @@ def near_pairs(docs: DataFrame, similar: float = SIMILAR, tree: int = TREE) -> D
             "open",
         )
         discard(taken)
+        if earlier is not None:
+            discard(earlier)
         if open_.isEmpty():
             return links
         labels = connected_components(None, links).withColumnRenamed("component", "group")
-        held = prints.join(open_, "id", "left").join(labels, "id", "left").withColumns(
+        held = prints.drop("sketch").join(open_, "id", "left").join(labels, "id", "left").withColumns(
             {
                 "asks": F.col("past").isNotNull().cast("int"),
                 "group": F.coalesce("group", "id"),
@@ -452,26 +491,48 @@ def near_pairs(docs: DataFrame, similar: float = SIMILAR, tree: int = TREE) -> D
                 "past_id": F.coalesce("past_id", F.lit(0)),
             }
         )
-        held = stage(held, "held")
+        earlier = held = stage(held, "held")
+        discard(open_)
         asked = held.where("asks = 1").select(shard).distinct()
         rows = held.select(shard, "id", "asks", "high", "low", *more).join(asked, "shard", "left_semi")
 
 
+def _likely(prints: DataFrame, pairs: DataFrame, similar: float) -> DataFrame:
+    """The pairs ``(src, dst)`` that their sketches do not refute."""
+    one = prints.select(F.col("id").alias("src"), F.col("size").alias("few"), F.col("sketch").alias("a"))
+    other = prints.select(F.col("id").alias("dst"), F.col("size").alias("fewer"), F.col("sketch").alias("b"))
+    joined = pairs.join(one, "src").join(other, "dst")
+    joined = joined.select("src", "dst", F.least("few", "fewer").alias("few"), "a", "b")
+    schema = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, ("a", "b")):
+            a, b = (
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, CELLS) for c in ("a", "b")
+            )
+            used = ((a > 0) | (b > 0)).sum(axis=1)
+            agree = ((a == b) & (a > 0)).sum(axis=1)
+            kept = (agree >= (similar - DOUBT) * used) | (batch.column("few").to_numpy() < FEW)
+            yield batch.select(["src", "dst"]).filter(pa.array(kept)).cast(schema)
+
+    return in_arrow(joined, compare, "src long, dst long").distinct()
+
+
 def _verified(docs: DataFrame, pairs: DataFrame, similar: float) -> DataFrame:
-    """Those of the pairs ``(src, dst)`` that are similar by their whole texts.
+    """Those of the pairs ``(src, dst)`` that are similar by their whole texts; ``pairs`` is staged.
 
     Texts of no other documents are moved: a bitmap of fixed size tells which may be in a pair.
     """
-    pairs = stage(pairs, "pairs")
     both = pairs.select(F.explode(F.array("src", "dst")).alias("id"))
-    texts = docs.where(may_have(F.col("id"), bitmap_of(both))).select("id", "text")
+    bitmap = bitmap_of(both)
+    texts = docs.where(may_have(F.col("id"), bitmap)).select("id", "text")
     one = texts.select(F.col("id").alias("src"), F.col("text").alias("a"))
     other = texts.select(F.col("id").alias("dst"), F.col("text").alias("b"))
     joined = pairs.join(one, "src").join(other, "dst")
     schema = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "a"):
+        for batch in slices(batches, ("a", "b")):
             kept = []
             for a, b in zip(*(batch.column(c).cast(pa.binary()) for c in ("a", "b"))):
                 one, other = (set(shingles(t.as_py(), SHINGLE)) for t in (a, b))
