@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache
+from sys import maxunicode
 from typing import NamedTuple
 
 import numpy as np
@@ -21,7 +22,7 @@ from pulsetrail.llm.linear import Ftrl, Row, logits_of, softmax, temperature
 
 FEATURES = 1 << 15
 FIT_ROWS = 8000
-LANGUAGES = 256  # the most frequent ones are learned
+LANGUAGES = 256  # more would not fit the one task that fits the model: an error, none is left out
 UNKNOWN = "und"
 
 
@@ -34,8 +35,8 @@ class Model(NamedTuple):
 
 @cache
 def _letters() -> np.ndarray:
-    """Whether a code point of the basic plane is a letter."""
-    return np.array([chr(c).isalpha() for c in range(1 << 16)])
+    """Whether a code point is a letter."""
+    return np.fromiter((chr(c).isalpha() for c in range(maxunicode + 1)), bool, maxunicode + 1)
 
 
 def gram_counts(text: str) -> np.ndarray | None:
@@ -45,7 +46,7 @@ def gram_counts(text: str) -> np.ndarray | None:
     not count.
     """
     codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    letters = _letters()[np.minimum(codes, 0xFFFF)] | (codes > 0xFFFF)
+    letters = _letters()[codes]
     if not letters.any():
         return None
     codes = np.where(letters, codes, np.uint32(32))
@@ -96,7 +97,9 @@ def fit(train: DataFrame, fit_rows: int = FIT_ROWS, seed: int = 7) -> Model:
     train = train.where("lang is not null")
     frequency, documents = _frequencies(train)
     idf = np.log((1 + documents) / (1 + frequency)) + 1
-    sizes = train.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    sizes = train.groupBy("lang").count().limit(LANGUAGES + 1).collect()
+    if len(sizes) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages to learn")
     languages = sorted(r["lang"] for r in sizes)
     if not languages:
         return Model([], idf, np.zeros((0, FEATURES + 1)), 1.0)

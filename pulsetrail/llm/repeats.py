@@ -35,8 +35,8 @@ from pulsetrail.llm.common import (
 from pulsetrail.session import stage
 
 WINDOW = 100
-SLICE = 2_000_000  # bytes that are hashed at once
-KEYS_AT_ONCE = 2_000_000
+SLICE = 1_000_000  # bytes that are hashed at once
+KEYS_AT_ONCE = 1_000_000
 BASE = 0x9E3779B97F4A7C15
 LAST = (1 << 63) - 1  # rows without an id come after all others
 

@@ -44,6 +44,17 @@ def test_language_of_awkward_documents(documents, awkward, nothing):
     assert {(r.lang_pred, r.score) for r in language.predict(awkward, blank).collect()} == {("und", 0.0)}
 
 
+@pytest.mark.parametrize(("text", "letters"), [("😀😀 !!", False), ("𠀀𠀁", True), ("𝒜𝓁", True), ("½ ①", False)])
+def test_letters_of_every_plane(text, letters):
+    assert (language.gram_counts(text) is not None) == letters
+
+
+def test_too_many_languages_are_an_error(make):
+    docs = make([(n, f"text {n}", f"l{n}") for n in range(language.LANGUAGES + 1)])
+    with pytest.raises(ValueError):
+        language.fit(language.labelled(docs, F.lit(True)))
+
+
 def test_the_sample_and_so_the_model_do_not_depend_on_the_layout(documents):
     train = language.labelled(documents, F.lit(True))
     a, b = (language.fit(train.repartition(n), fit_rows=60) for n in (2, 5))
