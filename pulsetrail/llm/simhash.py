@@ -44,6 +44,7 @@ TAKEN = (1, 16, 256)  # candidates of a document tried in the first rounds; then
 HELD = 1 << 18  # candidates gathered between two selections
 CELLS = 256  # of a sketch; each keeps the least hash that falls into it
 DOUBT = 0.15  # a pair is refuted by its sketches if they show so much less than the bar: 6 deviations
+BLOCK = 64  # documents of one side of a block of pairs that are verified together
 FEW = 64  # shingles of a document whose pairs are always verified
 
 
@@ -521,25 +522,53 @@ def _likely(prints: DataFrame, pairs: DataFrame, similar: float) -> DataFrame:
 def _verified(docs: DataFrame, pairs: DataFrame, similar: float) -> DataFrame:
     """Those of the pairs ``(src, dst)`` that are similar by their whole texts; ``pairs`` is staged.
 
-    Texts of no other documents are moved: a bitmap of fixed size tells which may be in a pair.
+    Pairs whose first documents have the same least partner are dealt out together to blocks of about
+    ``BLOCK`` by ``BLOCK`` documents, and each text goes once to every block that has a pair of it, not
+    once for every pair. Texts of no other documents are moved: a bitmap of fixed size tells which may
+    be in a pair.
     """
-    both = pairs.select(F.explode(F.array("src", "dst")).alias("id"))
-    bitmap = bitmap_of(both)
-    texts = docs.where(may_have(F.col("id"), bitmap)).select("id", "text")
-    one = texts.select(F.col("id").alias("src"), F.col("text").alias("a"))
-    other = texts.select(F.col("id").alias("dst"), F.col("text").alias("b"))
-    joined = pairs.join(one, "src").join(other, "dst")
+    both_ways = [F.struct(F.col(a).alias("id"), F.col(b).alias("partner")) for a, b in (("src", "dst"), ("dst", "src"))]
+    ends = pairs.select(F.inline(F.array(*both_ways)))
+    led = ends.groupBy("id").agg(F.least("id", F.min("partner")).alias("leader"))
+    parts = led.groupBy("leader").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    led = led.join(parts, "leader").select(F.col("id").alias("src"), "leader", "parts")
+    own, other = (F.pmod(F.xxhash64(c), F.col("parts")).alias(f"of_{c}") for c in ("src", "dst"))
+    dealt = stage(pairs.join(led, "src").select("leader", own, other, "src", "dst"), "dealt")
+    block = ["leader", "of_src", "of_dst"]
+    needed = dealt.select(*block, F.explode(F.array("src", "dst")).alias("id")).distinct()
+    texts = docs.where(may_have(F.col("id"), bitmap_of(ends.select("id")))).select("id", "text")
+    given = texts.join(needed, "id").select(*block, F.lit(0).alias("kind"), F.col("id").alias("src"), F.col("id").alias("dst"), "text")
+    asked = dealt.select(*block, F.lit(1).alias("kind"), "src", "dst", F.lit(None).cast("string").alias("text"))
+    placed = given.unionByName(asked).repartition(*block).sortWithinPartitions(*block, "kind")
     schema = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, ("a", "b")):
-            kept = []
-            for a, b in zip(*(batch.column(c).cast(pa.binary()) for c in ("a", "b"))):
-                one, other = (set(shingles(t.as_py(), SHINGLE)) for t in (a, b))
-                kept.append(len(one & other) >= similar * len(one | other))
-            yield batch.select(["src", "dst"]).filter(pa.array(kept, pa.bool_())).cast(schema)
-
-    return in_arrow(joined.select("src", "dst", "a", "b"), verify, "src long, dst long").distinct()
+        at: tuple | None = None
+        sets: dict[int, list[np.ndarray]] = {}
+        for batch in batches:
+            kept: list[tuple[int, int]] = []
+            columns = [batch.column(c).to_pylist() for c in ("leader", "of_src", "of_dst", "kind", "src", "dst")]
+            for (leader, i, j, kind, src, dst), text in zip(zip(*columns), batch.column("text").cast(pa.binary())):
+                if (leader, i, j) != at:
+                    at, sets = (leader, i, j), {}
+                if kind == 0:
+                    pieces = set(shingles(text.as_py(), SHINGLE))
+                    digests = b"".join([xxh64_digest(s, SEED) for s in pieces])
+                    sets.setdefault(src, []).append(np.unique(np.frombuffer(digests, "<u8")))
+                elif any(_alike(x, y, similar) for x in sets[src] for y in sets[dst]):
+                    kept.append((src, dst))
+            if kept:
+                yield record(schema, src=[a for a, _ in kept], dst=[b for _, b in kept])
+
+    return in_arrow(placed, verify, "src long, dst long").distinct()
+
+
+def _alike(one: np.ndarray, other: np.ndarray, similar: float) -> bool:
+    """Whether two sets of 64-bit digests are at least ``similar``; empty ones are alike."""
+    if min(len(one), len(other)) < similar * max(len(one), len(other)):
+        return False
+    both = len(one) + len(other) - len(np.unique(np.concatenate([one, other])))
+    return both >= similar * (len(one) + len(other) - both)
 
 
 def keep_one_of_near(
