@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pulsetrail.catalog import (  # noqa: F401
+    certificates,
     cleaning,
     encoding,
     evaluation,

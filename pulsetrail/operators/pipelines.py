@@ -15,6 +15,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.feature import (
     IDF,
     PCA,
+    CountVectorizerModel,
     HashingTF,
     OneHotEncoder,
     RegexTokenizer,
@@ -22,8 +23,12 @@ from pyspark.ml.feature import (
     StringIndexer,
     VectorAssembler,
 )
+from pyspark.sql import DataFrame
+
+from pulsetrail.operators.categories import CategoryIndexer
 
 SEED = 11
+MOST_ENTRIES = 1 << 18  # of the vocabulary of a list column
 
 
 @dataclass(frozen=True)
@@ -35,12 +40,33 @@ class TextColumn:
     buckets: int
 
 
+@dataclass(frozen=True)
+class ListColumn:
+    """A delimited column turned into a multi-hot vector over a given vocabulary.
+
+    Entries that the vocabulary lacks are left out, repeats count once, an empty text is all zeros.
+    """
+
+    name: str
+    pattern: str
+    vocabulary: tuple[str, ...]
+
+    @classmethod
+    def of(cls, name: str, pattern: str, vocab: DataFrame, most: int = MOST_ENTRIES) -> ListColumn:
+        """From a table of ``(token, index)``; the entries become a setting of the stage, ``most`` at most."""
+        rows = vocab.orderBy("index").limit(most + 1).collect()
+        if len(rows) > most:
+            raise ValueError(f"more than {most} entries")
+        return cls(name, pattern, tuple(r["token"] for r in rows))
+
+
 @dataclass(frozen=True)
 class Features:
     """Which columns become features, and how.
 
-    ``categorical`` columns are indexed and one-hot encoded, ``formula`` columns take the formula
-    encoding, ``vectors`` go in as they are. With ``pca`` the assembled vector is reduced to that
+    ``categorical`` columns are indexed and one-hot encoded, with ``category_tables`` by an index whose
+    categories never come to the driver; ``formula`` columns take the formula encoding, ``lists`` are
+    multi-hot, ``vectors`` go in as they are. With ``pca`` the assembled vector is reduced to that
     width. ``flags`` are 0/1 columns that join after the reduction, one-hot encoded, so that a
     treatment stays a feature of its own.
     """
@@ -49,6 +75,7 @@ class Features:
     categorical: Sequence[str] = ()
     formula: Sequence[str] = ()
     text: Sequence[TextColumn] = ()
+    lists: Sequence[ListColumn] = ()
     vectors: Sequence[str] = ()
     flags: Sequence[str] = ()
     pca: int | None = None
@@ -56,10 +83,11 @@ class Features:
     unknown_category: str = "error"
     null_numbers: str = "error"
     formula_nulls: str = "skip"
+    category_tables: bool = False
 
     def columns(self) -> list[str]:
         """The input columns, each once; a job reads no others."""
-        texts = [column.name for column in self.text]
+        texts = [column.name for column in (*self.text, *self.lists)]
         groups = (self.numeric, self.categorical, self.formula, texts, self.vectors, self.flags)
         return list(dict.fromkeys(name for group in groups for name in group))
 
@@ -85,6 +113,16 @@ def tfidf_stages(column: TextColumn) -> list[Any]:
     ]
 
 
+def multi_hot_stages(column: ListColumn) -> list[Any]:
+    """Split, look up; the result is ``<name>_hot``."""
+    if not column.vocabulary:
+        raise ValueError(f"the vocabulary of {column.name} is empty")
+    name = column.name
+    split = RegexTokenizer(inputCol=name, outputCol=f"{name}_entries", pattern=column.pattern, toLowercase=False)
+    known = CountVectorizerModel.from_vocabulary(list(column.vocabulary), f"{name}_entries", f"{name}_hot")
+    return [split, known.setBinary(True)]
+
+
 def feature_stages(features: Features, out: str = "features") -> list[Any]:
     """The stages that turn a feature table's columns into the vector ``out``."""
     stages: list[Any] = []
@@ -92,9 +130,8 @@ def feature_stages(features: Features, out: str = "features") -> list[Any]:
     if features.categorical:
         names = list(features.categorical)
         indexed, encoded = [f"{n}_index" for n in names], [f"{n}_vec" for n in names]
-        stages.append(
-            StringIndexer(inputCols=names, outputCols=indexed, handleInvalid=features.unknown_category)
-        )
+        indexer = CategoryIndexer if features.category_tables else StringIndexer
+        stages.append(indexer(inputCols=names, outputCols=indexed, handleInvalid=features.unknown_category))
         stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded))
         inputs += encoded
     if features.formula:
@@ -110,6 +147,9 @@ def feature_stages(features: Features, out: str = "features") -> list[Any]:
     for column in features.text:
         stages += tfidf_stages(column)
         inputs.append(f"{column.name}_vec")
+    for column in features.lists:
+        stages += multi_hot_stages(column)
+        inputs.append(f"{column.name}_hot")
     inputs += [*features.vectors, *dict.fromkeys(features.numeric)]
 
     last = "assembled" if features.pca or features.flags else out

@@ -4,17 +4,21 @@ from __future__ import annotations
 
 from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsetrail.functions.vectors import euclidean
+from pulsetrail.operators.joins import lookup_join
 from pulsetrail.operators.pipelines import SEED
+from pulsetrail.session import stage
 
 # Bucket width, number of hash tables, and the widest distance that is reported.
 BUCKET_WIDTH = 0.2
 HASH_TABLES = 3
 WIDEST = 100000.0
 
+CELL = 4_096  # rows of one bucket and one side that a task holds
 MAX_PROBES = 1_000  # a set of up to this many vectors is broadcast to the other set
 
 
@@ -43,14 +47,15 @@ def similar_pairs(
     right: DataFrame,
     key: str,
     widest: float = WIDEST,
+    cell: int = CELL,
 ) -> DataFrame:
     """``(idA, idB, dist)`` of the pairs that share a bucket and are at most ``widest`` apart.
 
-    One equi join on (table, bucket). A pair that shares several buckets is reported by the first of
-    them only, so no distinct over the pairs is needed. ``right`` is meant to be a short list (a
-    given list of items, a top-k report, a single mean): it is counted, and broadcast when it has at
-    most MAX_PROBES vectors, so ``left`` may be of any size and is not shuffled. A longer list takes
-    a shuffle join with the same result.
+    Rows meet by (table, bucket). A pair that shares several buckets is reported by the first of them
+    only, so no distinct over the pairs is needed. A short ``right`` (a given list of items, a top-k
+    report, a single mean) is counted and broadcast when it has at most MAX_PROBES vectors, so
+    ``left`` may be of any size and is not shuffled. A longer one is met in ``cells``: crowded buckets
+    are cut into parts, so that no task holds a bucket, however many vectors fall into it.
     """
     short = right.limit(MAX_PROBES + 1).count() <= MAX_PROBES
     a = hashed(model, left, key).select(
@@ -63,12 +68,62 @@ def similar_pairs(
     )
     shared = F.zip_with("hashesA", "hashesB", lambda x, y: x == y)
     first = F.array_position(shared, F.lit(True)) == F.col("table") + 1
-    pairs = a.join(F.broadcast(b) if short else b, ["table", "bucket"]).where(first)
-    return pairs.select("idA", "idB", euclidean("vecA", "vecB").alias("dist")).where(
+    met = a.join(F.broadcast(b), ["table", "bucket"]) if short else cells(a, b, ["table", "bucket"], cell)
+    return met.where(first).select("idA", "idB", euclidean("vecA", "vecB").alias("dist")).where(
         F.col("dist") <= widest
     )
 
 
+def cells(a: DataFrame, b: DataFrame, on: list[str], cell: int = CELL) -> DataFrame:
+    """``a`` joined to ``b`` where both may have many rows of one key.
+
+    A census counts the rows of each key. A key with more than ``cell`` rows on a side has several
+    parts there: its rows are dealt out to them by chance, and every part of one side meets every part
+    of the other in a task of its own. The census keeps only such keys, at most one for every ``cell``
+    rows of the input.
+    """
+    counts = a.select(*on, F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionByName(
+        b.select(*on, F.lit(0).alias("_a"), F.lit(1).alias("_b"))
+    )
+    census = counts.groupBy(*on).agg(F.sum("_a").alias("_na"), F.sum("_b").alias("_nb"))
+    crowded = census.where(F.greatest("_na", "_nb") > cell).select(
+        *on, F.ceil(F.col("_na") / cell).cast("int").alias("_pa"), F.ceil(F.col("_nb") / cell).cast("int").alias("_pb")
+    )
+    crowded = stage(crowded, "crowded")
+
+    def dealt(side: DataFrame, own: str, other: str) -> DataFrame:
+        parts = {name: F.greatest(F.coalesce(name, F.lit(1)), F.lit(1)) for name in ("_pa", "_pb")}
+        mine = F.pmod(F.monotonically_increasing_id(), parts[f"_p{own}"].cast("long")).cast("int")
+        placed = lookup_join(side, crowded, on).withColumn(f"_i{own}", mine)
+        copies = F.explode(F.sequence(F.lit(0), parts[f"_p{other}"] - 1)).alias(f"_i{other}")
+        return placed.select(*side.columns, f"_i{own}", copies)
+
+    return dealt(a, "a", "b").join(dealt(b, "b", "a"), [*on, "_ia", "_ib"]).drop("_ia", "_ib")
+
+
+def projections(model: BucketedRandomProjectionLSHModel, spark: SparkSession, width: int) -> list[list[float]]:
+    """The unit vector that each hash table projects on, read from the buckets of long axis vectors."""
+    far = float(1 << 40)
+    axes = [(i, Vectors.sparse(width, [i], [far])) for i in range(width)]
+    rows = hashed(model, spark.createDataFrame(axes, ["id", model.getInputCol()]), "id").collect()
+    step = model.getBucketLength() / far
+    columns = [[(b + 0.5) * step for b in row.hashes] for row in sorted(rows, key=lambda r: r.id)]
+    return [list(table) for table in zip(*columns)]
+
+
+def recall(found: DataFrame, exact: DataFrame, by: str) -> DataFrame:
+    """``(by, exact, found, wrong, recall)``: how many of the exact pairs were found, and how many
+    others; both tables have ``by``, ``idA`` and ``idB``, each pair once."""
+    marked = exact.withColumn("_e", F.lit(1)).join(
+        found.withColumn("_f", F.lit(1)), [by, "idA", "idB"], "full"
+    )
+    both = F.count_if(F.col("_e").isNotNull() & F.col("_f").isNotNull())
+    counted = marked.groupBy(by).agg(
+        F.count("_e").alias("exact"), both.alias("found"), F.count_if(F.col("_e").isNull()).alias("wrong")
+    )
+    return counted.withColumn("recall", F.try_divide("found", "exact"))
+
+
 def centroid_distances(df: DataFrame, key: str, vector: Column | str, centroid: DataFrame) -> DataFrame:
     """``(idA, dist)``: the exact distance of every vector to the single vector in ``centroid``."""
     values = F.col(vector) if isinstance(vector, str) else vector
