@@ -170,6 +170,34 @@ def connected_components(vertices: DataFrame | None, edges: DataFrame) -> DataFr
     )
 
 
+def extend_components(labels: DataFrame, edges: DataFrame, vertices: DataFrame | None = None) -> DataFrame:
+    """``(id, component)`` of yesterday's ``labels`` with today's ``edges`` (and vertices without any).
+
+    Each end of a new edge is replaced by the component it had, so all that was connected before is a
+    single vertex, and the rounds work on as many links as there are new ones between different
+    components, not on the whole graph. A new label is the smallest id again. Only labels of
+    components that grew change; yesterday's labels are looked up, never run through again. Edges that
+    were known already, and edges inside a component, change nothing.
+    """
+    fresh = stage(edges.select("src", "dst").where("src is not null and dst is not null"), "fresh")
+    known = labels.select("id", "component")
+
+    def contracted(df: DataFrame, end: str) -> DataFrame:
+        own = known.select(F.col("id").alias(end), F.col("component").alias("_c"))
+        return lookup_join(df, own, end).withColumn(end, F.coalesce("_c", end)).drop("_c")
+
+    links = contracted(contracted(fresh, "src"), "dst").where("src <> dst").distinct()
+    merged = stage(connected_components(None, stage(links, "contracted")), "merged")
+    grown = merged.select(F.col("id").alias("component"), F.col("component").alias("_new"))
+    kept = lookup_join(known, grown, "component").select("id", F.coalesce("_new", "component").alias("component"))
+    ends = fresh.select(F.explode(F.array("src", "dst")).alias("id"))
+    if vertices is not None:
+        ends = ends.unionByName(vertices.select("id"))
+    new = ends.distinct().join(known.select("id"), "id", "left_anti")
+    found = lookup_join(new, merged, "id").select("id", F.coalesce("component", "id").alias("component"))
+    return kept.unionByName(found)
+
+
 def component_members(index: DataFrame, components: DataFrame) -> DataFrame:
     """``(value, type, component)`` of every indexed vertex."""
     return index.join(components, "id").select("value", "type", "component")

@@ -163,3 +163,21 @@ def test_hops_from_some_vertices(spark, rows):
     for n in (1, 2, 3):
         every = rows(graph.exact_hops(links, n))
         assert rows(graph.exact_hops(links, n, start)) == [r for r in every if r[0] in (2, 16)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_components_of_the_next_day_equal_those_from_scratch(spark, rows, seed):
+    random.seed(seed)
+    links = [(random.randrange(60), random.randrange(60)) for _ in range(45)]
+    cut = (0, 20, 45, 30)[seed]
+    day_one = graph.connected_components(None, edges(spark, links[:cut]))
+    alone = spark.createDataFrame([(100,), (links[0][0],)], "id long")
+    got = graph.extend_components(day_one, edges(spark, links[cut:]), alone)
+    assert rows(got) == rows(graph.connected_components(alone, edges(spark, links)))
+
+
+def test_edges_inside_a_component_start_no_round(spark, rows, monkeypatch):
+    day_one = graph.connected_components(None, edges(spark, LINKS)).cache()
+    before = rows(day_one)
+    monkeypatch.setattr(graph, "_large_star", lambda links: pytest.fail("a round was run"))
+    assert rows(graph.extend_components(day_one, edges(spark, [(7, 0), (2, 3), (10, 4)]))) == before
