@@ -140,8 +140,8 @@ def connected_components(vertices: DataFrame | None, edges: DataFrame) -> DataFr
     long the paths are. After each round the vertices that hang on a single smaller neighbour are set
     aside, as they can only get its label; later rounds work on what is left, so finished components
     and the leaves of hubs are not shuffled again. In the end the labels are handed back from the
-    last round to the first. Every step is a partial aggregation plus a look-up that keeps hub
-    vertices out of the shuffle, and every round is staged in the shared folder. Vertices that occur
+    last round to the first. Every step is a partial aggregation plus a look-up, whose hub vertices
+    adaptive execution takes apart, and every round is staged in the shared folder. Vertices that occur
     only in ``edges`` are included, and so are vertices without an edge.
     """
     pairs = stage(pairs_of(edges), "pairs")
