@@ -8,6 +8,7 @@ from pulsetrail.catalog import (  # noqa: F401
     encoding,
     evaluation,
     graphs,
+    jobs,
     joins,
     model_checks,
     models,

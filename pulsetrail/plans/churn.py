@@ -15,6 +15,15 @@ from pulsetrail.sources.artefacts import load_model, save_model
 from pulsetrail.sources.tables import scan_day, scan_days
 
 
+def training_rows(
+    spark: SparkSession, table: str, dt: str, label: str = sets.CHURN.label
+) -> DataFrame:
+    """Four snapshots of every user, half of them at random, then fewer negatives than positives."""
+    rows = scan_days(spark, table, dt, sets.CHURN_SNAPSHOTS)
+    rows = rows.selectExpr("*", "concat_ws('|', hdid, dt) as row_key")
+    return two_stage_sample(rows, "row_key", label)
+
+
 def train_churn(
     spark: SparkSession,
     table: str,
@@ -26,10 +35,8 @@ def train_churn(
     learner: Learner = sets.CHURN_LEARNER,
 ) -> Trained:
     """Train on four snapshots, test on a later day, save the pipeline and the tested scores."""
-    rows = scan_days(spark, table, dt, sets.CHURN_SNAPSHOTS)
-    rows = rows.selectExpr("*", "concat_ws('|', hdid, dt) as row_key")
+    sampled = training_rows(spark, table, dt, features.label)
     test = scan_day(spark, table, day(dt, test_offset))
-    sampled = two_stage_sample(rows, "row_key", features.label)
     trained = train_and_report(sampled, test, features, learner, keys=["hdid"])
     save_model(trained.model, artefacts, "churn", dt)
     write_scores(trained.held_out, target, ["hdid"], day(dt), with_label=features.label)

@@ -24,6 +24,12 @@ def _row_key(df: DataFrame) -> DataFrame:
     return df.selectExpr("*", "concat_ws('|', hdid, doc_id, dt) as row_key")
 
 
+def training_rows(spark: SparkSession, table: str, dt: str) -> DataFrame:
+    """Five weekly snapshots of shown items with a title; about twenty rows without a click for each with one."""
+    rows = scan_days(spark, table, dt, sets.CLICK_SNAPSHOTS).dropna(subset=["title_length"])
+    return downsample_negatives(_row_key(rows), "row_key", "label", NEGATIVES_PER_CLICK)
+
+
 def train_click(
     spark: SparkSession,
     table: str,
@@ -38,9 +44,8 @@ def train_click(
     With ``vectors`` (an item index and a factor model) the item's factors are a feature too.
     """
     features = features or (sets.CLICK_VECTOR if vectors else sets.CLICK)
-    rows = scan_days(spark, table, dt, sets.CLICK_SNAPSHOTS).dropna(subset=["title_length"])
+    rows = training_rows(spark, table, dt)
     test = scan_day(spark, table, day(dt, sets.CLICK_TEST_OFFSET)).dropna(subset=["title_length"])
-    rows = downsample_negatives(_row_key(rows), "row_key", "label", NEGATIVES_PER_CLICK)
     if vectors:
         rows, test = (item_vectors(df, "doc_id", *vectors) for df in (rows, test))
     trained = train_and_report(rows, test, features, learner)

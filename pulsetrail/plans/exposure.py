@@ -52,6 +52,21 @@ def one_row_per_user(df: DataFrame) -> DataFrame:
     return first.withColumn(FLAG, F.col(FLAG).cast("int"))
 
 
+def training_rows(
+    spark: SparkSession,
+    table: str,
+    events: str,
+    first: str,
+    last: str,
+    features: Features = sets.EXPOSURE,
+    rates: dict[tuple, float] = EXPOSURE_RATES,
+) -> DataFrame:
+    """One row per dormant user of a range of days, with its event lists; a sample by stratum."""
+    users = named(one_row_per_user(scan_range(spark, table, first, last)))
+    rows = with_events(users, scan_range(spark, events, first, last), features)
+    return sample_strata(rows, "hdid", [FLAG, features.label], rates)
+
+
 def train_exposure(
     spark: SparkSession,
     table: str,
@@ -66,9 +81,7 @@ def train_exposure(
     rates: dict[tuple, float] = EXPOSURE_RATES,
 ) -> tuple[Trained, DataFrame]:
     """Train on a stratified sample of a range of days; also returns the sample's class counts."""
-    users = named(one_row_per_user(scan_range(spark, table, first, last)))
-    rows = with_events(users, scan_range(spark, events, first, last), features)
-    sampled = stage(sample_strata(rows, "hdid", [FLAG, features.label], rates), "sampled")
+    sampled = stage(training_rows(spark, table, events, first, last, features, rates), "sampled")
     test = named(scan_day(spark, table, test_dt)).withColumn(FLAG, F.col(FLAG).cast("int"))
     test = with_events(test, scan_day(spark, events, test_dt), features)
     trained = train_and_report(sampled, test, features, learner)

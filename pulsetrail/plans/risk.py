@@ -65,12 +65,17 @@ def payer_rows(features: DataFrame, orders: DataFrame, dt: str) -> DataFrame:
     return with_ip_names(risk_rows(keep_known(features, payers, "uid")).withColumns(derived))
 
 
+def scoring_rows(spark: SparkSession, table: str, orders: str, dt: str) -> DataFrame:
+    """The day's payers with their derived columns; the order table's days have the compact format."""
+    paid = scan_day(spark, orders, day(dt, 0, COMPACT))
+    return payer_rows(scan_day(spark, table, day(dt)), paid, dt)
+
+
 def score_risk(
     spark: SparkSession, table: str, orders: str, artefacts: str, target: str, dt: str, model_dt: str
 ) -> DataFrame:
-    """Score the accounts that paid on the day; the order table's days have the compact format."""
-    paid = scan_day(spark, orders, day(dt, 0, COMPACT))
-    rows = payer_rows(scan_day(spark, table, day(dt)), paid, dt)
+    """Score the accounts that paid on the day."""
+    rows = scoring_rows(spark, table, orders, dt)
     model = load_model(PipelineModel, artefacts, "risk", model_dt)
     write_scores(score(model, rows, ["uid"]), target, ["uid"], day(dt))
     return scan_day(spark, target, day(dt))
