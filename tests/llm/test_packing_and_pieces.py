@@ -3,11 +3,13 @@
 import hashlib
 import zlib
 from collections import Counter, defaultdict
+from itertools import pairwise
 
 import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -139,37 +141,87 @@ def test_without_dropout_pieces_equal_the_library(plain_coder, texts):
 
 @settings(deadline=None, max_examples=150)
 @given(st.text(max_size=40), st.floats(0, 1), st.integers(0, 3))
-def test_any_text_survives_any_dropout(text, drop, variant):
+def test_any_text_survives_any_dropout(text, drop, key):
     text = text.encode("utf-8", "ignore").decode()
-    own = pieces.coder("piece_bpe_32k.model", 0.0, 0)
-    own.clear()
-    ids = np.frombuffer(own.encode(text, drop, 1, variant), "<u4").tolist()
+    own = pieces.coder("piece_bpe_32k.model")
+    ids = np.frombuffer(own.encode(text, drop, 1, key), "<u4").tolist()
     assert own.decode(ids).decode() == text
 
 
 @settings(deadline=None, max_examples=150)
 @given(st.text("abcdehinorst\u2581", max_size=60), st.floats(0, 1), st.integers(0, 2**64 - 1))
 def test_short_and_long_units_are_merged_alike(unit, drop, key):
-    own = pieces.coder("piece_bpe_32k.model", 0.0, 0)
+    own = pieces.coder("piece_bpe_32k.model")
     limit, pieces.LONG_UNIT = pieces.LONG_UNIT, 100
     try:
-        assert own.merge(unit, drop, key) == own._merge_long(unit, int(drop * 2**64), key)
+        skip = own.skip_by_hash(drop, key)
+        assert own.merge(unit, skip) == own._merge_long(unit, skip)
     finally:
         pieces.LONG_UNIT = limit
 
 
-def test_dropout_varies_with_seed_and_variant_and_repeats(plain_coder):
+def plainly_encoded(own, text, drop, seed, key):
+    """The same dropout with every occurrence merged on its own, candidate by candidate."""
+    signs, units, at = pieces.SPACE, [], 0
+    for n, part in enumerate(text.split(signs)) if text else ():
+        shown = (signs if n == 0 else "") + part.replace(" ", signs)
+        units += ([""] if n else []) + own.units.findall(shown)
+    ids = []
+    for unit in units:
+        base = xxhash.xxh64_intdigest(f"{seed}|{key}") + at * pieces.PLACE_FACTOR
+        at += max(len(unit), 1)
+        spans, skipped = [(i, i + 1) for i in range(len(unit))], set()
+        while True:
+            agenda = [
+                (own.ranks[unit[a:c]], i) for i, ((a, b), (_, c)) in enumerate(pairwise(spans))
+                if unit[a:c] in own.ranks and (a, b, c) not in skipped
+            ]
+            if not agenda:
+                break
+            i = min(agenda)[1]
+            (a, b), (_, c) = spans[i : i + 2]
+            value = (base + a * pieces.PLACE_FACTOR + own.ids[unit[a:c]] * pieces.PIECE_FACTOR) % 2**64
+            if pieces.drawn(value) < drop * 2**53:
+                skipped.add((a, b, c))
+            else:
+                spans[i : i + 2] = [(a, c)]
+        for a, b in spans:
+            known = own.ids.get(unit[a:b])
+            ids += [known] if known is not None else [own.bytes[x] for x in unit[a:b].encode()]
+        ids += [own.bytes[x] for x in signs.encode()] if unit == "" else []
+    return ids
+
+
+@pytest.mark.parametrize("drop", [0.0, 0.1, 0.5, 1.0])
+@pytest.mark.parametrize("at_once", [7, 100_000])
+def test_dropout_equals_brute_force(plain_coder, texts, drop, at_once, monkeypatch):
+    monkeypatch.setattr(pieces, "UNITS_AT_ONCE", at_once)
+    some = [t[:1500] for t in [*texts.values()][:12]] + ["", "▁a ▁▁", "日本語 🎉" * 20, "  x\n\ny  "]
+    own = plain_coder.encode_all(some, range(len(some)), drop, 5)
+    for key, (text, ids) in enumerate(zip(some, own)):
+        assert np.frombuffer(ids, "<u4").tolist() == plainly_encoded(plain_coder, text, drop, 5, key)
+
+
+def test_dropout_varies_with_seed_document_and_place_and_repeats(plain_coder):
     text = "repeatable segmentation of somewhat longer words"
     made = {}
     for seed in (0, 1):
-        for variant in range(3):
-            own = pieces.Coder(PIECES) if not made else own
-            own.clear()
-            made[seed, variant] = own.encode(text, 0.3, seed, variant)
-            own.clear()
-            assert own.encode(text, 0.3, seed, variant) == made[seed, variant]
+        for key in range(3):
+            made[seed, key] = plain_coder.encode(text, 0.3, seed, key)
+            assert plain_coder.encode(text, 0.3, seed, key) == made[seed, key]
     assert len(set(made.values())) > 3
     assert all(len(m) >= len(plain_coder.encode(text)) for m in made.values())
+    ids = np.frombuffer(plain_coder.encode("segmentation " * 200, 0.3), "<u4").tolist()
+    words = "".join(f"{i}," for i in ids).split(f"{plain_coder.ids['▁s']},")
+    assert len(set(words)) > 5  # one word of one text, cut in many ways
+
+
+def test_rate_of_dropout(plain_coder):
+    """A blank and a letter that make one piece stay apart at the rate, over places of one document."""
+    keys = np.arange(20_000, dtype=np.uint64) * np.uint64(pieces.PLACE_FACTOR)
+    _, counts = plain_coder._settled(["▁a"] * 20_000, keys, 0.1)
+    apart = (counts > 1).mean()
+    assert 0.09 < apart < 0.11
 
 
 def test_piece_query_decodes_every_text(spark, folder, texts):
