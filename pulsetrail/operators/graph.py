@@ -206,12 +206,35 @@ def component_members(index: DataFrame, components: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- triangles
 
 
-def triangle_count(vertices: DataFrame | None, edges: DataFrame) -> DataFrame:
+CORNER_ARCS = 2048  # of a vertex in one part, so a key makes about four million pairs
+
+
+def corner_pairs(arcs: DataFrame, most: int = CORNER_ARCS) -> DataFrame:
+    """``(a, one, two, b, c)`` with b < c: the pairs of ends of the arcs ``(low, high)`` that leave ``a``.
+
+    The arcs of a vertex with more than ``most`` are dealt to parts by a hash of their end, and every
+    part meets every part under a key of its own, so the pairs of one vertex are made by as many tasks
+    as there are pairs of parts. Only crowded vertices are copied, an arc once for each part of its vertex.
+    """
+    leaving = arcs.groupBy("low").agg(F.count("*").alias("_n")).where(F.col("_n") > most)
+    parts = leaving.select("low", F.ceil(F.col("_n") / most).cast("int").alias("_parts"))
+    dealt = lookup_join(arcs, parts, "low").withColumn("_parts", F.coalesce("_parts", F.lit(1)))
+    own = F.pmod(F.xxhash64("high"), F.col("_parts")).cast("int")
+    others = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
+    first = dealt.select(F.col("low").alias("a"), own.alias("one"), others.alias("two"), F.col("high").alias("b"))
+    second = dealt.select(F.col("low").alias("a"), others.alias("one"), own.alias("two"), F.col("high").alias("c"))
+    return first.join(second, ["a", "one", "two"]).where("b < c")
+
+
+def triangle_count(
+    vertices: DataFrame | None, edges: DataFrame, most: int = CORNER_ARCS
+) -> DataFrame:
     """``(id, triangles)`` per vertex, 0 included; direction, repeats and loops do not count.
 
     Every edge points from the end with fewer neighbours to the end with more (ties by id). A vertex
     then has at most sqrt(2 * edges) outgoing edges, and a hub next to none, so the pairs of outgoing
-    edges that have to be closed stay bounded whatever the degree of the hubs.
+    edges that have to be closed stay bounded whatever the degree of the hubs. Vertices with more than
+    ``most`` outgoing edges have their pairs made in parts (``corner_pairs``).
     """
     pairs = stage(pairs_of(edges), "pairs")
     once = pairs.where("src <> dst")
@@ -225,10 +248,8 @@ def triangle_count(vertices: DataFrame | None, edges: DataFrame) -> DataFrame:
         F.when(rises, F.col("dst")).otherwise(F.col("src")).alias("high"),
     )
     arcs = stage(arcs, "arcs")
-    one = arcs.select(F.col("low").alias("a"), F.col("high").alias("b"))
-    two = arcs.select(F.col("low").alias("a"), F.col("high").alias("c"))
     closing = pairs.select(F.col("src").alias("b"), F.col("dst").alias("c")).where("b < c")
-    closed = one.join(two, "a").where("b < c").join(closing, ["b", "c"])
+    closed = corner_pairs(arcs, most).join(closing, ["b", "c"])
     corners = closed.select(F.explode(F.array("a", "b", "c")).alias("id"))
     counted = corners.groupBy("id").agg(F.count("*").alias("triangles"))
     return _all_ids(vertices, pairs).join(counted, "id", "left").select(

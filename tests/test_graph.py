@@ -68,6 +68,28 @@ def test_triangles_of_the_small_graph(spark):
     assert found == {5: 2, 3: 1, 7: 1, 2: 1, 0: 1, 4: 0, 10: 0}
 
 
+def test_pairs_of_a_crowded_vertex_are_made_in_even_parts(spark):
+    """Nearly all pairs are those of one vertex with 2000 arcs; no key makes twice the median."""
+    arcs = spark.range(2000).selectExpr("0L as low", "id + 1 as high")
+    arcs = arcs.unionByName(spark.range(50).selectExpr("5000 + id % 5 as low", "6000 + id as high"))
+    whole = graph.corner_pairs(arcs, 10_000).select("a", "b", "c")
+    parted = graph.corner_pairs(arcs, 100)
+    assert parted.count() == whole.count() == 2000 * 1999 // 2 + 5 * 45
+    assert parted.select("a", "b", "c").distinct().count() == whole.count()
+    hot = parted.where("a = 0").groupBy("one", "two").count()
+    made = [r["count"] for r in hot.collect()]
+    assert len(made) == 400
+    assert max(made) < 2 * sorted(made)[200]
+
+
+@pytest.mark.parametrize("most", [1, 3])
+def test_triangles_in_parts_equal_brute_force(spark, most):
+    links = random_links(7) + [(60, 300 + i) for i in range(12)] + [(300 + i, 300 + j) for i in range(12) for j in range(i)]
+    near = neighbours(links)
+    found = dict(map(tuple, graph.triangle_count(None, edges(spark, links), most).collect()))
+    assert found == {v: sum(b in near[a] for a in near[v] for b in near[v] if a < b) for v in near}
+
+
 def test_exact_hops_of_the_small_graph(spark, rows):
     found = rows(graph.exact_hops(edges(spark, [*LINKS, (7, 16)]), 3))
     assert found == [(0, 16), (16, 0), (16, 2), (2, 16)]
