@@ -8,8 +8,9 @@ from contextlib import contextmanager
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from pulsetrail.functions.dates import day
+from pulsetrail.functions.dates import COMPACT, DASHED, day
 
 
 def _in_catalog(name: str) -> bool:
@@ -36,9 +37,58 @@ def _table(spark: SparkSession, name: str) -> DataFrame:
         return spark.read.parquet(name)
 
 
-def _days(spark: SparkSession, name: str, days: Sequence[str], schema: str | None) -> DataFrame:
-    """Some days of a table. With the schema of its columns (``dt`` included) only the folders of
-    these days are listed, and no file is opened to find the schema."""
+def _descriptor(name: str) -> str:
+    """The path of a table's descriptor: an empty parquet table with its columns, beside the table."""
+    return f"{name.rstrip('/')}.columns"
+
+
+def described(spark: SparkSession, name: str) -> StructType | None:
+    """The columns of a table by its descriptor, or None when it has none (or is in the catalog)."""
+    if _in_catalog(name):
+        return None
+    try:
+        return spark.read.parquet(_descriptor(name)).schema
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def describe(spark: SparkSession, name: str, schema: StructType | None = None) -> None:
+    """Write the descriptor of a table, from its files unless ``schema`` is given.
+
+    The writers below do so themselves. Tables that others write need it once, and again when they get
+    another column: scans read the described columns only.
+    """
+    schema = schema or _table(spark, name).schema
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(_descriptor(name))
+
+
+def _with_columns(spark: SparkSession, df: DataFrame, name: str, by: Sequence[str]) -> StructType | None:
+    """The columns of a table once ``df`` is in it, or None when its descriptor has them already.
+
+    New columns come after the known ones, the partition last; a known one may not change its type.
+    """
+    before = described(spark, name)
+    known = {f.name: f.dataType for f in before} if before else {}
+    for field in df.schema:
+        if field.name in by or known.setdefault(field.name, field.dataType) == field.dataType:
+            continue
+        kinds = f"{known[field.name].simpleString()}, not {field.dataType.simpleString()}"
+        raise ValueError(f"column {field.name} of {name} is {kinds}")
+    for column in by:
+        known.pop(column, None)
+        known[column] = StringType()
+    after = StructType([StructField(*item) for item in known.items()])
+    return None if before == after else after
+
+
+def _days(
+    spark: SparkSession, name: str, days: Sequence[str], schema: str | StructType | None
+) -> DataFrame:
+    """Some days of a table. With the schema of its columns (``dt`` included), given or from the table's
+    descriptor, only the folders of these days are listed, and none of their files is opened for it."""
+    schema = schema or described(spark, name)
     if schema is None or _in_catalog(name):
         return _table(spark, name).where(F.col("dt").isin(list(days)))
     reader = spark.read.schema(schema).option("basePath", name)
@@ -67,12 +117,25 @@ def scan_range(
     spark: SparkSession, path: str, first: str, last: str, schema: str | None = None
 ) -> DataFrame:
     """The days from ``first`` to ``last``, both included."""
-    if schema is None or _in_catalog(path):
+    schema = schema or described(spark, path)
+    days = _range(first, last)
+    if schema is None or days is None or _in_catalog(path):
         return _table(spark, path).where(F.col("dt").between(first, last))
+    return _days(spark, path, days, schema)
+
+
+def _range(first: str, last: str) -> list[str] | None:
+    """The days from ``first`` to ``last``; None where the two are no days of one format, or in no order."""
+    out = DASHED if "-" in first else COMPACT
+    try:
+        if first > last or day(first, 0, out) != first or day(last, 0, out) != last:
+            return None
+    except ValueError:
+        return None
     days = [first]
     while days[-1] < last:
-        days.append(day(days[-1], 1))
-    return _days(spark, path, days, schema)
+        days.append(day(days[-1], 1, out))
+    return days
 
 
 def scan_all(spark: SparkSession, path: str) -> DataFrame:
@@ -94,7 +157,10 @@ def write_partition(df: DataFrame, path: str, **partition: str) -> None:
     rows = df.drop(*partition)
     if not _in_catalog(path):
         folder = "/".join(f"{name}={_escaped(value)}" for name, value in partition.items())
+        columns = _with_columns(spark, rows, path, [*partition])
         rows.write.mode("overwrite").parquet(f"{path}/{folder}")
+        if columns is not None:
+            describe(spark, path, columns)
     elif spark.catalog.tableExists(path):
         columns = [c for c in spark.table(path).columns if c not in partition]
         spec = ", ".join(f"`{name}` = {_quoted(value)}" for name, value in partition.items())
@@ -130,7 +196,10 @@ def _overwrite(df: DataFrame, name: str, by: list[str]) -> None:
     spark = df.sparkSession
     with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         if not _in_catalog(name):
+            columns = _with_columns(spark, df, name, by)
             df.write.mode("overwrite").partitionBy(*by).parquet(name)
+            if columns is not None:
+                describe(spark, name, columns)
         elif spark.catalog.tableExists(name):
             df.select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
         else:

@@ -38,7 +38,8 @@ def test_writing_a_day_twice_gives_it_once(spark, tmp_path):
 
 def test_day_filter_prunes_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
-    tables.write_partitions(spark.createDataFrame([(1, "a"), (2, "b")], "v int, dt string"), path, ["dt"])
+    # a table that others wrote has no descriptor
+    spark.createDataFrame([(1, "a"), (2, "b")], "v int, dt string").write.partitionBy("dt").parquet(path)
     plan = tables.scan_days(spark, path, "20240130", (0, -6)).select("v")._jdf.queryExecution().toString()
     assert "PartitionFilters: [dt#" in plan and "ReadSchema: struct<v:int>" in plan
 
@@ -145,3 +146,50 @@ def test_a_job_leaves_nothing_staged_and_touches_nothing_else(spark):
         assert files and all(os.path.exists(f) for f in files)
     assert not any(os.path.exists(f) for f in files)
     assert kept.count() == 3
+
+
+def test_only_the_wanted_days_are_listed(spark, tmp_path):
+    """Of 200 days, a scan lists the folders it asks for; a file that is no parquet elsewhere is not met."""
+    path = str(tmp_path / "daily")
+    days = spark.range(200).selectExpr("id", "date_format(date_add(date'2024-01-01', int(id)), 'yyyy-MM-dd') as dt")
+    tables.write_partitions(days, path, ["dt"])
+    (tmp_path / "daily" / "dt=2024-01-01" / "broken.parquet").write_text("no parquet")
+    assert tables.described(spark, path).names == ["id", "dt"]
+    scans = {
+        1: tables.scan_day(spark, path, "2024-02-01"),
+        3: tables.scan_days(spark, path, "20240301", (0, -7, -14)),
+        5: tables.scan_range(spark, path, "2024-03-01", "2024-03-05"),
+        0: tables.scan_day(spark, path, "1999-01-01"),
+        2: tables.scan_range(spark, path, "2024-02-29", "2024-03-01"),
+    }
+    for n, df in scans.items():
+        assert df.count() == n
+        assert dict(df.dtypes) == {"id": "bigint", "dt": "string"}
+        if n:
+            listed = df._jdf.queryExecution().analyzed().collectLeaves().head().relation().location().rootPaths()
+            assert listed.size() == n
+
+
+def test_descriptor_follows_the_table(spark, tmp_path):
+    path = str(tmp_path / "grows")
+    tables.write_partition(spark.sql("select 1 as a"), path, dt="2024-01-01")
+    tables.write_partition(spark.sql("select 2 as a, 'x' as b"), path, dt="2024-01-02")
+    assert tables.scan_days(spark, path, "20240102", (0, -1)).columns == ["a", "b", "dt"]
+    assert tables.scan_day(spark, path, "2024-01-01").first().asDict() == {"a": 1, "b": None, "dt": "2024-01-01"}
+    with pytest.raises(ValueError, match="column a of .* is int, not string"):
+        tables.write_partition(spark.sql("select 'q' as a"), path, dt="2024-01-02")
+    assert tables.scan_day(spark, path, "2024-01-02").first()["a"] == 2
+    other = str(tmp_path / "foreign")
+    spark.sql("select 5 as a, '20240101' as dt").write.partitionBy("dt").parquet(other)
+    assert tables.described(spark, other) is None
+    assert tables.scan_day(spark, other, "20240101").first()["a"] == 5
+    tables.describe(spark, other)
+    assert tables.described(spark, other).simpleString() == "struct<a:int,dt:string>"
+    assert tables.scan_day(spark, other, "20240101").first()["a"] == 5
+
+
+def test_ranges_of_days():
+    assert tables._range("20240228", "20240301") == ["20240228", "20240229", "20240301"]
+    assert tables._range("2024-02-29", "2024-02-29") == ["2024-02-29"]
+    for first, last in [("0", "9"), ("2024-03-01", "2024-02-01"), ("2024-01-01", "20240102"), ("20240101", "x")]:
+        assert tables._range(first, last) is None
