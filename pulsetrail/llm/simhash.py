@@ -21,7 +21,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest, xxh64_digest
 
-from pulsetrail.llm.common import bitmap_of, in_arrow, may_have, plain, record, slices
+from pulsetrail.llm.common import (
+    MAP_BITS,
+    bit_blocks,
+    bitmap_of,
+    has_bit,
+    in_arrow,
+    may_have,
+    merged_bitmap,
+    plain,
+    record,
+    slices,
+)
 from pulsetrail.operators.graph import connected_components
 from pulsetrail.session import discard, stage
 
@@ -44,6 +55,7 @@ TAKEN = (1, 16, 256)  # candidates of a document tried in the first rounds; then
 HELD = 1 << 18  # candidates gathered between two selections
 CELLS = 256  # of a sketch; each keeps the least hash that falls into it
 DOUBT = 0.15  # a pair is refuted by its sketches if they show so much less than the bar: 6 deviations
+BLOCK_KEY = ["leader", "of_src", "of_dst"]
 BLOCK = 64  # documents of one side of a block of pairs that are verified together
 FEW = 64  # shingles of a document whose pairs are always verified
 
@@ -198,13 +210,14 @@ def spanning(found: Iterator[Found], ids: np.ndarray, more: list[np.ndarray]) ->
 def closest(most: int, similar: float):
     """A ``reduce`` that keeps for each row the first ``most`` partners, by distance and id, after its past.
 
-    ``more`` has the group and the number of shingles of each row, and the distance and id that its
-    past ended with. Partners of its own group, and those whose number of shingles alone rules out a
-    similarity of ``similar``, are passed over; partners that share an id and a distance are one.
+    ``more`` has the number of shingles of each row and, but for the first round, its group and the
+    distance and id that its past ended with. Partners of its own group, and those whose number of
+    shingles alone rules out a similarity of ``similar``, are passed over; partners that share an id
+    and a distance are one.
     """
 
     def reduce(found: Iterator[Found], ids: np.ndarray, more: list[np.ndarray]) -> Found:
-        group, size, past, past_id = more
+        size, *state = more
 
         def select(parts: list[Found]) -> Found:
             a, b, distance = (np.concatenate(c) for c in zip(*parts))
@@ -222,9 +235,12 @@ def closest(most: int, similar: float):
         none = np.empty(0, np.int64)
         parts, waiting, bar = [(none, none, none)], 0, HELD
         for a, b, distance in found:
-            fits = (group[a] != group[b]) & (ids[a] != ids[b])
-            fits &= np.minimum(size[a], size[b]) >= similar * np.maximum(size[a], size[b])
-            fits &= (distance > past[a]) | ((distance == past[a]) & (ids[b] > past_id[a]))
+            fits = np.minimum(size[a], size[b]) >= similar * np.maximum(size[a], size[b])
+            fits &= ids[a] != ids[b]
+            if state:
+                group, past, past_id = state
+                fits &= group[a] != group[b]
+                fits &= (distance > past[a]) | ((distance == past[a]) & (ids[b] > past_id[a]))
             parts.append((a[fits], b[fits], distance[fits]))
             waiting += len(parts[-1][0])
             if waiting > bar:
@@ -235,11 +251,11 @@ def closest(most: int, similar: float):
     return reduce
 
 
-def search_shards(columns: list[np.ndarray], radius: int, reduce, wide: int) -> Found:
+def search_shards(columns: list[np.ndarray], radius: int, reduce, wide: int, owned=None) -> Found:
     """What ``reduce`` keeps of the near pairs within each run of equal ``(shard, lo, hi)``.
 
     ``wide`` columns are the fingerprint; the others tell ``reduce`` more. Rows that do not ask are
-    nodes of the trees and no queries.
+    nodes of the trees and no queries. ``owned`` tells which pairs count in a shard.
     """
     shard, lo, hi, side, ids, asks, *others = columns
     words, more = others[:wide], others[wide:]
@@ -261,6 +277,8 @@ def search_shards(columns: list[np.ndarray], radius: int, reduce, wide: int) ->
     work = np.cumsum(size[run[queries]])
     cuts = [0, *np.searchsorted(work, np.arange(PAIRS, work[-1], PAIRS)), len(queries)]
     found = (f for a, b in pairwise(cuts) for f in search(fps, trees, queries[a:b], radius))
+    if owned is not None:
+        found = (tuple(c[owned(shard[rows], fps, f[0], f[1])] for c in f) for f in found)
     a, b, distance = reduce(found, ids[rows], [m[rows] for m in more])
     return rows[a], rows[b], distance
 
@@ -272,14 +290,21 @@ def crowded(rows: DataFrame, tree: int = TREE) -> DataFrame:
 
 
 def shard_pairs(
-    rows: DataFrame, large: DataFrame, words: list[str], radius: int, reduce, more: list[str] | None = None
+    rows: DataFrame,
+    large: DataFrame,
+    words: list[str],
+    radius: int,
+    reduce,
+    more: list[str] | None = None,
+    owned=None,
 ) -> DataFrame:
-    """``(a, b, distance)`` of the pairs of ids that ``reduce`` keeps in each shard; ``a`` has asked.
+    """``(shard, a, b, distance)`` of the pairs of ids that ``reduce`` keeps in each shard; ``a`` has asked.
 
     ``rows`` has ``shard``, ``id``, ``asks`` (1 or 0), the 64-bit ``words`` of a fingerprint and the
     columns ``more`` for ``reduce``. Shards that are ``crowded`` are dealt out to as many trees as they
     need; every query of such a shard visits all of its trees, in tasks of one tree and one part of
     the queries. Which of two rows asks for the other depends on their ids and the shard alone.
+    ``owned(shard, fps, a, b)``, if given, tells which pairs of rows count in their shard.
     """
     columns = ["id", "asks", *words, *(more or [])]
     parts = F.coalesce("parts", F.lit(1))
@@ -297,14 +322,14 @@ def shard_pairs(
     )
     key = ["shard", "lo", "hi"]
     placed = meeting.repartition(*key).sortWithinPartitions(*key, "side", "id")
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("distance", pa.int64())])
+    schema = pa.schema([("shard", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("distance", pa.int64())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
 
         def made(columns: list[np.ndarray]) -> pa.RecordBatch:
-            a, b, distance = search_shards(columns, radius, reduce, len(words))
-            return record(schema, a=columns[4][a], b=columns[4][b], distance=distance)
+            a, b, distance = search_shards(columns, radius, reduce, len(words), owned)
+            return record(schema, shard=columns[0][a], a=columns[4][a], b=columns[4][b], distance=distance)
 
         for batch in batches:
             columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
@@ -320,7 +345,7 @@ def shard_pairs(
         if held:
             yield made(held)
 
-    return in_arrow(placed, work, "a long, b long, distance long")
+    return in_arrow(placed, work, "shard long, a long, b long, distance long")
 
 
 def near_links(distinct: DataFrame, radius: int, blocks: int = BLOCKS, tree: int = TREE) -> DataFrame:
@@ -391,6 +416,26 @@ def bands(documents: int) -> tuple[np.ndarray, int]:
     return np.concatenate(rows), width
 
 
+def first_shared(chosen: np.ndarray, width: int):
+    """An ``owned`` for shards of bands: a pair counts in the first band whose bits agree, and in no other."""
+    words = np.zeros((len(chosen), WIDE // BITS), np.uint64)
+    for band, bits in enumerate(chosen.tolist()):
+        for bit in bits:
+            words[band, bit // BITS] |= np.uint64(1 << BITS - 1 - bit % BITS)
+
+    def owned(shard: np.ndarray, fps: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        own, kept = shard[a] >> width, np.ones(len(a), bool)
+        left = np.arange(len(a))
+        for band in range(own.max(initial=0)):
+            left = left[own[left] > band]
+            differ = ((fps[a[left]] ^ fps[b[left]]) & words[band]).any(axis=1)
+            kept[left[~differ]] = False
+            left = left[differ]
+        return kept
+
+    return owned
+
+
 def sketch_of(hashes: np.ndarray) -> bytes:
     """The least hash of each of ``CELLS`` cells, its last byte; the high bytes choose the cell.
 
@@ -406,15 +451,15 @@ def sketch_of(hashes: np.ndarray) -> bytes:
     return out.tobytes()
 
 
-def wide_prints(docs: DataFrame) -> DataFrame:
+def wide_prints(docs: DataFrame, dealt: tuple[np.ndarray, int] | None = None) -> DataFrame:
     """``(id, high, low, size, sketch, keys)`` of ``(id, text)``.
 
     128 bits, the number of distinct shingles, a sketch of their set, and the shard of each band of the
-    bits. Each distinct shingle counts once, as in the similarity that is verified.
+    bits (``dealt``, or those for as many documents). Each distinct shingle counts once, as in the similarity that is verified.
     """
     schema = pa.schema([("id", pa.int64()), ("high", pa.int64()), ("low", pa.int64()), ("size", pa.int64()),
                         ("sketch", pa.binary()), ("keys", pa.list_(pa.int64()))])
-    chosen, width = bands(docs.count())
+    chosen, width = dealt or bands(docs.count())
     powers = 1 << np.arange(width, dtype=np.int64)
     count = len(chosen)
 
@@ -451,24 +496,32 @@ def near_pairs(docs: DataFrame, similar: float = SIMILAR, tree: int = TREE) -> D
     connect just what all candidates that are similar enough connect, and a round has a bounded number
     of pairs for each document. Sketches refute most pairs that are not similar; the others are
     verified on the whole texts.
+
+    The first round sees all shards and notes which of them hold a candidate, and whose; the later ones
+    move the rows of those shards only, as no other has a candidate at all.
     """
-    prints = stage(wide_prints(docs), "wide-prints")
+    dealt = bands(docs.count())
+    owned, words = first_shared(*dealt), ["high", "low"]
+    prints = stage(wide_prints(docs, dealt), "wide-prints")
     shard = F.explode("keys").alias("shard")
     large = stage(crowded(prints.select(shard), tree), "crowded")
-    more = ["group", "size", "past", "past_id"]
-    held = prints.withColumns(
-        {"asks": F.lit(1), "group": F.col("id"), "past": F.lit(-1).cast("long"), "past_id": F.lit(0).cast("long")}
-    )
-    rows = held.select(shard, "id", "asks", "high", "low", *more)
-    found, links, earlier = [], None, None
-    for most in chain(TAKEN, repeat(TAKEN[-1])):
-        pairs = shard_pairs(rows, large, ["high", "low"], WIDE_RADIUS, closest(most, similar), more)
+    rows = prints.select(shard, "id", F.lit(1).alias("asks"), *words, "size")
+    pairs = shard_pairs(rows, large, words, WIDE_RADIUS, closest(TAKEN[0], similar), ["size"], owned)
+    seen = stage(pairs, "seen")
+    live = _in_shards(prints, seen)
+    discard(prints)
+    pairs, found, earlier = seen, [], None
+    for most, following in pairwise(chain(TAKEN, repeat(TAKEN[-1]))):
         place = F.dense_rank().over(Window.partitionBy("a").orderBy("distance", "b"))
-        pairs = pairs.withColumn("place", place).where(F.col("place") <= most).distinct()
-        taken = stage(pairs, "taken")
+        ranked = pairs.select("a", "b", "distance", place.alias("place"))
+        taken = stage(ranked.where(F.col("place") <= most).distinct(), "taken")
+        if earlier is not None:
+            discard(earlier)
         tried = taken.select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct()
-        likely = stage(_likely(prints, tried, similar), "likely")
-        found.append(stage(_verified(docs, likely, similar), "verified"))
+        tried = stage(tried, "tried")
+        likely = _likely(live, tried, similar)
+        discard(tried)
+        found.append(_verified(docs, likely, similar))
         discard(likely)
         links = functools.reduce(DataFrame.unionByName, found)
         open_ = taken.groupBy("a").agg(
@@ -479,12 +532,10 @@ def near_pairs(docs: DataFrame, similar: float = SIMILAR, tree: int = TREE) -> D
             "open",
         )
         discard(taken)
-        if earlier is not None:
-            discard(earlier)
         if open_.isEmpty():
             return links
         labels = connected_components(None, links).withColumnRenamed("component", "group")
-        held = prints.drop("sketch").join(open_, "id", "left").join(labels, "id", "left").withColumns(
+        held = live.drop("sketch").join(open_, "id", "left").join(labels, "id", "left").withColumns(
             {
                 "asks": F.col("past").isNotNull().cast("int"),
                 "group": F.coalesce("group", "id"),
@@ -493,39 +544,51 @@ def near_pairs(docs: DataFrame, similar: float = SIMILAR, tree: int = TREE) -> D
             }
         )
         earlier = held = stage(held, "held")
+        asked = seen.join(open_, F.col("a") == F.col("id"), "left_semi").select("shard").distinct()
+        asked = stage(asked, "asked")
         discard(open_)
-        asked = held.where("asks = 1").select(shard).distinct()
-        rows = held.select(shard, "id", "asks", "high", "low", *more).join(asked, "shard", "left_semi")
+        more = ["size", "group", "past", "past_id"]
+        rows = held.select(shard, "id", "asks", *words, *more).join(asked, "shard", "left_semi")
+        pairs = shard_pairs(rows, large, words, WIDE_RADIUS, closest(following, similar), more, owned)
 
 
-def _likely(prints: DataFrame, pairs: DataFrame, similar: float) -> DataFrame:
-    """The pairs ``(src, dst)`` that their sketches do not refute."""
-    one = prints.select(F.col("id").alias("src"), F.col("size").alias("few"), F.col("sketch").alias("a"))
-    other = prints.select(F.col("id").alias("dst"), F.col("size").alias("fewer"), F.col("sketch").alias("b"))
-    joined = pairs.join(one, "src").join(other, "dst")
-    joined = joined.select("src", "dst", F.least("few", "fewer").alias("few"), "a", "b")
-    schema = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
+def _in_shards(prints: DataFrame, seen: DataFrame) -> DataFrame:
+    """The rows of ``prints`` that have a key among the shards of ``seen``, with no other keys; staged.
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, ("a", "b")):
-            a, b = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, CELLS) for c in ("a", "b")
-            )
-            used = ((a > 0) | (b > 0)).sum(axis=1)
-            agree = ((a == b) & (a > 0)).sum(axis=1)
-            kept = (agree >= (similar - DOUBT) * used) | (batch.column("few").to_numpy() < FEW)
-            yield batch.select(["src", "dst"]).filter(pa.array(kept)).cast(schema)
+    A bitmap of fixed size tells which keys to keep: all that are among the shards, and few others.
+    """
+    low, fields = (1 << MAP_BITS) - 1, prints.columns
 
-    return in_arrow(joined, compare, "src long, dst long").distinct()
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from bit_blocks(batch.column(0).to_numpy(zero_copy_only=False) & low)
 
+    marked = in_arrow(seen.select("shard").distinct(), mark, "block int, bits binary")
+    bitmap = prints.sparkSession.sparkContext.broadcast(merged_bitmap(marked))
 
-def _verified(docs: DataFrame, pairs: DataFrame, similar: float) -> DataFrame:
-    """Those of the pairs ``(src, dst)`` that are similar by their whole texts; ``pairs`` is staged.
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                keys = batch.column("keys").flatten().to_numpy(zero_copy_only=False)
+                kept = has_bit(bitmap.value, keys & low)
+                count = kept.reshape(batch.num_rows, -1).sum(axis=1)
+                offsets = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[kept]))
+                columns = [lists if c == "keys" else batch.column(c) for c in fields]
+                yield pa.RecordBatch.from_arrays(columns, names=fields).filter(pa.array(count > 0))
+
+    live = stage(in_arrow(prints, keep, prints.schema), "live")
+    bitmap.destroy()
+    return live
+
+
+def _blocks(documents: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs ``(src, dst)`` dealt out to blocks, the documents of each block ahead of its pairs.
 
     Pairs whose first documents have the same least partner are dealt out together to blocks of about
-    ``BLOCK`` by ``BLOCK`` documents, and each text goes once to every block that has a pair of it, not
-    once for every pair. Texts of no other documents are moved: a bitmap of fixed size tells which may
-    be in a pair.
+    ``BLOCK`` by ``BLOCK`` documents, and what ``documents`` has of an ``id`` goes once to every block that
+    has a pair of it, not once for every pair. ``kind`` is 0 for a document, whose id is in both columns,
+    and 1 for a pair. ``pairs`` is staged.
     """
     both_ways = [F.struct(F.col(a).alias("id"), F.col(b).alias("partner")) for a, b in (("src", "dst"), ("dst", "src"))]
     ends = pairs.select(F.inline(F.array(*both_ways)))
@@ -534,12 +597,68 @@ def _verified(docs: DataFrame, pairs: DataFrame, similar: float) -> DataFrame:
     led = led.join(parts, "leader").select(F.col("id").alias("src"), "leader", "parts")
     own, other = (F.pmod(F.xxhash64(c), F.col("parts")).alias(f"of_{c}") for c in ("src", "dst"))
     dealt = stage(pairs.join(led, "src").select("leader", own, other, "src", "dst"), "dealt")
-    block = ["leader", "of_src", "of_dst"]
-    needed = dealt.select(*block, F.explode(F.array("src", "dst")).alias("id")).distinct()
-    texts = docs.where(may_have(F.col("id"), bitmap_of(ends.select("id")))).select("id", "text")
-    given = texts.join(needed, "id").select(*block, F.lit(0).alias("kind"), F.col("id").alias("src"), F.col("id").alias("dst"), "text")
-    asked = dealt.select(*block, F.lit(1).alias("kind"), "src", "dst", F.lit(None).cast("string").alias("text"))
-    placed = given.unionByName(asked).repartition(*block).sortWithinPartitions(*block, "kind")
+    needed = dealt.select(*BLOCK_KEY, F.explode(F.array("src", "dst")).alias("id")).distinct()
+    given = documents.join(needed, "id").withColumns(
+        {"kind": F.lit(0), "src": F.col("id"), "dst": F.col("id")}
+    ).drop("id")
+    asked = dealt.withColumn("kind", F.lit(1))
+    placed = given.unionByName(asked, allowMissingColumns=True)
+    return placed.repartition(*BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY, "kind")
+
+
+def _unrefuted(
+    ids: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, src: np.ndarray, dst: np.ndarray, similar: float
+) -> np.ndarray:
+    """Which pairs the sketches leave open; those of ids with several rows always are."""
+    order = np.argsort(ids, kind="stable")
+    ids, sizes, sketches = ids[order], sizes[order], sketches[order]
+    several = np.append(ids[1:] == ids[:-1], False)
+    i, j = np.searchsorted(ids, src), np.searchsorted(ids, dst)
+    a, b = sketches[i], sketches[j]
+    used = ((a > 0) | (b > 0)).sum(axis=1)
+    agree = ((a == b) & (a > 0)).sum(axis=1)
+    few = np.minimum(sizes[i], sizes[j]) < FEW
+    return (agree >= (similar - DOUBT) * used) | few | several[i] | several[j]
+
+
+def _likely(prints: DataFrame, pairs: DataFrame, similar: float) -> DataFrame:
+    """The pairs ``(src, dst)`` that their sketches do not refute; staged, as ``pairs`` is."""
+    placed = _blocks(prints.select("id", "size", "sketch"), pairs)
+    schema = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at: tuple | None = None
+        known: list[list[np.ndarray]] = []
+        for batch in batches:
+            block = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in (*BLOCK_KEY, "kind")])
+            cuts = [0, *(np.flatnonzero((block[1:] != block[:-1]).any(axis=1)) + 1).tolist(), len(block)]
+            for start, end in pairwise(cuts):
+                if start == end:
+                    continue
+                part, key = batch.slice(start, end - start), tuple(block[start, :-1].tolist())
+                if key != at:
+                    at, known = key, []
+                src = part.column("src").to_numpy(zero_copy_only=False)
+                if block[start, -1] == 0:
+                    sketches = np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint8)
+                    sizes = part.column("size").to_numpy(zero_copy_only=False)
+                    known.append([src, sizes, sketches.reshape(-1, CELLS)])
+                else:
+                    documents = [np.concatenate(c) for c in zip(*known)]
+                    dst = part.column("dst").to_numpy(zero_copy_only=False)
+                    kept = _unrefuted(*documents, src, dst, similar)
+                    yield part.select(["src", "dst"]).filter(pa.array(kept)).cast(schema)
+
+    return stage(in_arrow(placed, compare, "src long, dst long"), "likely")
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, similar: float) -> DataFrame:
+    """Those of the pairs ``(src, dst)`` that are similar by their whole texts; staged, as ``pairs`` is.
+
+    Texts of no other documents are moved: a bitmap of fixed size tells which may be in a pair.
+    """
+    bitmap = bitmap_of(pairs.select(F.explode(F.array("src", "dst")).alias("id")))
+    placed = _blocks(docs.where(may_have(F.col("id"), bitmap)).select("id", "text"), pairs)
     schema = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -547,7 +666,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, similar: float) -> DataFrame:
         sets: dict[int, list[np.ndarray]] = {}
         for batch in batches:
             kept: list[tuple[int, int]] = []
-            columns = [batch.column(c).to_pylist() for c in ("leader", "of_src", "of_dst", "kind", "src", "dst")]
+            columns = [batch.column(c).to_pylist() for c in (*BLOCK_KEY, "kind", "src", "dst")]
             for (leader, i, j, kind, src, dst), text in zip(zip(*columns), batch.column("text").cast(pa.binary())):
                 if (leader, i, j) != at:
                     at, sets = (leader, i, j), {}
@@ -560,7 +679,9 @@ def _verified(docs: DataFrame, pairs: DataFrame, similar: float) -> DataFrame:
             if kept:
                 yield record(schema, src=[a for a, _ in kept], dst=[b for _, b in kept])
 
-    return in_arrow(placed, verify, "src long, dst long").distinct()
+    links = stage(in_arrow(placed, verify, "src long, dst long"), "verified")
+    bitmap.destroy()
+    return links
 
 
 def _alike(one: np.ndarray, other: np.ndarray, similar: float) -> bool:
