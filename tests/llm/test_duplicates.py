@@ -162,6 +162,37 @@ def test_trees_find_all_neighbours():
     assert found == expected
 
 
+def test_a_pair_counts_in_its_first_shared_band_only():
+    rng = np.random.default_rng(4)
+    chosen, width = simhash.bands(5000)
+    bits = rng.integers(0, 2, (60, simhash.WIDE), dtype=np.uint8)
+    bits[30:] = bits[:30] ^ (rng.random((30, simhash.WIDE)) < 0.12)
+    fps = np.packbits(bits, axis=1).view(">u8").astype(np.uint64)
+    owned = simhash.first_shared(chosen, width)
+    a, b, shared = np.arange(30, 60), np.arange(30), 0
+    same = (bits[a][:, chosen] == bits[b][:, chosen]).all(axis=2)  # pair by band
+    for band in range(len(chosen)):
+        shard = np.full(60, band << width) + 3
+        for pair in np.flatnonzero(same[:, band]):
+            first = int(np.argmax(same[pair]))
+            assert owned(shard, fps, a[pair : pair + 1], b[pair : pair + 1])[0] == (band == first)
+            shared += 1
+    assert shared > 60
+    none = np.empty(0, np.int64)
+    assert len(owned(np.zeros(60, np.int64), fps, none, none)) == 0
+
+
+def test_shards_without_a_candidate_are_left_out(spark):
+    rows = [(i, [i, 100 + i % 3, 200]) for i in range(50)]
+    prints = spark.createDataFrame(rows, "id long, keys array<long>").repartition(4)
+    seen = spark.createDataFrame([(7,), (101,), (101,)], "shard long")
+    live = simhash._in_shards(prints, seen)
+    assert live.columns == ["id", "keys"]
+    expected = {i: [k for k in keys if k in (7, 101)] for i, keys in rows}
+    assert {r.id: r["keys"] for r in live.collect()} == {i: k for i, k in expected.items() if k}
+    assert simhash._in_shards(prints, seen.limit(0)).count() == 0
+
+
 def test_near_copies_go_and_others_stay(make, nothing):
     rng = random.Random(3)
     words = [f"w{i}" for i in range(3000)]
