@@ -13,6 +13,7 @@ from pulsetrail.session import stage
 
 WINDOW = 5  # items to either side that count as company
 # Explicit ratings: a weight that is not there is unknown, not zero.
+PAIRS_A_BLOCK = 8_000_000  # an item has many more pairs than a rated item has ratings, and shorter factors
 SETTINGS = {"implicitPrefs": False, "rank": 5, "maxIter": 10, "regParam": 0.05}
 
 
@@ -61,7 +62,7 @@ def company_embeddings(
     by = {c: index.select(F.col("key").alias(c), F.col("index").alias(i)) for c, i in (("a", "userId"), ("b", "itemId"))}
     rows = lookup_join(lookup_join(weights, by["a"], "a", "inner"), by["b"], "b", "inner")
     rows = stage(rows.select("userId", "itemId", F.col("weight").alias("rating")), "company-rows")
-    model = train_als(rows, **{**SETTINGS, **settings})
+    model = train_als(rows, PAIRS_A_BLOCK, **{**SETTINGS, **settings})
     factors = model.userFactors.select(F.col("id").alias("index"), F.col("features").alias("vector"))
     vectors = factors.join(index, "index").select(
         F.col("key").alias("word"), "index", to_vector("vector").alias("vector")

@@ -17,7 +17,7 @@ from pulsetrail.operators.categories import CategoryIndexer, CategoryIndexerMode
 from pulsetrail.operators.certificates import factor_gaps, logistic_gaps
 from pulsetrail.operators.embeddings import company_embeddings, cooccurrences, pointwise_information
 from pulsetrail.operators.pipelines import Features, Learner, ListColumn, build_pipeline, multi_hot_stages
-from pulsetrail.operators.recommend import train_als
+from pulsetrail.operators.recommend import factor_blocks, train_als
 
 
 # ---------------------------------------------------------------- crowded buckets
@@ -193,3 +193,11 @@ def test_items_of_a_planted_group_are_nearer_than_others(spark):
     inside = np.mean([near(a, b) for g in groups for a in g for b in g if a < b])
     across = np.mean([near(a, b) for a in noise for b in noise if a[0] != b[0]])
     assert inside > across + 0.2
+
+
+def test_blocks_of_factors_grow_with_the_ratings(spark):
+    assert factor_blocks(0) == factor_blocks(100, 10) == 10 and factor_blocks(101, 10) == 11
+    pairs = [(u, i, 1.0 + (u * i) % 3) for u in range(30) for i in range(20) if (u + i) % 3]
+    ratings = spark.createDataFrame(pairs, "userId int, itemId int, rating double")
+    model = train_als(ratings, most=len(pairs) // 16, rank=2, maxIter=1)
+    assert model.itemFactors.rdd.getNumPartitions() >= 16
