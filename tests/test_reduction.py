@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from pulsetrail.operators import reduction
 from pulsetrail.operators.reduction import explained, principal_axes
 
 
@@ -35,6 +36,21 @@ def test_fewer_dimensions_than_axes(spark):
     assert all(v < 1e-9 for v in found.variances[1:])
 
 
+def test_few_slots_give_the_axes_of_the_joins(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(60, 2)) @ rng.normal(size=(2, 6)) + rng.normal(size=(60, 6)) * 0.3 + 2
+    entries = as_entries(spark, x)
+    joins = []
+    times = reduction._times
+    monkeypatch.setattr(reduction, "_times", lambda *a: joins.append(a) or times(*a))
+    few = principal_axes(entries, 60, 2, rounds=1)
+    assert not joins  # before, three shuffles of the entries a round
+    monkeypatch.setattr(reduction, "FEW", 3)
+    many = principal_axes(entries, 60, 2, rounds=1)
+    assert joins and few.variances == pytest.approx(many.variances, rel=1e-9)
+    assert np.abs(few.centre) == pytest.approx(np.abs(many.centre), abs=1e-6)
+
+
 def test_no_entries(spark):
     found = principal_axes(as_entries(spark, np.zeros((1, 1))).limit(0), 5, 2)
     assert found.variances == [] and found.axes.isEmpty()
