@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -15,8 +12,9 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsetrail.session import ship
+
 SPACE = r"[\x20\x09-\x0D]+"
-_SHIPPED: set[str] = set()
 
 
 def plain(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -52,31 +50,6 @@ def slices(
             yield batch.slice(start)
 
 
-BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
-
-
-def ship(spark: SparkSession) -> None:
-    """Send the package to the Python workers, once for each application.
-
-    Batches between Spark and the workers hold ``BATCH_BYTES`` at most, or one row; a setting that is
-    lower is left as it is.
-    """
-    if int(spark.conf.get(BATCH_SETTING).removesuffix("b")) > BATCH_BYTES:
-        spark.conf.set(BATCH_SETTING, f"{BATCH_BYTES}b")
-    context = spark.sparkContext
-    if context.applicationId not in _SHIPPED:
-        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        path = os.path.join(tempfile.mkdtemp(prefix="pulsetrail-"), "pulsetrail-code.zip")
-        with zipfile.ZipFile(path, "w") as target:
-            for folder, _, names in os.walk(package):
-                for name in sorted(names):
-                    if name.endswith(".py"):
-                        file = os.path.join(folder, name)
-                        target.write(file, os.path.relpath(file, os.path.dirname(package)))
-        context.addPyFile(path)
-        _SHIPPED.add(context.applicationId)
-
-
 def in_arrow(
     df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:

@@ -201,3 +201,18 @@ def test_blocks_of_factors_grow_with_the_ratings(spark):
     ratings = spark.createDataFrame(pairs, "userId int, itemId int, rating double")
     model = train_als(ratings, most=len(pairs) // 16, rank=2, maxIter=1)
     assert model.itemFactors.rdd.getNumPartitions() >= 16
+
+
+@pytest.mark.parametrize("block, cell", [(256, 4096), (3, 6)])
+def test_pairs_in_blocks_equal_brute_force(spark, monkeypatch, block, cell):
+    monkeypatch.setattr(similarity, "BLOCK", block)
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(size=(20, 3)), np.zeros((2, 3)), [[np.nan, 0, 0]]])
+    rows = [(i, i % 2, [float(v) for v in r]) for i, r in enumerate(x)] + [(90, 0, [1.0]), (None, 0, [0.0] * 3), (91, 0, None)]
+    side = spark.createDataFrame(rows, "id long, k int, vec array<double>")
+    a, b = (side.select("k", F.col("id").alias(f"id{n}"), F.col("vec").alias(f"vec{n}")) for n in "AB")
+    for on in ([], ["k"]):
+        want = {(i, j): np.linalg.norm(x[i] - x[j]) for i in range(23) for j in range(23)
+                if (not on or i % 2 == j % 2) and np.linalg.norm(x[i] - x[j]) <= 1.3} | {(90, 90): 0.0}
+        found = similarity.near_pairs(a, b, on, 1.3, cell).collect()
+        assert len(found) == len(want) and {(r.idA, r.idB): r.dist for r in found} == pytest.approx(want)
