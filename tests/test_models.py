@@ -1,10 +1,13 @@
 """Properties of the queries that SQL cannot express."""
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from pulsetrail.catalog import models
+from pulsetrail.operators import models as operators
 from pulsetrail.operators.pipelines import TextColumn, feature_stages, tfidf_stages
 from pulsetrail.plans import feature_sets as sets
 
@@ -128,3 +131,12 @@ def test_stage_lists_follow_the_feature_sets():
     ]
     assert len(sets.CLICK.numeric) == 64 and len(sets.CHURN.numeric) == 71
     assert len(sets.RISK.numeric) == 45 and len(sets.EXPOSURE.numeric) == 15
+
+
+def test_large_training_tables_are_dealt_to_more_tasks(spark):
+    rows = spark.range(0, 100, 1, 2).select(F.col("id").alias("x"))
+    met = []
+    pipeline = SimpleNamespace(fit=lambda df: met.append((df.rdd.getNumPartitions(), df.count(), df.is_cached)))
+    operators.train(rows, pipeline, most=50)
+    operators.train(rows, pipeline, most=9)
+    assert met == [(2, 100, False), (12, 100, True)]
