@@ -11,7 +11,7 @@ from __future__ import annotations
 import bisect
 import zlib
 from collections.abc import Iterator, Mapping
-from itertools import chain
+from itertools import chain, pairwise, product
 from typing import NamedTuple
 
 import numpy as np
@@ -26,6 +26,9 @@ SEQUENCE = 4096
 SALTS = 256  # a length that holds most pieces is ranked in this many parts
 WORDS_KEPT = 250_000  # words of either generation in a worker's cache
 
+JOINED = 1000  # unseen words of letters are encoded as texts of so many
+PUNCTUATION = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum())
+
 _CACHES: dict[str, WordIds] = {}
 
 
@@ -35,6 +38,10 @@ class WordIds:
     The words of the young generation become the old one when there are ``WORDS_KEPT``; words that
     are met again come back, rare ones go. ASCII is lower-cased before the look-up, as the tokenizer
     does itself, except in a text that may hold a special token.
+
+    Where the tokenizer itself cuts ASCII punctuation from the letter or digit before it and marks the
+    end of each such part, an unseen word is made of its stem and the punctuation behind it, and unseen
+    words of letters are encoded many at a time, cut apart at the marks.
     """
 
     def __init__(self, path: str) -> None:
@@ -46,10 +53,24 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
-
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.young) > WORDS_KEPT:
-            self.young, self.old = {}, self.young
+        self.last = self._last_ids()
+
+    def _last_ids(self) -> np.ndarray | None:
+        """Which ids end a part of a word; None if the tokenizer marks no ends or cuts otherwise."""
+        mark = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        cut = self.tokenizer.pre_tokenizer
+        if not mark or cut is None:
+            return None
+        for before, sign in product("a7", PUNCTUATION.decode()):
+            if [part for part, _ in cut.pre_tokenize_str(before + sign)] != [before, sign]:
+                return None
+        names = self.tokenizer.get_vocab()
+        last = np.zeros(max(names.values()) + 1, bool)
+        last[[at for name, at in names.items() if name.endswith(mark)]] = True
+        return last
+
+    def _unseen(self, words: set[bytes]) -> list[bytes]:
+        """The words that neither generation has; those of the old one come back."""
         unseen = []
         for word in words.difference(self.young):
             ids = self.old.get(word)
@@ -57,16 +78,67 @@ class WordIds:
                 unseen.append(word)
             else:
                 self.young[word] = ids
-        coded = self.tokenizer.encode_batch_fast(
-            [w.decode("utf-8") for w in unseen], add_special_tokens=False
-        )
-        for word, one in zip(unseen, coded, strict=True):
-            self.young[word] = np.array(one.ids, "<u4").tobytes()
+        return unseen
+
+    def _encode(self, words: list[str]) -> None:
+        coded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        for word, one in zip(words, coded, strict=True):
+            self.young[word.encode()] = np.array(one.ids, "<u4").tobytes()
+
+    def _encode_joined(self, words: list[str]) -> None:
+        """The same for words of letters. Each has one part at least, so with as many parts as words
+        each has just one."""
+        for at in range(0, len(words), JOINED):
+            some = words[at : at + JOINED]
+            one = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0]
+            ids = np.array(one.ids, "<u4")
+            ends = 4 * (np.flatnonzero(self.last[ids]) + 1)
+            if len(ends) != len(some):
+                self._encode(some)
+                continue
+            data, ends = ids.tobytes(), [0, *ends.tolist()]
+            for word, (start, end) in zip(some, pairwise(ends)):
+                self.young[word.encode()] = data[start:end]
+
+    def learn(self, words: set[bytes]) -> None:
+        if len(self.young) > WORDS_KEPT:
+            self.young, self.old = {}, self.young
+        unseen = self._unseen(words)
+        if self.last is None:
+            self._encode([w.decode() for w in unseen])
+            return
+        whole, made = [], []
+        for word in unseen:
+            size = len(word.rstrip(PUNCTUATION))
+            if 0 < size < len(word) and word[size - 1 : size].isalnum() and b"<|" not in word:
+                made.append((word, word[:size], word[size:]))
+            else:
+                whole.append(word)
+        parts = {part for _, *both in made for part in both}
+        texts = [w.decode() for w in chain(whole, self._unseen(parts.difference(whole)))]
+        self._encode_joined([t for t in texts if t.isalpha()])
+        self._encode([t for t in texts if not t.isalpha()])
+        for word, stem, behind in made:
+            self.young[word] = self.young[stem] + self.young[behind]
 
     def of(self, texts: list[bytes]) -> list[bytes]:
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        self.learn(set(chain.from_iterable(split)))
-        return [b"".join(map(self.young.__getitem__, words)) for words in split]
+        lower = [t if b"<|" in t else t.lower() for t in texts]
+        split = pa.compute.ascii_split_whitespace(pa.array(lower, pa.binary()).cast(pa.string()))
+        coded = split.flatten().cast(pa.binary()).dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        self.learn(set(words))
+        known = [self.young[w] for w in words]
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        starts = np.cumsum(sizes) - sizes
+        data = np.frombuffer(b"".join(known), "<u4")
+        at = coded.indices.to_numpy()
+        each = sizes[at]
+        ends = np.cumsum(each)
+        place = np.repeat(starts[at] - ends + each, each)
+        place += np.arange(len(place))
+        ids = data[place].tobytes()
+        cuts = (4 * np.concatenate([[0], ends]))[split.offsets.to_numpy()].tolist()
+        return [ids[start:end] for start, end in pairwise(cuts)]
 
 
 def word_ids(tokenizer: str) -> WordIds:

@@ -124,6 +124,26 @@ def test_word_ids_equal_the_tokenizer(text):
     assert np.frombuffer(own, "<u4").tolist() == tokenizer.encode(clean, add_special_tokens=False).ids
 
 
+def test_unseen_words_are_encoded_together(tokenizer, monkeypatch):
+    """Words of letters go to the tokenizer as joined texts, and a stem once for all punctuation behind it."""
+    coder = packing.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    sent = []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            sent.extend(texts)
+            return tokenizer.encode_batch_fast(texts, **options)
+
+    monkeypatch.setattr(coder, "tokenizer", Counting())
+    stems = [f"{a}{b}{c}" for a in ("tar", "mön", "lu") for b in "aeiou" for c in "bcdfghjklm"]
+    awkward = ["İx", "x's.", "don't,", "'s", "...", "a7.", "é.", "\u2013.", "\u1100", "a\u0301b,", "\u00a0", "\u00a0.", "\u00bd!"]
+    regular = [" ".join(f"{s}{end}" for s in stems for end in ("", ",", ".", "?!", "'")), "", " \t"]
+    found = [coder.of([t.encode() for t in regular]), len(sent), coder.of([" ".join(awkward).encode()])]
+    ids = [np.frombuffer(f, "<u4").tolist() for f in found[0] + found[2]]
+    assert ids == [whole_ids(tokenizer, t)[:-1] for t in [*regular, " ".join(awkward)]]
+    assert found[1] < 20
+
+
 CACHED: list = []
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
