@@ -86,3 +86,22 @@ def test_short_lists_are_broadcast_and_long_ones_shuffled(spark, monkeypatch):
 def test_training_reads_only_its_columns():
     assert set(sets.EXPOSURE.columns()) >= {"applists", "is_exposure_v2", "sex", "start_cnt_d7"}
     assert len(sets.MATERIAL.columns()) == len(set(sets.MATERIAL.columns())) == 20
+
+
+def test_texts_meet_by_key_and_terms_of_crowded_keys_are_spread(spark, monkeypatch):
+    """Term counts send texts, not terms, but for keys with many rows; both count the same."""
+    from collections import Counter
+
+    from pulsetrail.operators import text
+
+    rows = [(1, "a b a"), (1, "B c"), (2, ""), (3, None), (4, "d  d"), *[(None, "a x")] * 4, *[(5, "a y")] * 5]
+    docs = spark.createDataFrame(rows, "doc_id long, words string")
+    expected = Counter((key, term) for key, words in rows for term in (words or "").lower().split())
+    for most, spread in ((10, False), (3, True)):
+        monkeypatch.setattr(text, "ROWS_A_KEY", most, raising=False)
+        counts = text.token_counts(docs, "doc_id", "words", " +")
+        plan = counts._jdf.queryExecution().executedPlan().toString()
+        assert bool(re.search(r"hashpartitioning\(doc_id#\d+L?, term#", plan)) == spread
+        assert sorted(map(str, counts.collect())) == sorted(
+            f"Row(doc_id={key}, term={term!r}, tf={n})" for (key, term), n in expected.items()
+        )
