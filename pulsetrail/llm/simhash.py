@@ -10,9 +10,8 @@ returns a spanning forest of the pairs that it finds, never the pairs themselves
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterable, Iterator
-from itertools import accumulate, chain, combinations, pairwise, repeat
+from itertools import accumulate, combinations, pairwise
 from math import ceil, comb, log, log1p
 
 import numpy as np
@@ -51,12 +50,11 @@ SHINGLE = 5
 APART = 20  # bits of 128 that the fingerprints of a similar pair differ in, on average at the bar
 MISSED = 0.002  # of the pairs at that distance, the share that no band brings together
 SHARD = 16  # fingerprints of a shard on average: bands get wider with the number of documents
-TAKEN = (1, 16, 256)  # candidates of a document tried in the first rounds; then as in the last of these
-HELD = 1 << 18  # candidates gathered between two selections
 CELLS = 256  # of a sketch; each keeps the least hash that falls into it
 DOUBT = 0.15  # a pair is refuted by its sketches if they show so much less than the bar: 6 deviations
-BLOCK_KEY = ["leader", "of_src", "of_dst"]
-BLOCK = 64  # documents of one side of a block of pairs that are verified together
+FAMILY = 1024  # documents of a part of a family; a task holds two parts
+SHINGLED = 1 << 22  # shingles of a part of a family, on average
+TRIED = 256  # documents whose shingles are compared with those of one at a time
 FEW = 64  # shingles of a document whose pairs are always verified
 
 
@@ -207,46 +205,18 @@ def spanning(found: Iterator[Found], ids: np.ndarray, more: list[np.ndarray]) ->
     return linked, label[linked], np.zeros(len(linked), np.int64)
 
 
-def closest(most: int, similar: float):
-    """A ``reduce`` that keeps for each row the first ``most`` partners, by distance and id, after its past.
-
-    ``more`` has the number of shingles of each row and, but for the first round, its group and the
-    distance and id that its past ended with. Partners of its own group, and those whose number of
-    shingles alone rules out a similarity of ``similar``, are passed over; partners that share an id
-    and a distance are one.
-    """
+def families(similar: float):
+    """A ``reduce`` like ``spanning`` of the pairs whose numbers of shingles do not rule out ``similar``."""
 
     def reduce(found: Iterator[Found], ids: np.ndarray, more: list[np.ndarray]) -> Found:
-        size, *state = more
-
-        def select(parts: list[Found]) -> Found:
-            a, b, distance = (np.concatenate(c) for c in zip(*parts))
-            order = np.lexsort((ids[b], distance, a))
-            a, b, distance = a[order], b[order], distance[order]
-            new = np.ones(len(a), bool)
-            new[1:] = (a[1:] != a[:-1]) | (distance[1:] != distance[:-1]) | (ids[b[1:]] != ids[b[:-1]])
-            a, b, distance = a[new], b[new], distance[new]
-            first = np.ones(len(a), bool)
-            first[1:] = a[1:] != a[:-1]
-            at = np.arange(len(a))
-            kept = at - np.maximum.accumulate(np.where(first, at, 0)) < most
-            return a[kept], b[kept], distance[kept]
-
-        none = np.empty(0, np.int64)
-        parts, waiting, bar = [(none, none, none)], 0, HELD
-        for a, b, distance in found:
-            fits = np.minimum(size[a], size[b]) >= similar * np.maximum(size[a], size[b])
-            fits &= ids[a] != ids[b]
-            if state:
-                group, past, past_id = state
-                fits &= group[a] != group[b]
-                fits &= (distance > past[a]) | ((distance == past[a]) & (ids[b] > past_id[a]))
-            parts.append((a[fits], b[fits], distance[fits]))
-            waiting += len(parts[-1][0])
-            if waiting > bar:
-                parts = [select(parts)]
-                waiting, bar = 0, max(HELD, len(parts[0][0]))
-        return select(parts)
+        (size,) = more
+
+        def fitting() -> Iterator[Found]:
+            for a, b, distance in found:
+                fits = np.minimum(size[a], size[b]) >= similar * np.maximum(size[a], size[b])
+                yield a[fits], b[fits], distance[fits]
+
+        return spanning(fitting(), ids, [])
 
     return reduce
 
@@ -452,26 +422,25 @@ def sketch_of(hashes: np.ndarray) -> bytes:
 
 
 def wide_prints(docs: DataFrame, dealt: tuple[np.ndarray, int] | None = None) -> DataFrame:
-    """``(id, high, low, size, sketch, keys)`` of ``(id, text)``.
+    """``(id, high, low, size, keys)`` of ``(id, text)``.
 
-    128 bits, the number of distinct shingles, a sketch of their set, and the shard of each band of the
+    128 bits, the number of distinct shingles, and the shard of each band of the
     bits (``dealt``, or those for as many documents). Each distinct shingle counts once, as in the similarity that is verified.
     """
     schema = pa.schema([("id", pa.int64()), ("high", pa.int64()), ("low", pa.int64()), ("size", pa.int64()),
-                        ("sketch", pa.binary()), ("keys", pa.list_(pa.int64()))])
+                        ("keys", pa.list_(pa.int64()))])
     chosen, width = dealt or bands(docs.count())
     powers = 1 << np.arange(width, dtype=np.int64)
     count = len(chosen)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            sizes, made, sketches = [], [], []
+            sizes, made = [], []
             for text in batch.column("text").cast(pa.binary()):
                 digests = b"".join([xxh3_128_digest(s, SEED) for s in set(shingles(text.as_py(), SHINGLE))])
                 hashes = np.frombuffer(digests, np.uint8)
                 sizes.append(len(hashes) // 16)
                 made.append(_majority(hashes, WIDE))
-                sketches.append(sketch_of(hashes.view("<u8")[::2]))
             data = np.frombuffer(b"".join(made), np.uint8)
             bits = np.unpackbits(data.reshape(-1, WIDE // 8), axis=1)
             keys = bits[:, chosen].astype(np.int64) @ powers + (np.arange(count) << width)
@@ -479,26 +448,22 @@ def wide_prints(docs: DataFrame, dealt: tuple[np.ndarray, int] | None = None) ->
             offsets = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * count)
             lists = pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))
             yield record(
-                schema, id=batch.column("id"), high=words[:, 0], low=words[:, 1], size=sizes,
-                sketch=sketches, keys=lists,
+                schema, id=batch.column("id"), high=words[:, 0], low=words[:, 1], size=sizes, keys=lists,
             )
 
-    made = "id long, high long, low long, size long, sketch binary, keys array<long>"
+    made = "id long, high long, low long, size long, keys array<long>"
     return in_arrow(docs.select("id", "text"), work, made)
 
 
 def near_pairs(docs: DataFrame, similar: float = SIMILAR, tree: int = TREE) -> DataFrame:
     """``(src, dst)``: links of documents of ``(id, text)`` whose sets of shingles are at least ``similar``.
 
-    Fingerprints of 128 bits meet in shards of equal bands; BK-trees find the candidates. They are
-    tried in rounds: a document takes its next nearest candidates that are not linked to it yet by
-    any path, and goes on behind them in the next round, until no document has one left. So the links
-    connect just what all candidates that are similar enough connect, and a round has a bounded number
-    of pairs for each document. Sketches refute most pairs that are not similar; the others are
-    verified on the whole texts.
-
-    The first round sees all shards and notes which of them hold a candidate, and whose; the later ones
-    move the rows of those shards only, as no other has a candidate at all.
+    Fingerprints of 128 bits meet in shards of equal bands; BK-trees find the candidates, and a shard
+    gives a spanning forest of them. What candidates connect is a family, so every candidate has both
+    ends in one. The documents of a family meet in blocks (``_linked``), where sketches refute most
+    pairs that are not similar and the others are verified on the whole texts; a block returns a
+    spanning forest of the similar pairs. So no row is made for a pair, however large a family is,
+    and the links connect just what all pairs of a family that are similar enough connect.
     """
     dealt = bands(docs.count())
     owned, words = first_shared(*dealt), ["high", "low"]
@@ -506,50 +471,13 @@ def near_pairs(docs: DataFrame, similar: float = SIMILAR, tree: int = TREE) -> D
     shard = F.explode("keys").alias("shard")
     large = stage(crowded(prints.select(shard), tree), "crowded")
     rows = prints.select(shard, "id", F.lit(1).alias("asks"), *words, "size")
-    pairs = shard_pairs(rows, large, words, WIDE_RADIUS, closest(TAKEN[0], similar), ["size"], owned)
-    seen = stage(pairs, "seen")
-    live = _in_shards(prints, seen)
+    pairs = shard_pairs(rows, large, words, WIDE_RADIUS, families(similar), ["size"], owned)
+    seen = stage(pairs.where("a <> b").select(F.col("a").alias("src"), F.col("b").alias("dst")).distinct(), "seen")
+    labels = stage(connected_components(None, seen).withColumnRenamed("component", "family"), "families")
+    sizes = stage(prints.select("id", "size").join(labels, "id"), "sizes")
     discard(prints)
-    pairs, found, earlier = seen, [], None
-    for most, following in pairwise(chain(TAKEN, repeat(TAKEN[-1]))):
-        place = F.dense_rank().over(Window.partitionBy("a").orderBy("distance", "b"))
-        ranked = pairs.select("a", "b", "distance", place.alias("place"))
-        taken = stage(ranked.where(F.col("place") <= most).distinct(), "taken")
-        if earlier is not None:
-            discard(earlier)
-        tried = taken.select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct()
-        tried = stage(tried, "tried")
-        likely = _likely(live, tried, similar)
-        discard(tried)
-        found.append(_verified(docs, likely, similar))
-        discard(likely)
-        links = functools.reduce(DataFrame.unionByName, found)
-        open_ = taken.groupBy("a").agg(
-            F.max("place").alias("n"), F.max(F.struct("distance", "b")).alias("last")
-        ).where(F.col("n") == most)
-        open_ = stage(
-            open_.select(F.col("a").alias("id"), F.col("last.distance").alias("past"), F.col("last.b").alias("past_id")),
-            "open",
-        )
-        discard(taken)
-        if open_.isEmpty():
-            return links
-        labels = connected_components(None, links).withColumnRenamed("component", "group")
-        held = live.drop("sketch").join(open_, "id", "left").join(labels, "id", "left").withColumns(
-            {
-                "asks": F.col("past").isNotNull().cast("int"),
-                "group": F.coalesce("group", "id"),
-                "past": F.coalesce("past", F.lit(-1)),
-                "past_id": F.coalesce("past_id", F.lit(0)),
-            }
-        )
-        earlier = held = stage(held, "held")
-        asked = seen.join(open_, F.col("a") == F.col("id"), "left_semi").select("shard").distinct()
-        asked = stage(asked, "asked")
-        discard(open_)
-        more = ["size", "group", "past", "past_id"]
-        rows = held.select(shard, "id", "asks", *words, *more).join(asked, "shard", "left_semi")
-        pairs = shard_pairs(rows, large, words, WIDE_RADIUS, closest(following, similar), more, owned)
+    discard(seen)
+    return _linked(docs, sizes, similar)
 
 
 def _in_shards(prints: DataFrame, seen: DataFrame) -> DataFrame:
@@ -582,114 +510,109 @@ def _in_shards(prints: DataFrame, seen: DataFrame) -> DataFrame:
     return live
 
 
-def _blocks(documents: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs ``(src, dst)`` dealt out to blocks, the documents of each block ahead of its pairs.
+def _dealt(docs: DataFrame, sizes: DataFrame, most: int = FAMILY, shingled: int = SHINGLED) -> DataFrame:
+    """``(family, lo, hi, side, id, text)``: the documents of the families of ``sizes``, dealt out to blocks.
 
-    Pairs whose first documents have the same least partner are dealt out together to blocks of about
-    ``BLOCK`` by ``BLOCK`` documents, and what ``documents`` has of an ``id`` goes once to every block that
-    has a pair of it, not once for every pair. ``kind`` is 0 for a document, whose id is in both columns,
-    and 1 for a pair. ``pairs`` is staged.
+    ``sizes`` has ``id``, ``size`` and ``family`` and is staged. A family of more than ``most`` documents,
+    or ``shingled`` shingles, is cut into parts; a block is two of its parts, or one, which has side 0.
+    Texts of other documents are not moved, but for some that a bitmap of fixed size lets through.
     """
-    both_ways = [F.struct(F.col(a).alias("id"), F.col(b).alias("partner")) for a, b in (("src", "dst"), ("dst", "src"))]
-    ends = pairs.select(F.inline(F.array(*both_ways)))
-    led = ends.groupBy("id").agg(F.least("id", F.min("partner")).alias("leader"))
-    parts = led.groupBy("leader").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
-    led = led.join(parts, "leader").select(F.col("id").alias("src"), "leader", "parts")
-    own, other = (F.pmod(F.xxhash64(c), F.col("parts")).alias(f"of_{c}") for c in ("src", "dst"))
-    dealt = stage(pairs.join(led, "src").select("leader", own, other, "src", "dst"), "dealt")
-    needed = dealt.select(*BLOCK_KEY, F.explode(F.array("src", "dst")).alias("id")).distinct()
-    given = documents.join(needed, "id").withColumns(
-        {"kind": F.lit(0), "src": F.col("id"), "dst": F.col("id")}
-    ).drop("id")
-    asked = dealt.withColumn("kind", F.lit(1))
-    placed = given.unionByName(asked, allowMissingColumns=True)
-    return placed.repartition(*BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY, "kind")
-
-
-def _unrefuted(
-    ids: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, src: np.ndarray, dst: np.ndarray, similar: float
-) -> np.ndarray:
-    """Which pairs the sketches leave open; those of ids with several rows always are."""
-    order = np.argsort(ids, kind="stable")
-    ids, sizes, sketches = ids[order], sizes[order], sketches[order]
-    several = np.append(ids[1:] == ids[:-1], False)
-    i, j = np.searchsorted(ids, src), np.searchsorted(ids, dst)
-    a, b = sketches[i], sketches[j]
-    used = ((a > 0) | (b > 0)).sum(axis=1)
-    agree = ((a == b) & (a > 0)).sum(axis=1)
-    few = np.minimum(sizes[i], sizes[j]) < FEW
-    return (agree >= (similar - DOUBT) * used) | few | several[i] | several[j]
-
-
-def _likely(prints: DataFrame, pairs: DataFrame, similar: float) -> DataFrame:
-    """The pairs ``(src, dst)`` that their sketches do not refute; staged, as ``pairs`` is."""
-    placed = _blocks(prints.select("id", "size", "sketch"), pairs)
-    schema = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
+    parts = sizes.groupBy("family").agg(
+        F.greatest(F.ceil(F.count("*") / most), F.ceil(F.sum("size") / shingled)).cast("int").alias("parts")
+    )
+    member = sizes.select("id", "family").distinct().join(parts, "family")
+    bitmap = bitmap_of(sizes.select("id"))
+    met = docs.where(may_have(F.col("id"), bitmap)).select("id", "text").join(member, "id").select(
+        "family", "id", "text",
+        F.pmod(F.xxhash64("id", "text"), F.col("parts")).cast("int").alias("own"),
+        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"),
+    )
+    placed = met.select(
+        "family",
+        F.least("own", "other").alias("lo"),
+        F.greatest("own", "other").alias("hi"),
+        (F.col("own") > F.col("other")).cast("int").alias("side"),
+        "id",
+        "text",
+    )
+    return placed.repartition("family", "lo", "hi").sortWithinPartitions("family", "lo", "hi")
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at: tuple | None = None
-        known: list[list[np.ndarray]] = []
-        for batch in batches:
-            block = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in (*BLOCK_KEY, "kind")])
-            cuts = [0, *(np.flatnonzero((block[1:] != block[:-1]).any(axis=1)) + 1).tolist(), len(block)]
-            for start, end in pairwise(cuts):
-                if start == end:
-                    continue
-                part, key = batch.slice(start, end - start), tuple(block[start, :-1].tolist())
-                if key != at:
-                    at, known = key, []
-                src = part.column("src").to_numpy(zero_copy_only=False)
-                if block[start, -1] == 0:
-                    sketches = np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint8)
-                    sizes = part.column("size").to_numpy(zero_copy_only=False)
-                    known.append([src, sizes, sketches.reshape(-1, CELLS)])
-                else:
-                    documents = [np.concatenate(c) for c in zip(*known)]
-                    dst = part.column("dst").to_numpy(zero_copy_only=False)
-                    kept = _unrefuted(*documents, src, dst, similar)
-                    yield part.select(["src", "dst"]).filter(pa.array(kept)).cast(schema)
-
-    return stage(in_arrow(placed, compare, "src long, dst long"), "likely")
-
-
-def _verified(docs: DataFrame, pairs: DataFrame, similar: float) -> DataFrame:
-    """Those of the pairs ``(src, dst)`` that are similar by their whole texts; staged, as ``pairs`` is.
-
-    Texts of no other documents are moved: a bitmap of fixed size tells which may be in a pair.
+
+def _shared(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many digests each of some sets has in common with ``one``; all are sorted, or all are empty."""
+    if not len(one):
+        return np.zeros(len(others), np.int64)
+    every = np.concatenate(others)
+    at = np.minimum(np.searchsorted(one, every), len(one) - 1)
+    starts = np.cumsum([0, *map(len, others[:-1])])
+    return np.add.reduceat((one[at] == every).astype(np.int64), starts)
+
+
+def link_block(
+    ids: np.ndarray, side: np.ndarray, sets: list[np.ndarray], similar: float, crossing: bool
+) -> list[tuple[int, int]]:
+    """Pairs of ids that connect what all similar pairs of a block connect: fewer than it has documents.
+
+    ``sets`` are the sorted digests of the shingles. If ``crossing``, only pairs of different sides count.
+    Pairs that are connected already are passed over; a document tries the others by the likeness of
+    their sketches. Sketches refute a pair that looks clearly less than ``similar``.
     """
-    bitmap = bitmap_of(pairs.select(F.explode(F.array("src", "dst")).alias("id")))
-    placed = _blocks(docs.where(may_have(F.col("id"), bitmap)).select("id", "text"), pairs)
+    size = np.array([len(s) for s in sets])
+    order = np.argsort(size, kind="stable")
+    ids, side, size, sets = ids[order], side[order], size[order], [sets[k] for k in order]
+    sketches = np.frombuffer(b"".join(map(sketch_of, sets)), np.uint8).reshape(-1, CELLS)
+    filled = sketches > 0
+    end = np.searchsorted(similar * size, size, "right")  # behind the largest that may be similar
+    label, links = np.unique(ids, return_inverse=True)[1], []
+    for row in range(len(ids)):
+        left = np.arange(row + 1, end[row])
+        left = left[label[left] != label[row]]
+        if crossing:
+            left = left[side[left] != side[row]]
+        if not len(left):
+            continue
+        used = (filled[left] | filled[row]).sum(axis=1)
+        agree = ((sketches[left] == sketches[row]) & filled[row]).sum(axis=1)
+        open_ = (agree >= (similar - DOUBT) * used) | (size[row] < FEW)
+        likeness = agree[open_] / np.maximum(used[open_], 1)
+        left, most = left[open_][np.argsort(-likeness, kind="stable")], 1
+        while len(left):
+            tried, left = left[:most], left[most:]
+            both = _shared(sets[row], [sets[k] for k in tried])
+            for k in tried[both >= similar * (size[row] + size[tried] - both)]:
+                if label[k] != label[row]:
+                    links.append((int(ids[row]), int(ids[k])))
+                    label[label == label[k]] = label[row]
+            left, most = left[label[left] != label[row]], min(2 * most, TRIED)
+    return links
+
+
+def _linked(docs: DataFrame, sizes: DataFrame, similar: float) -> DataFrame:
+    """``(src, dst)``, staged: links that connect what the similar pairs within each family connect."""
+    placed = _dealt(docs, sizes)
     schema = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at: tuple | None = None
-        sets: dict[int, list[np.ndarray]] = {}
-        for batch in batches:
-            kept: list[tuple[int, int]] = []
-            columns = [batch.column(c).to_pylist() for c in (*BLOCK_KEY, "kind", "src", "dst")]
-            for (leader, i, j, kind, src, dst), text in zip(zip(*columns), batch.column("text").cast(pa.binary())):
-                if (leader, i, j) != at:
-                    at, sets = (leader, i, j), {}
-                if kind == 0:
-                    pieces = set(shingles(text.as_py(), SHINGLE))
-                    digests = b"".join([xxh64_digest(s, SEED) for s in pieces])
-                    sets.setdefault(src, []).append(np.unique(np.frombuffer(digests, "<u8")))
-                elif any(_alike(x, y, similar) for x in sets[src] for y in sets[dst]):
-                    kept.append((src, dst))
-            if kept:
-                yield record(schema, src=[a for a, _ in kept], dst=[b for _, b in kept])
-
-    links = stage(in_arrow(placed, verify, "src long, dst long"), "verified")
-    bitmap.destroy()
-    return links
+        held: list[tuple[int, int, np.ndarray]] = []
 
+        def made() -> Iterator[pa.RecordBatch]:
+            if len(held) > 1:
+                ids, side, sets = zip(*held)
+                links = link_block(np.array(ids), np.array(side), list(sets), similar, at[1] != at[2])
+                yield record(schema, src=[a for a, _ in links], dst=[b for _, b in links])
 
-def _alike(one: np.ndarray, other: np.ndarray, similar: float) -> bool:
-    """Whether two sets of 64-bit digests are at least ``similar``; empty ones are alike."""
-    if min(len(one), len(other)) < similar * max(len(one), len(other)):
-        return False
-    both = len(one) + len(other) - len(np.unique(np.concatenate([one, other])))
-    return both >= similar * (len(one) + len(other) - both)
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("family", "lo", "hi", "side", "id")]
+            for family, lo, hi, side, id_, text in zip(*columns, batch.column("text").cast(pa.binary())):
+                if (family, lo, hi) != at:
+                    yield from made()
+                    at, held = (family, lo, hi), []
+                digests = b"".join([xxh64_digest(s, SEED) for s in set(shingles(text.as_py(), SHINGLE))])
+                held.append((id_, side, np.unique(np.frombuffer(digests, "<u8"))))
+        yield from made()
+
+    return stage(in_arrow(placed, work, "src long, dst long"), "verified")
 
 
 def keep_one_of_near(

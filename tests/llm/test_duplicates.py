@@ -247,6 +247,64 @@ def test_near_copies_are_found_behind_refuted_ones(make, monkeypatch, tree):
     assert refuted > 500 and kept == sorted(set(label.values()))
 
 
+@pytest.fixture
+def family():
+    """180 copies of a text with many changes each: most pairs are less than 0.8 alike, some are more."""
+    rng = random.Random(21)
+    words = [f"w{i}" for i in range(3000)]
+    base = [rng.choice(words) for _ in range(110)]
+    rows = []
+    for i in range(180):
+        copy = list(base)
+        for at in rng.sample(range(110), rng.randrange(1, 5)):
+            copy[at] = rng.choice(words)
+        rows.append((i, " ".join(copy), "en"))
+    return rows
+
+
+def test_no_table_grows_with_the_square_of_a_family(make, family, monkeypatch):
+    counts = {}
+    plain_stage = simhash.stage
+
+    def stage(df, label):
+        staged = plain_stage(df, label)
+        counts[label] = max(counts.get(label, 0), staged.count())
+        return staged
+
+    monkeypatch.setattr(simhash, "stage", stage)
+    simhash.keep_one_of_near(make(family)).count()
+    assert counts["wide-prints"] == 180 and max(counts.values()) <= 12 * len(family), counts
+
+
+def test_families_in_parts_give_the_links_of_all_pairs(spark, make, family):
+    ids = [i for i, _, _ in family]
+    sets = {i: set(simhash.shingles(t.encode(), simhash.SHINGLE)) for i, t, _ in family}
+    label = {i: i for i in ids}
+    for a in ids:
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                low, high = sorted((label[a], label[b]))
+                label = {i: low if v == high else v for i, v in label.items()}
+    sizes = spark.createDataFrame([(i, len(sets[i]), 0) for i in ids], "id long, size long, family long")
+    docs = make(family).selectExpr("doc_id as id", "text")
+    for most, shingled in ((1024, 1 << 22), (50, 1 << 22), (1024, 4000)):
+        blocks = simhash._dealt(docs, sizes, most, shingled).collect()
+        parts = -(-len(ids) // most) if most < 1024 else -(-sum(map(len, sets.values())) // shingled)
+        assert len(blocks) == parts * len(ids)
+        held, links = {}, []
+        for r in blocks:
+            digests = np.array(sorted(hash(s) % 2**64 for s in sets[r.id]), np.uint64)
+            held.setdefault((r.lo, r.hi), []).append((r.id, r.side, digests))
+        for (lo, hi), rows in held.items():
+            one, side, digests = zip(*rows)
+            links += simhash.link_block(np.array(one), np.array(side), list(digests), 0.8, lo != hi)
+        found = {i: i for i in ids}
+        for a, b in links:
+            low, high = sorted((found[a], found[b]))
+            found = {i: low if v == high else v for i, v in found.items()}
+        assert found == label and len(set(label.values())) > 1
+
+
 def test_near_copies_with_other_repeats_of_a_line_go(make):
     rng = random.Random(13)
     words = [f"w{i}" for i in range(3000)]
