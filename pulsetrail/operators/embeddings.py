@@ -17,34 +17,62 @@ PAIRS_A_BLOCK = 8_000_000  # an item has many more pairs than a rated item has r
 SETTINGS = {"implicitPrefs": False, "rank": 5, "maxIter": 10, "regParam": 0.05}
 
 
+def _with_singles(baskets: DataFrame, items: str, window: int) -> tuple[DataFrame, DataFrame]:
+    """Each basket as an array ``near`` of ``(place, x, s)``, with ``s``: how often ``x`` has company in all
+    baskets; and the staged table ``(x, s)``.
+
+    Items are counted where they stand, so what is grouped and joined are the entries of the baskets, not
+    their pairs.
+    """
+    numbered = baskets.select(F.monotonically_increasing_id().alias("basket"), F.col(items).alias("items"))
+    entries = stage(numbered, "company-baskets").select("*", F.posexplode("items").alias("place", "x"))
+    others = [F.get("items", F.col("place") + d) for d in range(-window, window + 1) if d]
+    company = sum((F.when(y != F.col("x"), 1).otherwise(0) for y in others), F.lit(0))
+    singles = entries.select("x", company.alias("c")).where("c > 0").groupBy("x").agg(F.sum("c").alias("s"))
+    singles = stage(singles, "singles")
+    known = lookup_join(entries.select("basket", "place", "x"), singles, "x")
+    near = F.sort_array(F.collect_list(F.struct("place", "x", "s"))).alias("near")
+    return known.groupBy("basket").agg(near), singles
+
+
 def cooccurrences(baskets: DataFrame, items: str = "items", window: int = WINDOW) -> DataFrame:
-    """``(a, b, n)``: how often item ``b`` is within ``window`` places of ``a`` in a basket.
+    """``(a, b, n, n_a, n_b, n_all)``: how often item ``b`` is within ``window`` places of ``a`` in a basket.
 
-    Both directions are counted; an item does not keep company with itself. The pairs of a basket grow
-    with its length, not with its square, and are added up before they are shuffled.
+    Both directions are counted; an item does not keep company with itself. ``n_a`` and ``n_b`` are the
+    sums of ``n`` over all company of either, ``n_all`` is the sum over all rows. The pairs of a basket grow with its length, not with its
+    square; they are added up before they are shuffled, once for both directions.
     """
-    ahead = F.expr(
-        f"""explode(flatten(transform(`{items}`, (x, i) -> transform(
-              slice(`{items}`, i + 2, {window}), y -> named_struct('x', x, 'y', y)))))"""
-    )
-    pairs = baskets.select(ahead.alias("p")).where("p.x <> p.y")
-    both = F.explode(F.array(
-        F.struct(F.col("p.x").alias("a"), F.col("p.y").alias("b")), F.struct(F.col("p.y").alias("a"), F.col("p.x").alias("b"))
-    ))
-    return pairs.select(both.alias("p")).groupBy("p.a", "p.b").agg(F.count("*").alias("n"))
+    ahead = F.explode(F.array(*[F.lit(d) for d in range(1, window + 1)])).alias("d")
+    known, singles = _with_singles(baskets, items, window)
+    met = known.select("near", F.posexplode("near").alias("i", "x"))
+    met = met.select("near", "i", "x", ahead).select("x", F.get("near", F.col("i") + F.col("d")).alias("y"))
+    lower = F.col("x.x") < F.col("y.x")
+    pairs = met.where("x.x <> y.x").select(
+        F.least("x.x", "y.x").alias("a"), F.greatest("x.x", "y.x").alias("b"),
+        F.when(lower, F.col("x.s")).otherwise(F.col("y.s")).alias("n_a"),
+        F.when(lower, F.col("y.s")).otherwise(F.col("x.s")).alias("n_b"),
+    )
+    once = pairs.groupBy("a", "b").agg(F.count("*").alias("n"), F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"))
+    turned = F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "n", F.col("n_b").alias("n_a"), F.col("n_a").alias("n_b"))
+    both = once.select(F.inline(F.array(F.struct(*once.columns), turned)))
+    return both.withColumn("n_all", singles.agg(F.sum("s")).scalar())
 
 
 def pointwise_information(counts: DataFrame) -> DataFrame:
     """``(a, b, n, weight)``: the positive part of the pointwise mutual information of each pair.
 
-    ``counts`` is read twice: stage it. Pairs that meet no more often than by chance weigh 0.
+    Pairs that meet no more often than by chance weigh 0. ``counts`` with the sums that ``cooccurrences``
+    brings is read once; without them (``a``, ``b``, ``n``) it is read three times: stage it.
     """
-    single = stage(counts.groupBy(F.col("a").alias("item")).agg(F.sum("n").alias("single")), "singles")
-    total = single.agg(F.sum("single")).scalar()
-    with_a = lookup_join(counts, single.select(F.col("item").alias("a"), F.col("single").alias("_a")), "a")
-    with_b = lookup_join(with_a, single.select(F.col("item").alias("b"), F.col("single").alias("_b")), "b")
-    expected = F.col("_a").cast("double") * F.col("_b") / total
-    return with_b.select("a", "b", "n", F.greatest(F.log(F.col("n") / expected), F.lit(0.0)).alias("weight"))
+    if not {"n_a", "n_b", "n_all"} <= set(counts.columns):
+        single = stage(counts.groupBy(F.col("a").alias("item")).agg(F.sum("n").alias("single")), "singles")
+        total = single.agg(F.sum("single")).scalar()
+        counts = counts.select("a", "b", "n", total.alias("n_all"))
+        for end in ("a", "b"):
+            own = single.select(F.col("item").alias(end), F.col("single").alias(f"n_{end}"))
+            counts = lookup_join(counts, own, end)
+    expected = F.col("n_a").cast("double") * F.col("n_b") / F.col("n_all")
+    return counts.select("a", "b", "n", F.greatest(F.log(F.col("n") / expected), F.lit(0.0)).alias("weight"))
 
 
 def company_embeddings(

@@ -18,6 +18,7 @@ from pulsetrail.operators.certificates import factor_gaps, logistic_gaps
 from pulsetrail.operators.embeddings import company_embeddings, cooccurrences, pointwise_information
 from pulsetrail.operators.pipelines import Features, Learner, ListColumn, build_pipeline, multi_hot_stages
 from pulsetrail.operators.recommend import factor_blocks, train_als
+from pulsetrail.session import stage
 
 
 # ---------------------------------------------------------------- crowded buckets
@@ -175,6 +176,29 @@ def test_company_is_counted_within_the_window(spark):
         assert r.weight == pytest.approx(max(0, np.log(r.n * total / single[r.a] / single[r.b])))
 
 
+def test_company_brings_the_sums_of_its_items(spark):
+    baskets = [["a", "b", "c", "a"], ["a"], ["d", "d"], ["a", None, "b"], None, [], ["b", "a"], ["a", "b", "c", "a"]]
+    df = spark.createDataFrame([(b,) for b in baskets], "items array<string>")
+    pairs = Counter()
+    for b in filter(None, baskets):
+        for i, x in enumerate(b):
+            for y in b[max(i - 2, 0) : i] + b[i + 1 : i + 3]:
+                if x is not None and y is not None and x != y:
+                    pairs[x, y] += 1
+    single = Counter()
+    for (a, _), n in pairs.items():
+        single[a] += n
+    counts = cooccurrences(df, window=2)
+    every = sum(pairs.values())
+    expected = sorted((a, b, n, single[a], single[b], every) for (a, b), n in pairs.items())
+    assert sorted(map(tuple, counts.collect())) == expected
+    weights = pointwise_information(counts)
+    looked_up = pointwise_information(counts.select("a", "b", "n"))
+    assert sorted(weights.collect()) == sorted(looked_up.collect())
+    # the sums come with the pairs: no table of pairs is joined to get them
+    assert "Join" not in pointwise_information(stage(counts, "company"))._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_items_of_a_planted_group_are_nearer_than_others(spark):
     random.seed(8)
     groups = [[f"{g}{i}" for i in range(8)] for g in "ABC"]
