@@ -226,15 +226,27 @@ def corner_pairs(arcs: DataFrame, most: int = CORNER_ARCS) -> DataFrame:
     return first.join(second, ["a", "one", "two"]).where("b < c")
 
 
+def _corners(closed: DataFrame) -> DataFrame:
+    """``(id, n)``: what the triangles of ``(a, b, cs)``, one for each of ``cs``, add to their corners."""
+    def corner(vertex: Column, n: Column) -> Column:
+        return F.struct(vertex.alias("id"), n.cast("long").alias("n"))
+
+    ends = F.array(*[corner(F.col(v), F.size("cs")) for v in ("a", "b")])
+    others = F.transform("cs", lambda c: corner(c, F.lit(1)))
+    return closed.select(F.explode(F.concat(ends, others)).alias("c")).select("c.id", "c.n")
+
+
 def triangle_count(
     vertices: DataFrame | None, edges: DataFrame, most: int = CORNER_ARCS
 ) -> DataFrame:
     """``(id, triangles)`` per vertex, 0 included; direction, repeats and loops do not count.
 
     Every edge points from the end with fewer neighbours to the end with more (ties by id). A vertex
-    then has at most sqrt(2 * edges) outgoing edges, and a hub next to none, so the pairs of outgoing
-    edges that have to be closed stay bounded whatever the degree of the hubs. Vertices with more than
-    ``most`` outgoing edges have their pairs made in parts (``corner_pairs``).
+    then has at most sqrt(2 * edges) outgoing edges, and a hub next to none, so what has to be closed
+    stays bounded whatever the degree of the hubs. The ends of a vertex are a list in that order; each
+    of them is sent the rest of the list after it, and what its own list has in common closes. Only
+    vertices with more than ``most`` outgoing edges have a row for each pair: their own pairs are made in
+    parts (``corner_pairs``), and the lists sent to them are taken apart and meet their edges one by one.
     """
     pairs = stage(pairs_of(edges), "pairs")
     once = pairs.where("src <> dst")
@@ -242,19 +254,32 @@ def triangle_count(
     for end in ("src", "dst"):
         named = degree.select(F.col("id").alias(end), F.col("degree").alias(f"{end}_degree"))
         once = lookup_join(once, named, end, "inner")
-    rises = F.struct("src_degree", "src") < F.struct("dst_degree", "dst")
-    arcs = once.select(
-        F.when(rises, F.col("src")).otherwise(F.col("dst")).alias("low"),
-        F.when(rises, F.col("dst")).otherwise(F.col("src")).alias("high"),
-    )
-    arcs = stage(arcs, "arcs")
-    closing = pairs.select(F.col("src").alias("b"), F.col("dst").alias("c")).where("b < c")
-    closed = corner_pairs(arcs, most).join(closing, ["b", "c"])
-    corners = closed.select(F.explode(F.array("a", "b", "c")).alias("id"))
-    counted = corners.groupBy("id").agg(F.count("*").alias("triangles"))
-    return _all_ids(vertices, pairs).join(counted, "id", "left").select(
-        "id", F.coalesce("triangles", F.lit(0)).alias("triangles")
+    ends = [F.struct(F.col(f"{end}_degree").alias("degree"), F.col(end).alias("id")) for end in ("src", "dst")]
+    arcs = once.select(F.least(*ends)["id"].alias("low"), F.greatest(*ends).alias("high"))
+    tops = F.transform(F.sort_array(F.collect_list("high")), lambda high: high["id"])
+    fans = stage(arcs.groupBy("low").agg(tops.alias("tops")), "fans")
+
+    small = fans.where(F.size("tops") <= most)
+    spokes = small.select(F.col("low").alias("a"), "tops", F.posexplode("tops").alias("_i", "b"))
+    spokes = spokes.where(F.col("_i") < F.size("tops") - 1).select(
+        "b", "a", F.slice("tops", F.col("_i") + 2, F.size("tops")).alias("rest")
     )
+    met = lookup_join(spokes, small.select(F.col("low").alias("b"), "tops"), "b", "inner")
+    closed = met.select("a", "b", F.array_intersect("rest", "tops").alias("cs")).where(F.size("cs") > 0)
+    crowded = stage(fans.where(F.size("tops") > most).select(F.col("low").alias("b"), "tops"), "crowded")
+    if not crowded.isEmpty():
+        many = crowded.select(F.col("b"), F.explode("tops").alias("c"))
+        taken = lookup_join(spokes, crowded.select("b"), "b", "left_semi")
+        taken = taken.select("a", "b", F.explode("rest").alias("c")).join(many, ["b", "c"])
+        closing = pairs.select(F.col("src").alias("b"), F.col("dst").alias("c")).where("b < c")
+        own = corner_pairs(many.select(F.col("b").alias("low"), F.col("c").alias("high")), most)
+        for rows in (taken, own.join(closing, ["b", "c"])):
+            closed = closed.unionByName(rows.select("a", "b", F.array("c").alias("cs")))
+
+    ids = [degree.select("id"), pairs.where("src <=> dst").select(F.col("src").alias("id"))]
+    ids += [] if vertices is None else [vertices.select("id")]
+    none = reduce(DataFrame.unionByName, ids).select("id", F.lit(0).cast("long").alias("n"))
+    return _corners(closed).unionByName(none).groupBy("id").agg(F.sum("n").alias("triangles"))
 
 
 # ---------------------------------------------------------------- triplets and messages

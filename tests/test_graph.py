@@ -90,6 +90,15 @@ def test_triangles_in_parts_equal_brute_force(spark, most):
     assert found == {v: sum(b in near[a] for a in near[v] for b in near[v] if a < b) for v in near}
 
 
+def test_triangles_send_lists_and_no_pairs(spark, monkeypatch):
+    """A vertex with few edges sends lists; crowded ones have their pairs, and loops and nulls are vertices."""
+    monkeypatch.setattr(graph, "corner_pairs", None)
+    links = [(1, 2), (2, 1), (2, 3), (3, 1), (3, 4), (7, 7), (None, 9), (None, None)]
+    found = graph.triangle_count(spark.createDataFrame([(4,), (11,), (11,)], "id long"), edges(spark, links))
+    assert dict(map(tuple, found.collect())) == {1: 1, 2: 1, 3: 1, 4: 0, 7: 0, 9: 0, 11: 0, None: 0}
+    assert found.schema.simpleString() == "struct<id:bigint,triangles:bigint>"
+
+
 def test_exact_hops_of_the_small_graph(spark, rows):
     found = rows(graph.exact_hops(edges(spark, [*LINKS, (7, 16)]), 3))
     assert found == [(0, 16), (16, 0), (16, 2), (2, 16)]
