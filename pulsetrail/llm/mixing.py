@@ -6,9 +6,10 @@ it was 0 and 1 in hashed contexts: the last one to four bytes of the word, in ta
 and from the fifth byte on all of the word so far, counted where the words with the same first four
 bytes meet, so this part of the model grows with the corpus. A gated mixer adds up their log odds,
 with weights chosen by the place in the word and by how often the longest context was seen, and an
-adaptive map corrects what comes out. Counts cover all training words. The mixer and the map learn
-online, on a bounded sample of training words, each of which is taken out of the counts while it is
-predicted. So far the probability of a word does not depend on its neighbours, and every distinct
+adaptive map corrects what comes out. Counts cover all training words, and the mixer and the map
+learn from all of them too, each taken out of the counts while it is predicted: families of words are
+dealt to shards by hash, a mixer learns online in each shard, and the mixers are averaged by their
+curvature; then the map adds up the bits of all shards under that mixer. So far the probability of a word does not depend on its neighbours, and every distinct
 word is scored once and joined back to the documents. In a document a last mixer, whose share is
 learned online from its start to its end, adds the words that the document has had before.
 """
@@ -25,7 +26,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
 
 from pulsetrail.llm.common import in_arrow, plain, record, slices
 from pulsetrail.session import stage
@@ -34,16 +34,22 @@ ORDERS = 4  # contexts of the last 1, 2, ... bytes; one more has the whole word
 INPUTS = ORDERS + 1
 SLOT_BITS = 20  # slots of the table of each order
 BLOCK = 1 << 10
-FIT_WORDS = 100_000  # expected training words of the mixer's sample
+SHARD_WORDS = 30_000  # distinct training words that a mixer learns from, about
+MOST_SHARDS = 512  # whose mixers are averaged; more words make larger shards
+STEP_WORDS = 64  # of one online step, about
+LEAST_STEPS = 250  # for each part of a shard, if it has the tokens
 HEAD = 1 << 16  # at most so many of the most frequent words have scores that go to all tasks
 HEAD_BYTES = 64  # longer words are never among them
 DISTINCT = 300_000  # words counted in a task before it hands them on
 END = " "  # no word has a blank
-WORDS_AT_ONCE = 8_000
-BYTES_AT_ONCE = 100_000
+WORDS_AT_ONCE = 4_000
+BYTES_AT_ONCE = 50_000
 PLACES, SEEN = ORDERS + 1, 12  # gates
 BUCKETS = 33  # of the adaptive map
 DELTA = 0.4
+RATE = 0.02  # of the online steps
+RIDGE = 0.01  # curvature that the first weights have
+PRIOR = 16.0  # bits that an entry of the map has from the start
 ADAPT = 0.02  # of the share of words that a document repeats, for each word
 RARE = 1e-7  # what a rare word counts as when that share is learned
 
@@ -178,10 +184,12 @@ def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes],
         yield words, np.concatenate(counts)
 
 
-def by_family(words: DataFrame) -> DataFrame:
-    """The words in tasks that have all words with the same first bytes, side by side."""
+def by_family(words: DataFrame, parts: int | None = None) -> DataFrame:
+    """The words in tasks that have all words with the same first bytes, side by side; in so many ``parts``."""
     family = F.substring(F.col("word").cast("binary"), 1, ORDERS)
-    return words.select("word", "n", family.alias("f")).repartition("f").sortWithinPartitions("f").select("word", "n")
+    dealt = words.select("word", "n", family.alias("f"))
+    dealt = dealt.repartition(parts, "f") if parts else dealt.repartition("f")
+    return dealt.sortWithinPartitions("f", "word").select("word", "n")
 
 
 # ---------------------------------------------------------------- counting
@@ -319,28 +327,103 @@ def _odds(counts: np.ndarray) -> np.ndarray:
     return np.log((counts[..., 1] + DELTA) / (counts[..., 0] + DELTA))
 
 
-def learn(mixer: Mixer, words: list[bytes], whole: np.ndarray, table: np.ndarray, tree: Tree) -> None:
-    """One online step on a few training words, each taken out of its own counts."""
+class Examples(NamedTuple):
+    """The bits of training words, each taken out of its own counts."""
+
+    word: np.ndarray
+    node: np.ndarray
+    one: np.ndarray
+    inputs: np.ndarray  # (bits, INPUTS)
+    gate: np.ndarray
+
+
+def examples(words: list[bytes], counts: np.ndarray, table: np.ndarray, tree: Tree) -> Examples:
+    """Of whole families; ``table`` has 32-bit floats."""
     bits = bits_of(words, tree)
-    counts = np.concatenate([table[bits.slots].astype(np.float32), whole[None]])  # (INPUTS, bits, 2)
-    one = bits.value.astype(np.float32)
-    counts[:, :, 1] -= one
-    counts[:, :, 0] -= 1 - one
-    np.maximum(counts, 0, out=counts)
-    inputs = _odds(counts).T
-    longest = np.where((bits.place < ORDERS)[:, None], counts[-2], counts[-1])
-    gate = _gate(bits.place, longest.sum(axis=1), longest.min(axis=1) == 0)
-    logit = (mixer.weights[gate] * inputs).sum(axis=1)
-    wrong = one - 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-    step = np.zeros_like(mixer.weights)
-    np.add.at(step, gate, wrong[:, None] * inputs)
-    mixer.size[:] += step * step
-    mixer.weights[:] += 0.05 * step / np.sqrt(mixer.size)
-    first, upper, _ = _refine(mixer.refined, bits.node, logit)
-    flat = mixer.refined.reshape(-1)
-    p = 1 / (1 + np.exp(-(flat[first] * (1 - upper) + flat[first + 1] * upper)))
-    np.add.at(flat, first, 0.02 * (one - p) * (1 - upper))
-    np.add.at(flat, first + 1, 0.02 * (one - p) * upper)
+    pairs = table.view(np.uint64).reshape(-1)  # both counts of a slot at once
+    own = np.stack([1 - bits.value, bits.value], axis=1).astype(np.float32)
+    inputs = np.empty((len(own), INPUTS), np.float32)
+    for j in range(INPUTS):
+        found = np.take(pairs, bits.slots[j]).view(np.float32).reshape(-1, 2) if j < ORDERS else whole_counts(bits, counts)
+        found = np.maximum(found - own, 0)
+        inputs[:, j] = _odds(found)
+        longest = found if j < ORDERS else np.where((bits.place < ORDERS)[:, None], longest, found)
+    gate = _gate(bits.place, longest[:, 0] + longest[:, 1], np.minimum(longest[:, 0], longest[:, 1]) == 0)
+    return Examples(bits.word, bits.node, own[:, 1], inputs, gate)
+
+
+def steps_of(counts: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(word, weight, step)``: the tokens of some words, in random order, in steps of about as many tokens.
+
+    Every token counts once. A word with more than an eighth of the tokens of a step is cut into rows
+    with a weight each, which go to different steps mostly, so there are at most eight more rows a step.
+    """
+    total = int(counts.sum())
+    steps = max(-(-len(counts) // STEP_WORDS), min(LEAST_STEPS, -(-total // STEP_WORDS)))
+    rows = np.ceil(counts / max(1.0, total / steps / 8)).astype(np.int64)
+    word = rng.permutation(np.repeat(np.arange(len(counts)), rows))
+    weight = (counts / rows)[word]
+    return word, weight, np.minimum((np.cumsum(weight) * steps / total).astype(np.int64), steps - 1)
+
+
+def _chance(logit: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+
+
+def learn(mixer: Mixer, found: Examples, counts: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Online steps on all tokens of some words; returns the curvature of each weight set at their end."""
+    size = np.bincount(found.word, minlength=len(counts))
+    start = np.cumsum(size) - size
+    word, weight, step = steps_of(counts, rng)
+    sets = len(mixer.weights)
+    for rows in np.split(np.arange(len(word)), np.flatnonzero(np.diff(step)) + 1):
+        length = size[word[rows]]
+        ends = np.cumsum(length)
+        at = np.repeat(start[word[rows]] - ends + length, length) + np.arange(ends[-1])
+        x, g = found.inputs[at], found.gate[at]
+        logit = (mixer.weights[g] * x).sum(axis=1)
+        wrong = np.repeat(weight[rows], length) * (found.one[at] - _chance(logit))
+        change = np.stack([np.bincount(g, wrong * x[:, j], sets) for j in range(INPUTS)], axis=1)
+        mixer.size[:] += change * change
+        mixer.weights[:] += RATE * change / np.sqrt(mixer.size)
+    p = _chance((mixer.weights[found.gate] * found.inputs).sum(axis=1))
+    sure = counts[found.word] * p * (1 - p)
+    curve = np.empty((sets, INPUTS, INPUTS))
+    for i in range(INPUTS):
+        for j in range(i, INPUTS):
+            curve[:, i, j] = np.bincount(found.gate, sure * found.inputs[:, i] * found.inputs[:, j], sets)
+            curve[:, j, i] = curve[:, i, j]
+    return curve
+
+
+def averaged(curve: np.ndarray, bent: np.ndarray) -> Mixer:
+    """The mixer at the minimum of the summed parabolas of all shards.
+
+    ``curve`` is the sum of their curvatures, ``bent`` that of curvature times weights. A set that no
+    shard has met keeps its first weights.
+    """
+    mixer = new_mixer()
+    own = RIDGE * np.eye(INPUTS)
+    mixer.weights[:] = np.linalg.solve(curve + own, (bent + RIDGE * mixer.weights)[..., None])[..., 0]
+    return mixer
+
+
+def map_counts(mixer: Mixer, found: Examples, counts: np.ndarray) -> np.ndarray:
+    """``(2, 255 * BUCKETS)``: the bits 0 and 1 at each entry of the map, shared by the two around a logit."""
+    first, upper, _ = _refine(mixer.refined, found.node, (mixer.weights[found.gate] * found.inputs).sum(axis=1))
+    total = np.empty((2, mixer.refined.size))
+    for value in (0, 1):
+        share = counts[found.word] * (found.one == value)
+        total[value] = np.bincount(first, share * (1 - upper), mixer.refined.size)
+        total[value] += np.bincount(first + 1, share * upper, mixer.refined.size)
+    return total
+
+
+def mapped(mixer: Mixer, total: np.ndarray) -> Mixer:
+    """The mixer with the log odds of all bits in its map, with ``PRIOR`` bits of an entry's own logit."""
+    own = _chance(mixer.refined.reshape(-1).astype(float))
+    odds = np.log((total[1] + PRIOR * own) / (total[0] + PRIOR * (1 - own)))
+    return mixer._replace(refined=np.clip(odds, -12, 12).astype(np.float32).reshape(mixer.refined.shape))
 
 
 def word_scores(
@@ -367,52 +450,62 @@ class Model(NamedTuple):
     distinct: int  # V
 
 
-def fit(words: DataFrame, fit_words: int = FIT_WORDS) -> Model:
-    """A model of a staged ``(word, n)`` table; the words of the mixer's sample are drawn by hash."""
+def summed(parts: DataFrame) -> np.ndarray | None:
+    """The sum of arrays of doubles of one size, one in each row ``data``; none of no rows."""
+    schema = pa.schema([("data", pa.binary())])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(row for batch in batches for row in batch.column("data").to_pylist())  # rounded alike
+        if rows:
+            yield record(schema, data=[sum(map(np.frombuffer, rows)).tobytes()])
+
+    found = in_arrow(parts.repartition(1), add, "data binary").first()
+    return None if found is None else np.frombuffer(found["data"])
+
+
+def fit(words: DataFrame, shard_words: int = SHARD_WORDS) -> Model:
+    """A model of a staged ``(word, n)`` table, learned from every row with ``n`` > 0.
+
+    The shards depend on the words and their number alone, not on the layout. What a shard hands on
+    has the size of the mixer or the map.
+    """
     totals = words.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.when(F.col("n") > 0, 1)).alias("v")
     ).first()
     tree = code_tree(words)
-    table = bit_counts(words, tree)
-    shared = words.sparkSession.sparkContext.broadcast(table)
-    share = fit_words / max(1, totals["n"])
-    drawn = pa.schema([("word", pa.string()), ("n", pa.int64()), ("whole", pa.binary())])
-    fitted = pa.schema([("weights", pa.binary()), ("refined", pa.binary())])
+    counted = bit_counts(words, tree)
+    shared = words.sparkSession.sparkContext.broadcast(counted)
+    schema = pa.schema([("data", pa.binary())])
+    dealt = by_family(words.where("n > 0"), min(MOST_SHARDS, totals["v"] // shard_words + 1))
 
-    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mixer, rng, curve = new_mixer(), np.random.default_rng(1), None
+        table = shared.value.astype(np.float32)
         for part, counts in _families(batches):
-            chance = np.array([xxh64_intdigest(w, 3) / 2**64 for w in part])
-            times = np.minimum(np.floor(counts * share + chance), counts).astype(np.int64)
-            if times.any():
-                bits = bits_of(part, tree)
-                whole, ends = whole_counts(bits, counts), np.cumsum(np.bincount(bits.word, minlength=len(part)))
-                taken = np.flatnonzero(times)
-                data = [whole[ends[i - 1] if i else 0 : ends[i]].tobytes() for i in taken]
-                yield record(drawn, word=[part[i].decode() or END for i in taken], n=times[taken], whole=data)
+            found = learn(mixer, examples(part, counts, table, tree), counts, rng)
+            curve = found if curve is None else curve + found
+        if curve is not None:
+            bent = (curve @ mixer.weights[..., None].astype(float))[..., 0]
+            yield record(schema, data=[np.concatenate([curve.reshape(-1), bent.reshape(-1)]).tobytes()])
 
-    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple[bytes, int, bytes]] = []
-        for batch in batches:
-            rows += zip(*(batch.column(c).to_pylist() for c in ("word", "n", "whole")))
-        rows = sorted((b"" if w == END else w.encode(), n, whole) for w, n, whole in rows)
-        stream = np.repeat(np.arange(len(rows)), [n for _, n, _ in rows])
-        stream = np.random.default_rng(1).permutation(stream)
-        mixer = new_mixer()
-        for at in range(0, len(stream), 64):
-            part = [rows[i] for i in stream[at : at + 64]]
-            whole = np.frombuffer(b"".join(r[2] for r in part), np.float32).reshape(-1, 2)
-            learn(mixer, [r[0] for r in part], whole, shared.value, tree)
-        yield record(fitted, weights=[mixer.weights.tobytes()], refined=[mixer.refined.tobytes()])
-
-    sample = in_arrow(by_family(words.where("n > 0")), draw, "word string, n long, whole binary")
     mixer = new_mixer()
-    for row in in_arrow(sample.repartition(1), train, "weights binary, refined binary").collect():
-        mixer = Mixer(
-            np.frombuffer(row["weights"], np.float32).reshape(mixer.weights.shape),
-            np.frombuffer(row["refined"], np.float32).reshape(mixer.refined.shape),
-            mixer.size,
-        )
-    return Model(tree, table, mixer, int(totals["n"]), int(totals["v"]))
+    found = summed(in_arrow(dealt, train, "data binary"))
+    if found is not None:
+        cut = mixer.weights.size * INPUTS
+        mixer = averaged(found[:cut].reshape(-1, INPUTS, INPUTS), found[cut:].reshape(-1, INPUTS))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, mixer.refined.size))
+        table = shared.value.astype(np.float32)
+        for part, counts in _families(batches):
+            total += map_counts(mixer, examples(part, counts, table, tree), counts)
+        if total.any():
+            yield record(schema, data=[total.tobytes()])
+
+    found = summed(in_arrow(dealt, place, "data binary"))
+    if found is not None:
+        mixer = mapped(mixer, found.reshape(2, -1))
+    return Model(tree, counted, mixer, int(totals["n"]), int(totals["v"]))
 
 
 def score_words(words: DataFrame, model: Model) -> DataFrame:

@@ -262,3 +262,22 @@ def test_repeats_in_a_document_are_a_probability():
             place = {b"a": 0, b"b": 1}.get(word, -1)
             total += 10 ** (mixing.in_document([*history, word], [*places, place], known) - before)
         assert 0 < total <= 1
+
+
+def test_the_mixer_learns_from_every_training_word(spark, monkeypatch):
+    """Every token has its weight in the steps and its bits in the map, in whatever shards it is."""
+    counts = np.random.default_rng(2).zipf(1.3, 3000).clip(1, 10**6)
+    word, weight, step = mixing.steps_of(counts, np.random.default_rng(0))
+    assert np.bincount(word, weight) == pytest.approx(counts)
+    assert np.bincount(step, weight).max() < 1.3 * np.bincount(step, weight).mean()
+    words = [(f"w{i:x}", int(n)) for i, n in enumerate(counts)] + [("unseen", 0)]
+    table = spark.createDataFrame(words, "word string, n long").repartition(3)
+    passed = []
+    monkeypatch.setattr(mixing, "mapped", lambda mixer, total: passed.append(total) or mixer)
+    one = mixing.fit(table)
+    many = mixing.fit(table.repartition(7), 100)
+    again = mixing.fit(table, 100)
+    bits = sum(n * int(one.tree.length[list(w.encode() + b" ")].sum()) for w, n in words)
+    assert [t.sum() for t in passed] == pytest.approx([bits] * 3, rel=1e-6)
+    assert np.array_equal(many.mixer.weights, again.mixer.weights)
+    assert not np.array_equal(one.mixer.weights, mixing.new_mixer().weights)
