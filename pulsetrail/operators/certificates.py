@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsetrail.functions.vectors import positive_probability
+from pulsetrail.operators import factors
 from pulsetrail.operators.joins import lookup_join
+from pulsetrail.operators.recommend import MOST_FOR_SPARK, RATINGS_A_BLOCK, factor_blocks
 
 
 def logistic_gaps(model: Any, scored: DataFrame) -> DataFrame:
@@ -46,15 +48,22 @@ def _dot(a: Column, b: Column) -> Column:
 
 
 def factor_gaps(
-    model: ALSModel, ratings: DataFrame, implicit: bool, strength: float, alpha: float = 1.0
-) -> DataFrame:
+    model: ALSModel, ratings: DataFrame, implicit: bool, strength: float, alpha: float = 1.0,
+    most_for_joins: int = MOST_FOR_SPARK,
+) -> DataFrame:
     """``(userId, gap)``: by how much the factors of each user miss their normal equation, relative to
     its right side.
 
     The users are solved last, so theirs holds for the factors of the items that are stored. The Gram
-    matrix of the items, the square of the rank, is all that the driver holds.
+    matrix of the items, the square of the rank, is all that the driver holds. Up to ``most_for_joins``
+    ratings are joined to the factors; of more, blocks of users are sent the factors that they need.
     """
     rank = model.rank
+    count = ratings.count()
+    if count > most_for_joins:
+        rows = factors.checked(ratings, "userId", "itemId", "rating")
+        blocks = factor_blocks(count, RATINGS_A_BLOCK)
+        return factors.gaps(model.userFactors, model.itemFactors, rows, blocks, rank, strength, alpha if implicit else None)
     as_double = lambda c: F.col(c).cast("array<double>")
     items = model.itemFactors.select(F.col("id").alias("itemId"), as_double("features").alias("y"))
     users = model.userFactors.select(F.col("id").alias("userId"), as_double("features").alias("x"))
