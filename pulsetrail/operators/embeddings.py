@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pulsetrail.functions.vectors import to_vector
 from pulsetrail.operators.joins import lookup_join
 from pulsetrail.operators.recommend import id_index, train_als
-from pulsetrail.session import stage
+from pulsetrail.session import discard, stage
 
 WINDOW = 5  # items to either side that count as company
 # Explicit ratings: a weight that is not there is unknown, not zero.
@@ -17,6 +17,20 @@ PAIRS_A_BLOCK = 8_000_000  # an item has many more pairs than a rated item has r
 SETTINGS = {"implicitPrefs": False, "rank": 5, "maxIter": 10, "regParam": 0.05}
 
 
+def _entries(baskets: DataFrame, items: str) -> DataFrame:
+    """``(basket, items, place, x)``: the entries of all baskets, from a staged table."""
+    numbered = baskets.select(F.monotonically_increasing_id().alias("basket"), F.col(items).alias("items"))
+    return stage(numbered, "company-baskets").select("*", F.posexplode("items").alias("place", "x"))
+
+
+def _singles(entries: DataFrame, window: int) -> DataFrame:
+    """``(x, s)``, staged: how often each item that has company has it."""
+    others = [F.get("items", F.col("place") + d) for d in range(-window, window + 1) if d]
+    company = sum((F.when(y != F.col("x"), 1).otherwise(0) for y in others), F.lit(0))
+    singles = entries.select("x", company.alias("c")).where("c > 0").groupBy("x").agg(F.sum("c").alias("s"))
+    return stage(singles, "singles")
+
+
 def _with_singles(baskets: DataFrame, items: str, window: int) -> tuple[DataFrame, DataFrame]:
     """Each basket as an array ``near`` of ``(place, x, s)``, with ``s``: how often ``x`` has company in all
     baskets; and the staged table ``(x, s)``.
@@ -24,17 +38,23 @@ def _with_singles(baskets: DataFrame, items: str, window: int) -> tuple[DataFram
     Items are counted where they stand, so what is grouped and joined are the entries of the baskets, not
     their pairs.
     """
-    numbered = baskets.select(F.monotonically_increasing_id().alias("basket"), F.col(items).alias("items"))
-    entries = stage(numbered, "company-baskets").select("*", F.posexplode("items").alias("place", "x"))
-    others = [F.get("items", F.col("place") + d) for d in range(-window, window + 1) if d]
-    company = sum((F.when(y != F.col("x"), 1).otherwise(0) for y in others), F.lit(0))
-    singles = entries.select("x", company.alias("c")).where("c > 0").groupBy("x").agg(F.sum("c").alias("s"))
-    singles = stage(singles, "singles")
+    entries = _entries(baskets, items)
+    singles = _singles(entries, window)
     known = lookup_join(entries.select("basket", "place", "x"), singles, "x")
     near = F.sort_array(F.collect_list(F.struct("place", "x", "s"))).alias("near")
     return known.groupBy("basket").agg(near), singles
 
 
+def _numbered(baskets: DataFrame, items: str, window: int) -> tuple[DataFrame, DataFrame]:
+    """The baskets with numbers for items, null for those without company, and ``(key, index)``; both staged."""
+    entries = _entries(baskets, items)
+    index = stage(id_index(_singles(entries, window), "x"), "items")
+    known = lookup_join(entries.select("basket", "place", "x"), index.withColumnRenamed("key", "x"), "x")
+    placed = known.groupBy("basket").agg(F.sort_array(F.collect_list(F.struct("place", "index"))).alias("p"))
+    numbers = F.transform("p", lambda entry: entry["index"]).alias("items")
+    return stage(placed.select(numbers), "numbered-baskets"), index
+
+
 def cooccurrences(baskets: DataFrame, items: str = "items", window: int = WINDOW) -> DataFrame:
     """``(a, b, n, n_a, n_b, n_all)``: how often item ``b`` is within ``window`` places of ``a`` in a basket.
 
@@ -83,14 +103,17 @@ def company_embeddings(
     The weights of ``pointwise_information`` are factorised by alternating least squares, whose
     factors stay in blocks on the executors. Items with much the same company have much the same
     vectors. Baskets of one item say nothing and give no vector.
+
+    Items are numbered before they are paired, and a pair is stored once for both directions: its rows
+    are the largest table of the job.
     """
-    counts = stage(cooccurrences(baskets, items, window), "company")
-    weights = stage(pointwise_information(counts), "weights")
-    index = stage(id_index(weights, "a"), "items")
-    by = {c: index.select(F.col("key").alias(c), F.col("index").alias(i)) for c, i in (("a", "userId"), ("b", "itemId"))}
-    rows = lookup_join(lookup_join(weights, by["a"], "a", "inner"), by["b"], "b", "inner")
-    rows = stage(rows.select("userId", "itemId", F.col("weight").alias("rating")), "company-rows")
-    model = train_als(rows, PAIRS_A_BLOCK, **{**SETTINGS, **settings})
+    numbered, index = _numbered(baskets, items, window)
+    weights = pointwise_information(cooccurrences(numbered, window=window)).where("a < b")
+    once = stage(weights.select("a", "b", "weight"), "weights")
+    discard(numbered)
+    ends = [F.struct(F.col(u).alias("userId"), F.col(i).alias("itemId"), F.col("weight").alias("rating")) for u, i in ("ab", "ba")]
+    rows = once.select(F.inline(F.array(*ends)))
+    model = train_als(rows, PAIRS_A_BLOCK, symmetric=True, **{**SETTINGS, **settings})
     factors = model.userFactors.select(F.col("id").alias("index"), F.col("features").alias("vector"))
     vectors = factors.join(index, "index").select(
         F.col("key").alias("word"), "index", to_vector("vector").alias("vector")
